@@ -6,14 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewell.plans import problems, problems_sql
+from tracewell.plans import problems, problems_sql, reference_more
+from tracewell.streaming import queries as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {**problems.QUERIES}
+    return {**problems.QUERIES, **reference_more.QUERIES, **streams.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**problems_sql.SQL}
+    return {**problems_sql.SQL, **reference_more.SQL, **streams.SQL}
