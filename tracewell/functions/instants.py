@@ -100,7 +100,9 @@ def with_utc_micros(df: DataFrame, text: str, zone_hint: str | None, out: str, d
     empty texts give null. 
     """
     columns = [c for c in df.columns if c != out]
-    df = df.withColumn("_s", F.translate(F.lower(F.regexp_replace(text, r"^[\s\u00a0]+|[\s\u00a0]+$", "")), "\u2212", "-"))
+    # The row's own columns travel as one value, so none of their names can clash.
+    df = df.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), F.col(text).alias("_text"), (F.col(zone_hint) if zone_hint else F.lit(None).cast("string")).alias("_hint"))
+    df = df.withColumn("_s", F.translate(F.lower(F.regexp_replace("_text", r"^[\s\u00a0]+|[\s\u00a0]+$", "")), "\u2212", "-"))
     df = df.withColumn("_f", _fields(F.col("_s")))
     part = lambda n: F.nullif(F.col("_f")[n], F.lit(""))
     number = lambda n: part(n).try_cast("int")
@@ -114,11 +116,11 @@ def with_utc_micros(df: DataFrame, text: str, zone_hint: str | None, out: str, d
     clock = ((F.col("_h") * 60 + F.col("_mi")) * 60 + F.col("_se")).cast("long") * 1_000_000 + F.col("_fr")
     sound = (F.col("_y") >= 1) & (F.col("_h") < 24) & (F.col("_mi") < 60) & (F.col("_se") < 60)
     df = df.withColumn("_local", F.when(sound, F.col("_day") * _DAY_US + clock))
-    hint = F.nullif(F.trim(F.col(zone_hint)), F.lit("")) if zone_hint else F.lit(None).cast("string")
+    hint = F.nullif(F.trim("_hint"), F.lit(""))
     df = df.withColumn("_iana", F.coalesce(hint, F.lit(default_zone)))
     df = _with_local_to_utc(df, "_local", "_iana", "_by_zone", ambiguous)
     parsed = F.when(F.col("_zone").isNotNull(), F.col("_local") - _offset_minutes(F.col("_zone")).cast("long") * 60_000_000).otherwise(F.col("_by_zone"))
-    return df.withColumn(out, F.coalesce(unix_micros_by_size(F.col("_s")), parsed)).select(*columns, out)
+    return df.withColumn(out, F.coalesce(unix_micros_by_size(F.col("_s")), parsed)).select(*[F.col("_row").getField(c).alias(c) for c in columns], out)
 
 
 @functools.cache

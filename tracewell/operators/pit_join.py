@@ -50,7 +50,7 @@ def known_at(events: DataFrame, changes: DataFrame, entity: str, event_time: str
     nothing.  ``rank`` columns replace event columns of the same name.
     """
     names = list(rank)
-    events = events.drop(*names)
+    kept = [c for c in events.columns if c not in names]
     per = (
         changes.where(F.col(entity).isNotNull() & F.col(change_time).isNotNull())
         .select(F.col(entity).alias("_e"), F.unix_micros(F.col(change_time)).alias("_from"), F.struct(*names).alias("_rank"))
@@ -82,12 +82,13 @@ def known_at(events: DataFrame, changes: DataFrame, entity: str, event_time: str
     last_inside = F.coalesce(F.col("_until") - 1, F.col("_from"))
     spans = spans.select("_e", "_from", "_until", "_rank", F.explode(F.sequence(_bucket(F.col("_from"), F.col("_level")), _bucket(last_inside, F.col("_level")))).alias("_bucket"))
 
-    t = F.unix_micros(F.col(event_time))
-    placed = events.join(summary, F.col(entity) == F.col("_e"), "left").drop("_e").withColumn("_t", t)
+    # The event's own columns travel as one value, so none of their names can clash.
+    placed = events.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_event"), F.col(entity).alias("_k"), F.unix_micros(F.col(event_time)).alias("_t"))
+    placed = placed.join(summary, F.col("_k") == F.col("_e"), "left").drop("_e")
     placed = placed.withColumn("_b", _bucket(F.least(F.col("_t"), F.col("_last")), F.col("_level")))
-    held = (F.col(entity) == F.col("_e")) & (F.col("_b") == F.col("_bucket")) & (F.col("_from") <= F.col("_t")) & (F.col("_until").isNull() | (F.col("_t") < F.col("_until")))
+    held = (F.col("_k") == F.col("_e")) & (F.col("_b") == F.col("_bucket")) & (F.col("_from") <= F.col("_t")) & (F.col("_until").isNull() | (F.col("_t") < F.col("_until")))
     joined = placed.join(spans, held, "left")
-    out = [*events.columns, *[F.col("_rank").getField(c).alias(c) for c in names]]
+    out = [*[F.col("_event").getField(c).alias(c) for c in kept], *[F.col("_rank").getField(c).alias(c) for c in names]]
     if final_prefix is not None:
         out += [F.col("_final").getField(c).alias(f"{final_prefix}{c}") for c in names]
     return joined.select(*out)
