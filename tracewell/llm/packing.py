@@ -200,7 +200,7 @@ def pack_along_curve(places: DataFrame, plans: DataFrame) -> DataFrame:
     size.  Repeated ids are items of their own.  No document is dropped.
     """
     plans = plans.where(F.col("capacity_tokens") > 0).select(F.col("plan_id").cast("int"), F.col("capacity_tokens").cast("long"))
-    places = materialize(places, "curve-places")
+    places = materialize(places.select("doc_id", "n_tokens", "curve_key"), "curve-places")
     items = places.crossJoin(plans)
     tasks = max(1, -(-places.count() * plans.count() // ITEMS_PER_TASK))
     ordered = items.repartitionByRange(tasks, "plan_id", "curve_key", "doc_id").sortWithinPartitions("plan_id", "curve_key", "doc_id")
