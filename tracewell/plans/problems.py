@@ -74,6 +74,15 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return units.known_amounts(table(spark, d, "reported_values"), "value_id")
 
 
+def p4_source_scales(spark: SparkSession, d: str) -> DataFrame:
+    """Scale of each kind of unit statement as the source graph estimates it from shared (issuer, concept, currency)."""
+    rows = units.declared_amounts(table(spark, d, "reported_values"))
+    entity = F.concat_ws("|", "source_symbol", "concept_key", "declared.currency_code")
+    source = F.concat_ws(":", "declared.unit_basis", F.col("declared.unit_e4").cast("string"))
+    anchors = spark.createDataFrame([("reported_scale:10000", 0.0)], "source string, log10_scale double")
+    return units.source_scales(rows.where("value_type = 'currency_amount'"), entity, source, F.col("declared.number"), anchors)
+
+
 def observation_identity() -> list[Column]:
     """What names one delivered listing message; a stored hash, where present, is the content's own."""
     stored = F.lower(F.trim("metadata_hash"))
@@ -129,4 +138,4 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return rows.where(later).select("table_name", "row_key", F.coalesce("decision_id", none).alias("decision_id"), F.coalesce("delivery_no", none).alias("delivery_no"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p3_found, p3_values, p4_found, p5_found, p6_found, p7_found, p7_known)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p3_found, p3_values, p4_found, p4_source_scales, p5_found, p6_found, p7_found, p7_known)}

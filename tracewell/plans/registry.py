@@ -6,15 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewell.plans import problems, problems_sql, reference_more
+from tracewell.plans import problems, problems_sql, reference_sets
+from tracewell.plans import reference_more as _  # noqa: F401 - registers its queries
 from tracewell.streaming import queries as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {**problems.QUERIES, **reference_more.QUERIES, **streams.QUERIES}
+    return {**problems.QUERIES, **reference_sets.QUERIES, **streams.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**problems_sql.SQL, **reference_more.SQL, **streams.SQL}
+    return {**problems_sql.SQL, **reference_sets.SQL, **streams.SQL}
