@@ -16,6 +16,11 @@ def uuid_key(c: str | Column) -> Column:
     return F.when(F.length(s) > 0, s)
 
 
+def bare(c: str | Column) -> Column:
+    """Text without case and outer blanks of any kind."""
+    return F.lower(F.regexp_replace(as_col(c), r"^[\s\u00a0]+|[\s\u00a0]+$", ""))
+
+
 def month_utc(ts: str | Column) -> Column:
     """``YYYY-MM`` of an instant, in UTC whatever the session zone is."""
     return F.date_format(F.to_utc_timestamp(as_col(ts), F.current_timezone()), "yyyy-MM")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tracewell.functions.keys import as_col
+from tracewell.functions.keys import as_col, bare
 
 # The nine fields that make up an entry's content, in key order.
 CONTENT_FIELDS = ("authorizedDate", "fileText", "id", "manualDate", "name", "path", "path2", "symbol", "uploadedDate")
@@ -36,13 +36,13 @@ def raw_content(raw: str | Column) -> Column:
 
 def endpoint_name(c: str | Column) -> Column:
     """Endpoint without case, outer blanks and the ``/api/`` prefix; null when blank."""
-    s = F.regexp_replace(F.lower(F.trim(as_col(c))), "^/api/", "")
+    s = F.regexp_replace(bare(c), "^/api/", "")
     return F.when(F.length(s) > 0, s)
 
 
 def bucket_name(c: str | Column) -> Column:
     """Bucket under its plain name; blank and null are ``none``."""
-    s = F.regexp_replace(F.lower(F.trim(as_col(c))), "^/api/", "")
+    s = F.regexp_replace(bare(c), "^/api/", "")
     named = s
     for raw, plain in BUCKET_NAMES.items():
         named = F.when(s == raw, F.lit(plain)).otherwise(named)

@@ -17,7 +17,7 @@ def _removed(spark: SparkSession, d: str, name: str, key: Column) -> DataFrame:
 
 def _orphans(spark: SparkSession, d: str) -> DataFrame:
     never = F.lit(None).cast("timestamp")
-    filing = F.regexp_replace(F.trim("row_key"), r"^\{|\}$", "").try_cast("long")
+    filing = keys.uuid_key("row_key").try_cast("long")
     filings = references.parent_keys(
         table(spark, d, "filings").select(F.col("cse_filing_id").alias("key"), F.col("first_seen_at").alias("valid_from"), never.alias("valid_to")),
         _removed(spark, d, "filings", filing),
@@ -85,7 +85,7 @@ def p4_source_scales(spark: SparkSession, d: str) -> DataFrame:
 
 def observation_identity() -> list[Column]:
     """What names one delivered listing message; a stored hash, where present, is the content's own."""
-    stored = F.lower(F.trim("metadata_hash"))
+    stored = keys.bare("metadata_hash")
     content = F.coalesce(F.when(stored.rlike("^[0-9a-f]{64}$"), stored), F.sha2(listing.raw_content("raw_item"), 256))
     return [F.col("cse_filing_id"), listing.endpoint_name("source_endpoint"), listing.bucket_name("source_bucket"), content]
 
