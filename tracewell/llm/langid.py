@@ -48,7 +48,7 @@ _WORD = re.compile(r"[^\W\d_](?:[^\W\d_]|[̀-ͯ஀-௿඀-෿‌‍'’])*")
 
 def iso_label(label: Column) -> Column:
     """The ISO 639-1 code a label names, in any case, with a region, as code or name; null if none."""
-    s = F.regexp_replace(F.lower(F.trim(label)), r"[-_].*$", "")
+    s = F.regexp_replace(F.regexp_replace(F.lower(label), r"^[\s\u00a0]+", ""), r"[^\p{L}].*$", "")
     out = F.when(s.isin(list(LABELS)), s)
     for code, names in LABELS.items():
         out = F.when(s.isin(*names), F.lit(code)).otherwise(out)
@@ -210,7 +210,8 @@ def refit_codes(model: LanguageCodes, samples: DataFrame, documents: DataFrame,
     known = documents.select(id_col, iso_label(F.col(label_col)).alias("_l"), F.xxhash64(F.col(id_col)).alias("_k"))
     chosen = known.where(F.col("_l").isin(model.languages)).withColumn("_r", F.row_number().over(at)).where(F.col("_r") <= DOCS_PER_LANGUAGE)
     lines = F.slice(F.filter(F.split(F.col(text_col), "\n"), lambda x: x.rlike(r"\p{L}")), 1, LINES_PER_DOCUMENT)
-    rows = documents.select(id_col, lines.alias("_t")).join(F.broadcast(chosen.select(id_col, "_l")), id_col).orderBy("_l", id_col).collect()
+    # Joined before they are divided into lines, so only the chosen texts are.
+    rows = documents.select(id_col, text_col).join(F.broadcast(chosen.select(id_col, "_l")), id_col).select("_l", id_col, lines.alias("_t")).orderBy("_l", id_col).collect()
     out = [(r[0], r[1]) for r in samples.select(lang, sample_text).where(F.col(lang).isNotNull() & F.col(sample_text).isNotNull()).orderBy(lang, sample_text).limit(MAX_SAMPLES).collect()]
     for r in rows:
         if not r["_t"]:
