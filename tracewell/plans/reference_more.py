@@ -20,8 +20,7 @@ def s7_listing_items(spark, d):
     return listings.parse_items(table(spark, d, "filing_observations"), "raw_item").select("delivery_no", "item_id", "path", "file_text", "manual_date", "uploaded")
 
 
-@_query("""with e as (select body, raw_id from company_info_raw where json_valid(body)),
-r as (select query_symbol, raw_id, row_number() over (partition by query_symbol order by raw_id) as rn, count(*) over (partition by query_symbol) as n from (select distinct query_symbol, raw_id from company_info_raw))
+@_query("""with r as (select query_symbol, raw_id, row_number() over (partition by query_symbol order by raw_id) as rn, count(*) over (partition by query_symbol) as n from (select distinct query_symbol, raw_id from company_info_raw))
 select query_symbol, raw_id as first_raw_id, n as n_seen from r where rn = 1""")
 def s5_universe_entries(spark, d):
     rows = table(spark, d, "company_info_raw").select("query_symbol", "raw_id").distinct()

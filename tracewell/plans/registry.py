@@ -6,16 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewell.plans import problems, problems_sql, reference_sets
-from tracewell.plans import reference_more as _  # noqa: F401 - registers its queries
+from tracewell.plans import problems, problems_sql, reference, reference_more, reference_sets, reference_text
 from tracewell.streaming import queries as streams
 
+# The reference's queries register themselves where they are defined.
+_MODULES = (reference, reference_more, reference_sets, reference_text)
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {**problems.QUERIES, **reference_sets.QUERIES, **streams.QUERIES}
+    return {**problems.QUERIES, **reference.QUERIES, **streams.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**problems_sql.SQL, **reference_sets.SQL, **streams.SQL}
+    return {**problems_sql.SQL, **reference.SQL, **streams.SQL}
