@@ -128,10 +128,10 @@ def test_declared_units(spark):
     data = [
         (1, "12", "Revenue", 1000, "Rs Mn", "LKR", 0, "x"), (2, "12", "Revenue", None, "Rs Mn", None, 0, "x"), (3, "12 m", "Revenue (Rs '000)", 1000, None, "usd", 0, "x"), (4, "12", "Earnings per share (cents)", 1000, None, "LKR", 0, "x"),
         (5, "12", "Dividend in Rs.", 1000, None, None, 0, "x"), (6, "12", "Revenue", None, "Rs 000 | LKR million", "LKR", 0, "x"), (7, "12", "Revenue", None, None, "LKR", 0, "x"), (8, "12", "Revenue", 1000, None, None, 0, "x"),
-        (9, "12", None, None, "රු. දහස්", None, 0, "x"), (10, None, None, None, None, None, None, None), (1, "12", "Revenue", 1000, "Rs Mn", "LKR", 0, "x"), (11, "0.125", "EPS (Rs cents)", None, None, None, 3, "x"), (12, "9" * 40, "a", 1, None, "LKR", 0, None),
+        (9, "12", None, None, "රු. දහස්", None, 0, "x"), (10, None, None, None, None, None, None, None), (1, "12", "Revenue", 1000, "Rs Mn", "LKR", 0, "x"), (11, "0.125", "EPS (Rs cents)", None, None, None, 3, "x"), (12, "9" * 40, "a", 1, None, "LKR", 0, None), (13, "9" * 25, "a", 1, None, "LKR", 0, None), (14, "1" * 21, "a", 1, None, "LKR", 0, None), (15, "9" * 14, "a", 1, None, "LKR", 0, None),
     ]
     got = units.known_amounts(spark.createDataFrame(data, cols), "value_id")
-    want = [(1, "LKR", 12 * 10**7), (2, "LKR", 12 * 10**10), (3, "LKR", 12 * 10**10), (4, "LKR", 1200), (5, "LKR", 12 * 10**4), (9, "LKR", 12 * 10**7), (11, "LKR", 13)]
+    want = [(1, "LKR", 12 * 10**7), (2, "LKR", 12 * 10**10), (3, "LKR", 12 * 10**10), (4, "LKR", 1200), (5, "LKR", 12 * 10**4), (9, "LKR", 12 * 10**7), (11, "LKR", 13), (15, "LKR", (10**14 - 1) * 10**4)]
     assert rows(got, "value_id", "currency_code", "amount_e4") == want
     assert units.known_amounts(spark.createDataFrame([], cols), "value_id").count() == 0
 
@@ -171,6 +171,16 @@ def test_redelivery_brute_force_with_hot_message(spark):
     assert rows(redelivery.superfluous(df, [F.col("k"), F.col("b")], "n", [F.col("at")], F.col("at")), "n") == want
 
 
+def test_redelivery_over_very_many_time_buckets(spark):
+    rnd = random.Random(9)
+    data = [(i, f"m{rnd.randrange(700)}", ts(rnd.randrange(0, 60_000) * 20)) for i in range(1200)]
+    best = {}
+    for n, k, at in data:
+        best[k] = min(best.get(k, (at, n)), (at, n))
+    df = spark.createDataFrame(data, "n long, k string, at timestamp")
+    assert rows(redelivery.superfluous(df, [F.col("k")], "n", [F.col("at")], F.col("at")), "n") == sorted((n,) for n, k, at in data if best[k] != (at, n))
+
+
 def test_bloom_has_no_false_negatives():
     h = np.random.default_rng(3).integers(0, 2**63, 20_000).astype(np.uint64)
     bloom = redelivery.Bloom(len(h))

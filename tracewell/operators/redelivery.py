@@ -34,6 +34,8 @@ ROWS_PER_SHARD = 2_000_000
 BUCKET_BITS = 42
 BLOOM_BITS_PER_KEY = 16
 BLOOM_HASHES = 4
+# A shard keeps at most this many filters.
+MOST_FILTERS = 64
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 NO_TIME = -1
 
@@ -83,23 +85,23 @@ def _screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if not parts:
         return
     tb, h, n = (np.concatenate(c) for c in zip(*parts))
-    by = np.lexsort((h, tb))
-    tb, h, n = tb[by].astype(np.int64), h[by].view(np.uint64), n[by]
-    first = np.flatnonzero(np.r_[True, (tb[1:] != tb[:-1]) | (h[1:] != h[:-1])])
-    n = np.add.reduceat(n, first)
-    tb, h = tb[first], h[first]
-    edges = np.flatnonzero(np.r_[True, tb[1:] != tb[:-1]])
-    edges = np.r_[edges, len(tb)]
-    seen: list[tuple[slice, Bloom]] = []
+    days, place = np.unique(tb, return_inverse=True)
+    # Consecutive buckets share a filter where there are very many of them.
+    group = place * min(len(days), MOST_FILTERS) // len(days)
+    by = np.lexsort((tb, h, group))
+    tb, h, n, group = tb[by], h[by].view(np.uint64), n[by], group[by]
     look = n > 1
+    twice = np.flatnonzero((h[1:] == h[:-1]) & (group[1:] == group[:-1]))
+    look[twice] = look[twice + 1] = True
+    edges = np.r_[np.flatnonzero(np.r_[True, group[1:] != group[:-1]]), len(h)]
+    seen: list[tuple[slice, Bloom]] = []
     for a, b in zip(edges[:-1], edges[1:]):
         here = slice(a, b)
         for earlier, bloom in seen:
             hit = bloom.maybe(h[here])
             if hit.any():
                 look[here] |= hit
-                asked = np.unique(h[here][hit])
-                look[earlier] |= np.isin(h[earlier], asked, assume_unique=True)
+                look[earlier] |= np.isin(h[earlier], h[here][hit])
         bloom = Bloom(b - a)
         bloom.add(h[here])
         seen.append((here, bloom))
