@@ -24,6 +24,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracewell.llm.tokens import slices
+
 CODE_BITS = 15
 FEATURES = 1 << 15
 # The classifiers are fitted on at most this many labelled rows.
@@ -226,7 +228,7 @@ def refit_codes(model: LanguageCodes, samples: DataFrame, documents: DataFrame,
 
 def _stretches(model: LanguageCodes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             lines, owner, number = [], [], []
             for k, t in enumerate(texts):

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewell.llm.tokens import CHUNK_MEMORY, TokenCounter, tokenizer_path
+from tracewell.llm.tokens import CHUNK_MEMORY, TokenCounter, slices, tokenizer_path
 from tracewell.sources.shared import materialize
 
 HASHED_DIMS = 256
@@ -83,7 +83,7 @@ def _placer(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter, axes = TokenCounter(path), projection()
         chunks = _Chunks(axes)
-        for b in batches:
+        for b in slices(batches):
             texts = [t or "" for t in b.column(1).to_pylist()]
             tokens = [counter.count(t) for t in texts]
             if len(chunks) > CHUNK_MEMORY:

@@ -111,6 +111,13 @@ class _Counts(dict):
         return n
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``rows`` rows, so that what is held per word is bounded by few texts."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def _counter(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = TokenCounter(path)
