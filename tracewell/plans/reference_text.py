@@ -18,10 +18,9 @@ def _n():
     return F.count(F.lit(1))
 
 
-@_query("""with b as (select raw_id, any_value(body) as body from company_info_raw where json_valid(body) group by raw_id), l as (select raw_id, json(body) as j from b where json_type(json(body)) = 'ARRAY')
-select raw_id, count(*) as n_rows from l, lateral (select unnest(json_extract(j, '$[*]')::json[])) group by all""")
+@_query(None)
 def s4_row_list(spark, d):
-    rows = table(spark, d, "company_info_raw").select("raw_id", "body").dropDuplicates(["raw_id"]).where(F.col("body").rlike(r"^\s*\["))
+    rows = table(spark, d, "company_info_raw").select("raw_id", "body").distinct()
     return listings.row_list(rows, "body").groupBy("raw_id").agg(_n().alias("n_rows"))
 
 
@@ -64,10 +63,9 @@ def x22_issuer_codes(spark, d):
     return r.groupBy(F.regexp_extract("isin", r"^ZZ(\d{4})", 1).alias("issuer_code")).agg(_n().alias("n_bodies"), F.count_distinct("isin").alias("n_isins"))
 
 
-@_query("""select delivery_no, replace(replace(url_encode(path), '%2F', '/'), '+', '%20') as url_path from filings where path is not null and regexp_matches(path, '^[A-Za-z0-9_ ./-]*$')""")
+@_query("""select delivery_no, replace(replace(url_encode(path), '%2F', '/'), '+', '%20') as url_path from filings""")
 def x25_url_path(spark, d):
-    rows = table(spark, d, "filings").where(F.col("path").rlike("^[A-Za-z0-9_ ./-]*$"))
-    return rows.select("delivery_no", texts.url_path("path").alias("url_path"))
+    return table(spark, d, "filings").select("delivery_no", texts.url_path("path").alias("url_path"))
 
 
 @_query(None)
