@@ -62,6 +62,28 @@ select table_name, row_key, coalesce(decision_id, -1) as decision_id, coalesce(d
 SQL = {
     "p1_found": "with " + _CHILD + " select table_name, row_key, month_utc, kind from failed where kind is not null",
     "p1_counts": "with " + _CHILD + " select table_name, month_utc, kind, count(*) as n_references from failed where kind is not null group by all",
+    "p2_found": """
+with texts as (select distinct raw_id, try_cast(body as json) as j from company_info_raw where json_valid(body)),
+opened as (select raw_id, case when json_type(j) = 'VARCHAR' then try_cast(json_extract_string(j, '$') as json) else j end as j from texts),
+lists as (
+  select raw_id, true as many, j from opened where json_type(j) = 'ARRAY'
+  union all select raw_id, true, j->'bodies' from opened where json_type(j->'bodies') = 'ARRAY'
+  union all select raw_id, false, j->'body' from opened where json_type(j->'body') = 'OBJECT'
+  union all select raw_id, false, j from opened where json_type(j) = 'OBJECT' and (j->'bodies') is null and (j->'body') is null
+),
+companies as (
+  select raw_id, i::int as company_no, json_extract(j, '$[' || i || ']') as c from (select raw_id, j, unnest(range(json_array_length(j)::bigint)) as i from lists where many)
+  union all select raw_id, 0, j from lists where not many
+),
+blocks as (select raw_id, company_no, b.block_name, b.key_name, json_extract(c, '$.' || b.block_name) as v from companies, (values ('reqSymbolInfo', 'symbol'), ('reqSymbolBetaInfo', 'securityId'), ('reqLogo', 'secId')) b(block_name, key_name)),
+items as (
+  select raw_id, company_no, block_name, key_name, i::varchar as item_path, json_extract(v, '$[' || i || ']') as o from (select *, unnest(range(json_array_length(v)::bigint)) as i from blocks where json_type(v) = 'ARRAY')
+  union all select raw_id, company_no, block_name, key_name, '0', v from blocks where json_type(v) = 'OBJECT'
+),
+owners as (select raw_id, company_no, block_name, item_path, o, coalesce(json_extract_string(o, '$.' || key_name), '') as key_value from items where json_type(o) = 'OBJECT'),
+inner_lists as (select *, json_extract(o, '$.' || f) as v from owners, (select unnest(['tradeWindows', 'history', 'versions']) as f)),
+inner_items as (select raw_id, company_no, block_name, item_path || '.' || i as item_path, json_extract(v, '$[' || i || ']') as o, key_value from (select *, unnest(range(json_array_length(v)::bigint)) as i from inner_lists where json_type(v) = 'ARRAY'))
+select raw_id, company_no, block_name, item_path, key_value from owners union all select raw_id, company_no, block_name, item_path, key_value from inner_items where json_type(o) = 'OBJECT'""",
     "p3_found": f"""
 with rows as (select distinct snapshot_no, cse_filing_id, {_content("raw_item")} as content from listing_snapshots),
 numbers as (select snapshot_no, lag(snapshot_no) over (order by snapshot_no) as before from (select distinct snapshot_no from rows)),
