@@ -10,15 +10,19 @@ def as_col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Outer blanks that do not count.
+BLANKS = " \t\n\r\f\u000b\u00a0"
+
+
 def uuid_key(c: str | Column) -> Column:
     """A uuid reference without case, outer blanks and braces; null when nothing is left."""
-    s = F.lower(F.regexp_replace(as_col(c).cast("string"), r"^[\s{]+|[\s}]+$", ""))
+    s = F.lower(F.btrim(as_col(c).cast("string"), F.lit(BLANKS + "{}")))
     return F.when(F.length(s) > 0, s)
 
 
 def bare(c: str | Column) -> Column:
     """Text without case and outer blanks of any kind."""
-    return F.lower(F.regexp_replace(as_col(c), r"^[\s\u00a0]+|[\s\u00a0]+$", ""))
+    return F.lower(F.btrim(as_col(c), F.lit(BLANKS)))
 
 
 def month_utc(ts: str | Column) -> Column:

@@ -101,7 +101,7 @@ def _screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hit = bloom.maybe(h[here])
             if hit.any():
                 look[here] |= hit
-                look[earlier] |= np.isin(h[earlier], h[here][hit])
+                look[earlier] |= np.isin(h[earlier], np.unique(h[here][hit]))
         bloom = Bloom(b - a)
         bloom.add(h[here])
         seen.append((here, bloom))
