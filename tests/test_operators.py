@@ -153,3 +153,23 @@ def test_late_rows_change_what_was_derived(spark, tmp_path):
     now = ordered.latest_per_key(out, ["k"], [F.desc("_batch")])
     assert rows(now, "k", "v") == [(1, "newest"), (2, "only")]
     assert spark.read.parquet(f"{tmp_path}/log").count() == 4
+
+
+def test_bodies_and_reports(spark, tmp_path):
+    import base64
+    import hashlib
+
+    from tracewell.sources import bodies
+
+    def body(text):
+        return base64.b64encode(text.encode()).decode(), hashlib.sha256(text.encode()).hexdigest()
+
+    good = spark.createDataFrame([(1, *body("a")), (2, *body("සිංහල"))], "i int, b string, h string")
+    assert rows(bodies.with_verified_body(good, "b", "h"), "i", "body") == [(1, "a"), (2, "සිංහල")]
+    bad = good.unionByName(spark.createDataFrame([(3, body("x")[0], body("y")[1]), (4, None, body("z")[1])], "i int, b string, h string"))
+    assert rows(bodies.mismatched_bodies(bad, "b", "h"), "i") == [(3,), (4,)]
+    with pytest.raises(Exception, match="does not match"):
+        bodies.with_verified_body(bad, "b", "h").collect()
+    bodies.write_report(spark.createDataFrame([(1, None)], "i int, s string").coalesce(1), f"{tmp_path}/r")
+    assert rows(listings.read_jsonl(spark, f"{tmp_path}/r", "i int, s string")) == [(1, None)]
+    assert any('"s":null' in line[0] for line in spark.read.text(f"{tmp_path}/r").collect())
