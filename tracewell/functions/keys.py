@@ -38,3 +38,8 @@ def kept_once(df: DataFrame, condition: Column) -> DataFrame:
     expression, keeps it above.
     """
     return df.withColumn("_here", F.spark_partition_id()).where((F.col("_here") >= 0) & condition).drop("_here")
+
+
+def with_one_row(df: DataFrame, totals: DataFrame) -> DataFrame:
+    """``df`` with the columns of an ungrouped aggregate, which has exactly one row."""
+    return df.withColumn("_one", F.lit(1)).join(F.broadcast(totals.withColumn("_one", F.lit(1))), "_one").drop("_one")

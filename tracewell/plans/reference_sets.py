@@ -238,7 +238,7 @@ select day, count(*) filter (where eod) as n_eod, (select n from e) as n_expecte
 def d3_daily_completeness(spark, d):
     e = table(spark, d, "events")
     per = e.groupBy(F.to_date("ts").alias("day"), "user_id").agg(F.bool_or(F.hour("ts") >= 12).alias("eod")).groupBy("day").agg(F.count_if("eod").alias("n_eod"))
-    out = per.crossJoin(F.broadcast(e.agg(F.count_distinct("user_id").alias("n_expected"))))  # one row
+    out = keys.with_one_row(per, e.agg(F.count_distinct("user_id").alias("n_expected")))
     return out.select("day", "n_eod", "n_expected", F.when(F.col("n_eod") == 0, "missing").when(F.col("n_eod") == F.col("n_expected"), "complete").otherwise("partial").alias("state"))
 
 

@@ -121,7 +121,7 @@ def d33b_recounts(spark, d):
 select query_symbol, date_diff('day', (newest at time zone 'UTC')::date, (m at time zone 'UTC')::date) as age_days, date_diff('day', (newest at time zone 'UTC')::date, (m at time zone 'UTC')::date) <= 90 as fresh from l, m where query_symbol is not null""")
 def d36_freshness(spark, d):
     g = table(spark, d, "company_info_raw").where(F.col("body").isNotNull()).groupBy("query_symbol").agg(F.max("observed_at").alias("newest"))
-    j = g.crossJoin(F.broadcast(g.agg(F.max("newest").alias("m")))).where(F.col("query_symbol").isNotNull())  # one row
+    j = keys.with_one_row(g, g.agg(F.max("newest").alias("m"))).where(F.col("query_symbol").isNotNull())
     age = F.date_diff(F.to_date("m"), F.to_date("newest")).cast("long")
     return j.select("query_symbol", age.alias("age_days"), (age <= 90).alias("fresh"))
 
