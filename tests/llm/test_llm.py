@@ -72,7 +72,7 @@ def test_packing_keeps_everything_and_fills(spark, monkeypatch):
     # A third of the documents are copies: same place on the curve, other ids.
     places = [(i, rnd.choice([0, 1, 7, 60, 200, 400, 511, 512, 513, 3000]), 5 if i % 3 == 0 else rnd.randrange(2**48)) for i in range(6000)] + [(1, 512, 9), (1, 512, 9)]
     df = spark.createDataFrame(places, "doc_id long, n_tokens long, curve_key long").withColumn("plan_id", F.lit("clash"))
-    plans = spark.createDataFrame([(1, 512), (2, 2048), (3, None), (4, 0)], "plan_id int, capacity_tokens int")
+    plans = spark.createDataFrame([(1, 512), (1, 600), (2, 2048), (3, None), (4, 0), (None, 512)], "plan_id int, capacity_tokens int")
     packed = packing.pack_along_curve(df, plans)
     rows = packed.collect()
     assert {r["plan_id"] for r in rows} == {1, 2}
@@ -80,6 +80,7 @@ def test_packing_keeps_everything_and_fills(spark, monkeypatch):
     report = {r["plan_id"]: r for r in packing.fill_report(packed, plans).collect()}
     assert report[1]["n_pieces"] == sum(r["plan_id"] == 1 for r in rows)
     assert packing.pack_along_curve(df.limit(0), plans).count() == 0
+    assert packing.pack_along_curve(df, plans.limit(0)).count() == 0
 
 
 def test_places_of_edge_texts(spark):

@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracewell.functions.keys import with_one_row
 from tracewell.sources.shared import materialize
 
 BLOCK_TOKENS = 1 << 16
@@ -160,5 +161,5 @@ def share_report(mixed: DataFrame, targets: DataFrame) -> DataFrame:
     got = per.groupBy("source").agg(F.sum("_t").alias("n_tokens"), F.sum("_u").alias("n_rows"), F.count(F.lit(1)).alias("n_documents"), F.max("_u").alias("most_uses"))
     whole = got.agg(F.sum("n_tokens").alias("_all"))
     zero = F.lit(0).cast("long")
-    out = targets.select("source", "target_share").join(got, "source", "left").crossJoin(F.broadcast(whole))  # one row
+    out = with_one_row(targets.select("source", "target_share").join(got, "source", "left"), whole)
     return out.select("source", "target_share", F.round(F.coalesce("n_tokens", zero) / F.col("_all"), 6).alias("actual_share"), *[F.coalesce(c, zero).alias(c) for c in ("n_tokens", "n_rows", "n_documents", "most_uses")])

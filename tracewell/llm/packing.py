@@ -32,6 +32,8 @@ WINDOW = 4096
 OPEN_CONTAINERS = 512
 # Items for which one task is responsible.
 ITEMS_PER_TASK = 100_000
+# More plans than this are refused, since every document is an item of each.
+MAX_PLANS = 1000
 
 
 def projection() -> np.ndarray:
@@ -193,16 +195,23 @@ def pack_along_curve(places: DataFrame, plans: DataFrame) -> DataFrame:
     """Every document packed under every plan.
 
     ``places``: (doc_id, n_tokens, curve_key); ``plans``: (plan_id,
-    capacity_tokens), a few rows with capacities above 0; rows without a
-    capacity plan nothing.  Result: (plan_id, container_id, slot, doc_id,
+    capacity_tokens), at most ``MAX_PLANS`` of them; rows without an id or a
+    capacity above 0 plan nothing, and of a repeated id the smallest capacity
+    counts.  Result: (plan_id, container_id, slot, doc_id,
     piece_no, token_from, token_to): piece_no counts the pieces of a document
     from 0, token_to is exclusive.  Documents without tokens take a slot of no
     size.  Repeated ids are items of their own.  No document is dropped.
     """
-    plans = plans.where(F.col("capacity_tokens") > 0).select(F.col("plan_id").cast("int"), F.col("capacity_tokens").cast("long"))
+    sound = plans.where((F.col("capacity_tokens") > 0) & F.col("plan_id").isNotNull())
+    known = sound.groupBy(F.col("plan_id").cast("int").alias("plan_id")).agg(F.min("capacity_tokens").cast("long").alias("capacity_tokens")).orderBy("plan_id").limit(MAX_PLANS + 1).collect()
+    if len(known) > MAX_PLANS:
+        raise ValueError(f"more than {MAX_PLANS} plans")
     places = materialize(places.select("doc_id", "n_tokens", "curve_key"), "curve-places")
-    items = places.crossJoin(plans)
-    tasks = max(1, -(-places.count() * plans.count() // ITEMS_PER_TASK))
+    each = F.array(*[F.struct(F.lit(r["plan_id"]).alias("plan_id"), F.lit(r["capacity_tokens"]).cast("long").alias("capacity_tokens")) for r in known])
+    if not known:
+        each = F.array().cast("array<struct<plan_id:int,capacity_tokens:bigint>>")
+    items = places.select("*", F.inline(each))
+    tasks = max(1, -(-places.count() * len(known) // ITEMS_PER_TASK))
     ordered = items.repartitionByRange(tasks, "plan_id", "curve_key", "doc_id").sortWithinPartitions("plan_id", "curve_key", "doc_id")
     return ordered.mapInArrow(_pack, "plan_id int, container_id long, slot int, doc_id long, piece_no int, token_from long, token_to long")
 
