@@ -173,3 +173,15 @@ def test_bodies_and_reports(spark, tmp_path):
     bodies.write_report(spark.createDataFrame([(1, None)], "i int, s string").coalesce(1), f"{tmp_path}/r")
     assert rows(listings.read_jsonl(spark, f"{tmp_path}/r", "i int, s string")) == [(1, None)]
     assert any('"s":null' in line[0] for line in spark.read.text(f"{tmp_path}/r").collect())
+
+
+@pytest.mark.parametrize("block", [1, 3, 1024])
+def test_missing_pairs_brute_force_and_hot_key(spark, block):
+    rnd = random.Random(4)
+    held = {k: [rnd.randrange(-1, n + 2) for _ in range(n)] for k, n in ((1, 1), (2, 2), (3, 7), (4, 9), (5, 17), (None, 4))}
+    held |= {6: list(range(12)), 7: [0] * 100 + [None, 3]}  # complete, and hot
+    df = spark.createDataFrame([(k, o) for k, os in held.items() for o in os], "k long, o int")
+    want = [(k, i, j) for k, os in held.items() for j in range(len(os)) for i in range(j) if i not in os or j not in os]
+    got = [tuple(r) for r in ranges.missing_pairs(df, "k", F.col("o"), block).collect()]
+    assert sorted((x for x in got if x[0] is not None)) == sorted(x for x in want if x[0] is not None) and sorted(x[1:] for x in got if x[0] is None) == sorted(x[1:] for x in want if x[0] is None)
+    assert ranges.missing_pairs(df.limit(0), "k", F.col("o"), block).count() == 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -32,3 +32,29 @@ def count_within(left: DataFrame, key: str, value: str, right: DataFrame, other:
     near = left.select(key, F.col(value).alias("_v"), F.explode(F.sequence(F.floor(F.col(value) / width) - 1, F.floor(F.col(value) / width) + 1)).alias("_b"))
     got = near.join(counts, "_b").where(F.abs(F.col("_v") - F.col("_w")) <= width).groupBy(key).agg(F.sum("_n").alias(name))
     return left.select(key).join(got, key, "left").select(key, F.coalesce(name, F.lit(0).cast("long")).alias(name))
+
+
+def missing_pairs(rows: DataFrame, key: str, ordinal: Column, block: int = 1024) -> DataFrame:
+    """(key, i, j): the pairs i < j < n of each key's n rows of which at least one ordinal is not among them.
+
+    Ordinals (counted from 0) are held per block of ``block`` of them, so no
+    row or task has a whole key: a key's blocks meet pairwise by equi-join of
+    (key, block), and a pair of blocks that lack nothing is never opened.  Every
+    pair that is formed is in the result, or has i >= j within one block.
+    """
+    width = F.lit(int(block)).cast("long")
+    ids = rows.select(F.col(key).alias("_key"), ordinal.cast("long").alias("_o"))
+    sizes = ids.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
+    held = ids.where(F.col("_o") >= 0).groupBy("_key", F.call_function("div", F.col("_o"), width).alias("_b")).agg(F.collect_set("_o").alias("_h"))
+    last = F.call_function("div", F.col("_n") - 1, width)
+    spans = sizes.select("_key", "_n", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_b"))
+    s, h = spans.alias("s"), held.alias("h")
+    every = F.sequence(F.col("s._b") * width, F.least((F.col("s._b") + 1) * width, F.col("s._n")) - 1)
+    full = s.join(h, F.col("s._key").eqNullSafe(F.col("h._key")) & (F.col("s._b") == F.col("h._b")), "left")
+    blocks = full.select("s._key", "s._n", "s._b", every.alias("_every"), F.array_except(every, F.coalesce("h._h", F.array().cast("array<bigint>"))).alias("_lacks"))
+    low = blocks.select("_key", "_every", "_lacks", F.explode(F.sequence(F.col("_b"), last)).alias("_to"))
+    a, b = low.alias("a"), blocks.alias("b")
+    met = a.join(b, F.col("a._key").eqNullSafe(F.col("b._key")) & (F.col("a._to") == F.col("b._b"))).where((F.size("a._lacks") > 0) | (F.size("b._lacks") > 0))
+    firsts = met.select(F.col("a._key").alias(key), F.explode("a._every").alias("i"), "a._lacks", F.col("b._every").alias("_every"), F.col("b._lacks").alias("_other"))
+    seconds = F.when(F.array_contains("_lacks", F.col("i")), F.col("_every")).otherwise(F.col("_other"))
+    return firsts.select(key, "i", F.explode(seconds).alias("j")).where(F.col("i") < F.col("j"))

@@ -116,6 +116,15 @@ def j17_missing_pairs(spark, d):
     return pairs.where(~F.array_contains("have", F.col("i"))).select("l_orderkey", "i", "j")
 
 
+@_query("""with n as (select l_orderkey, count(*) as n from lineitem group by all), o as (select l_orderkey, unnest(range(n)) as i from n), h as (select distinct l_orderkey, l_linenumber - 1 as i from lineitem),
+p as (select a.l_orderkey, a.i, b.i as j from o a join o b on a.l_orderkey = b.l_orderkey and a.i < b.i)
+select l_orderkey, i::int as i, j::int as j from p where not exists (select 1 from h where h.l_orderkey = p.l_orderkey and h.i = p.i) or not exists (select 1 from h where h.l_orderkey = p.l_orderkey and h.i = p.j)""")
+def j17_missing_pairs_all(spark, d):
+    """Of every order, and lacking either ordinal; j17_missing_pairs has orders of at most 8 lines that lack the first, as its SQL states."""
+    got = ranges.missing_pairs(table(spark, d, "lineitem"), "l_orderkey", F.col("l_linenumber") - 1)
+    return got.select("l_orderkey", F.col("i").cast("int").alias("i"), F.col("j").cast("int").alias("j"))
+
+
 @_query("select o_custkey, count(*) as n, count(*) filter (where o_orderstatus = 'F') as n_f, count(distinct o_orderpriority) as n_p, list_sort(list(distinct o_orderpriority)) as priorities from orders group by all having count(distinct o_orderpriority) > 2")
 def a1_counts_and_sets(spark, d):
     o = table(spark, d, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("o_orderstatus") == "F").alias("n_f"), F.count_distinct("o_orderpriority").alias("n_p"), F.array_sort(F.collect_set("o_orderpriority")).alias("priorities"))
