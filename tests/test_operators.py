@@ -3,6 +3,7 @@
 import datetime as dt
 import itertools
 import random
+import re
 from decimal import Decimal
 
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tracewell.functions import texts
 from tracewell.operators import evidence, ordered, ranges
+from tracewell.plans import reference_more
 from tracewell.sources import listings
 from tracewell.streaming import capture
 
@@ -185,3 +187,27 @@ def test_missing_pairs_brute_force_and_hot_key(spark, block):
     got = [tuple(r) for r in ranges.missing_pairs(df, "k", F.col("o"), block).collect()]
     assert sorted((x for x in got if x[0] is not None)) == sorted(x for x in want if x[0] is not None) and sorted(x[1:] for x in got if x[0] is None) == sorted(x[1:] for x in want if x[0] is None)
     assert ranges.missing_pairs(df.limit(0), "k", F.col("o"), block).count() == 0
+
+
+def test_redaction_of_whole_texts(spark):
+    amounts = (r"(?<![\w.,/-])\(?-?\d{1,3}(?:,\d{3})+(?:\.\d+)?\)?(?![\w,/-])", r"(?<![\w.,/-])\(?-?\d+\.\d+\)?%?(?![\w./-])", r"(?<![\w.,/-])-?\d+(?:\.\d+)?\s?%", r"(?<![\w.,/-])\d{5,}(?![\w.,/-])", r"(?:^|(?<=\s))[,.]\d[\d,.]*")
+
+    def want(text):
+        s = re.sub(r"\s+", " ", text or "").strip()
+        for p in amounts:
+            s = re.sub(p, "#", s)
+        return s
+
+    rnd = random.Random(2)
+    parts = ["1,234", "(12,000.50)", "4.6%", "12 %", "31.12.2024", "2024", "123456", "a", "é5", "-7.25", ",5", ".7", "/", "-", " ", "\x1c", "\t", "  ", " ", " ", " ", "٣٫٥", "٣,٤٥٦", "12/03/2024", "Rs.", "\U0001f600", "9", "(3)", "́", "²"]
+    cases = [None, "", " ", "x " * 100 + "1,234 end"] + ["".join(rnd.choice(parts) for _ in range(rnd.randrange(1, 60))) for _ in range(800)]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "i int, t string").select("i", texts.redacted("t").alias("r")).collect()
+    assert {r["i"]: r["r"] for r in got} == {i: want(t) for i, t in enumerate(cases)}
+
+
+def test_redaction_query_reads_past_the_opening(spark, tmp_path):
+    opening = "same opening " * 20
+    data = [(opening + "one 12,345",), (opening + "one 99,999",), (opening + "two",), (None,), ("a" + " " * 200 + "b 1,000",)]
+    spark.createDataFrame(data, "text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = rows(reference_more.x17_redaction_whole(spark, str(tmp_path)), "snippet", "n")
+    assert got == sorted([("", 1), ("a b #", 1), (opening[:160], 2), (opening[:160], 1)])

@@ -111,3 +111,24 @@ def accepted_path(c: str | Column) -> Column:
         .when(p.rlike(r"\s"), "white_space")
         .otherwise("ok")
     )
+
+
+# Digits, word characters and blanks of any script, as Python's patterns have them.
+_DIGIT, _WORD, _BLANK = r"\p{Nd}", r"\p{L}\p{N}_", r"[\x09-\x0d\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_APART = rf"(?<![{_WORD}.,/\-])"
+# Each starts with a look at its first character, which rejects most places at once.
+_AMOUNTS = (
+    rf"(?=[(\-{_DIGIT}]){_APART}\(?-?{_DIGIT}{{1,3}}(?:,{_DIGIT}{{3}})+(?:\.{_DIGIT}+)?\)?(?![{_WORD},/\-])",
+    rf"(?=[(\-{_DIGIT}]){_APART}\(?-?{_DIGIT}+\.{_DIGIT}+\)?%?(?![{_WORD}./\-])",
+    rf"(?=[\-{_DIGIT}]){_APART}-?{_DIGIT}+(?:\.{_DIGIT}+)? ?%",
+    rf"(?={_DIGIT}){_APART}{_DIGIT}{{5,}}(?![{_WORD}.,/\-])",
+    rf"(?=[,.])(?:^|(?<= ))[,.]{_DIGIT}[{_DIGIT},.]*",
+)
+
+
+def redacted(c: str | Column) -> Column:
+    """A whole text with its blanks collapsed, then amounts and percentages as ``#``; dates and years stay.  Null counts as empty."""
+    out = F.trim(F.regexp_replace(F.coalesce(as_col(c), F.lit("")), f"{_BLANK}+", " "))
+    for p in _AMOUNTS:
+        out = F.regexp_replace(out, p, "#")
+    return out

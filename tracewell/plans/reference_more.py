@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tracewell.functions import keys, listing
+from tracewell.functions import keys, listing, texts
 from tracewell.operators import ordered, ranges
 from tracewell.plans.reference import _MEMBERS, QUERIES, SQL, _query, members
 from tracewell.sources import listings
@@ -191,6 +191,14 @@ def x17_redaction(spark, d):
     return table(spark, d, "documents").select(t.alias("redacted")).groupBy("redacted").agg(F.count(F.lit(1)).alias("n"))
 
 
+@_query(None)
+def x17_redaction_whole(spark, d):
+    """Whole texts redacted as in the reference, told apart by all of their result; x17_redaction reads the first 160 characters, as its SQL states."""
+    t = table(spark, d, "documents").select(texts.redacted("text").alias("t"))
+    rows = t.select(F.sha2("t", 256).alias("redacted_sha256"), F.substring("t", 1, 160).alias("snippet"))
+    return rows.groupBy("redacted_sha256", "snippet").agg(F.count(F.lit(1)).alias("n"))
+
+
 @_query(r"""select delivery_no, regexp_extract(path, '(\d+)_(\d{10,13})\.[A-Za-z]+$', 1) as sec_id, case when length(e) = 13 then e::bigint when e <> '' then e::bigint * 1000 end as epoch_ms from (select *, regexp_extract(path, '(\d+)_(\d{10}|\d{13})\.[A-Za-z]+$', 2) as e from filings where regexp_matches(path, '(\d+)_(\d{10}|\d{13})\.[A-Za-z]+$'))""")
 def x18_path_epoch(spark, d):
     p = r"(\d+)_(\d{10}|\d{13})\.[A-Za-z]+$"
