@@ -2,6 +2,7 @@
 
 import datetime as dt
 import itertools
+import json
 import random
 import re
 from decimal import Decimal
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tracewell.functions import texts
 from tracewell.operators import evidence, ordered, ranges
-from tracewell.plans import reference_more
+from tracewell.plans import reference_more, reference_text
 from tracewell.sources import listings
 from tracewell.streaming import capture
 
@@ -211,3 +212,11 @@ def test_redaction_query_reads_past_the_opening(spark, tmp_path):
     spark.createDataFrame(data, "text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = rows(reference_more.x17_redaction_whole(spark, str(tmp_path)), "snippet", "n")
     assert got == sorted([("", 1), ("a b #", 1), (opening[:160], 2), (opening[:160], 1)])
+
+
+def test_every_isin_of_a_body(spark, tmp_path):
+    body = {"bodies": [{"reqSymbolInfo": {"isin": "ZZ0001N1"}}, {"reqSymbolInfo": {"isin": "ZZ0001X2"}}, {"reqSymbolInfo": {"isin": "ZZ0002N3"}}]}
+    once = json.dumps(body, indent=1)
+    data = [(1, once), (1, once), (2, json.dumps(once)), (3, json.dumps(json.dumps(json.dumps({"isin": "ZZ0003N1"})))), (4, None), (5, "{}")]
+    spark.createDataFrame(data, "raw_id long, body string").write.parquet(f"{tmp_path}/company_info_raw.parquet")
+    assert rows(reference_text.x22_issuer_codes_all(spark, str(tmp_path)), "issuer_code", "n_bodies", "n_isins") == [("0001", 2, 2), ("0002", 2, 1), ("0003", 1, 1)]
