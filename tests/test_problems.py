@@ -149,6 +149,24 @@ def test_source_scales(spark):
     assert {r["source"]: r["log10_scale"] for r in got.collect()} == {"units": 0.0, "thousands": 3.0, "millions": 6.0}
 
 
+def test_source_scales_long_chains_offsets_and_pairs_without_the_hub(spark):
+    rng = np.random.default_rng(3)
+    data = []
+    for hop in range(6):  # s0 - s1 - ... - s6, each pair of neighbours on entities of its own
+        for e in range(12):
+            v = float(rng.uniform(1e6, 9e6))
+            data += [(f"{hop}/{e}", f"s{hop}", v), (f"{hop}/{e}", f"s{hop + 1}", v / 1e3 if hop % 2 == 0 else v * 1e3)]
+    for e in range(4):  # a pair that meets only where the largest source stands too, which it has no conversion to
+        v = float(10 ** rng.uniform(6, 9))
+        data += [(f"h{e}", "s0", v), (f"h{e}", "t", v / 1e6), (f"h{e}", "huge", float(rng.uniform(3, 4)) * 10 ** (3 * e)), (f"h{e}", "shifted", v / 1e3 + 5e8)]
+    data += [(f"only{e}", "huge", 1.0) for e in range(500)]
+    df = spark.createDataFrame(data, "e string, s string, v double")
+    got = {r["source"]: r for r in units.source_scales(df, F.col("e"), F.col("s"), F.col("v"), spark.createDataFrame([("s0", 0.0)], "source string, log10_scale double")).collect()}
+    assert {k: (r["log10_scale"], r["hops"]) for k, r in got.items() if k[0] == "s" and k != "shifted"} == {f"s{i}": (3.0 * (i % 2), i) for i in range(7)}
+    assert got["t"]["log10_scale"] == 6.0 and abs(got["t"]["offset"]) < 1
+    assert got["shifted"]["log10_scale"] == 3.0 and abs(got["shifted"]["offset"] + 5e11) < 1e6
+
+
 # -- 5 ----------------------------------------------------------------------------------------
 def test_redelivery_rules(spark):
     data = [(1, "a", ts(5)), (2, "a", ts(3)), (3, "a", ts(3)), (4, "b", None), (5, "b", ts(900)), (6, None, ts(1)), (7, None, ts(1)), (8, "c", ts(1))]
