@@ -84,6 +84,26 @@ def test_nested_long_and_copies(spark):
     assert bridge.where("depth = 1").select("parent_hash").distinct().count() == 1
 
 
+def test_every_nested_object_has_identity_parent_and_row(spark):
+    stats = {"deals": [1], "deep": {"x": [[{"y": 1}], {"y": 1}]}}
+    one = {"reqSymbolInfo": {"symbol": "A", "tradeWindows": [{"n": 1, "stats": stats}, None, {"n": 2, "stats": stats}]}, "reqTagsLogo": {"id": 1}, "reqLogo": [{"secId": 7, "v": {"id": 1}}]}
+    df = spark.createDataFrame([(1, json.dumps(one)), (1, json.dumps(one)), (2, json.dumps(json.dumps({"bodies": [None, one]}))), (3, "{"), (4, None)], "raw_id long, body string")
+    bridge, objects = nested.flatten_objects(df, "raw_id", "body", COMPANY_BODY)
+    got, content = bridge.collect(), {bytes(r["object_hash"]): r["content"] for r in objects.collect()}
+    assert len(got) == 2 * 15 and {(r["record_id"], r["root_no"]) for r in got} == {(1, 0), (2, 1)} and len(content) == 9
+
+    def rebuild(h):
+        return json.loads(content[h], object_hook=lambda o: rebuild(bytes.fromhex(o["#"])) if set(o) == {"#"} else o)
+
+    assert all(rebuild(bytes(r["object_hash"])) == one for r in got if r["path"] == "$")
+    assert all((r["parent_hash"] is None) == (r["depth"] == 0) and bytes(r["object_hash"]) in content for r in got)
+    by = {r["path"]: r for r in got if r["record_id"] == 1}
+    deep = by['$["reqSymbolInfo"]["tradeWindows"][2]["stats"]["deep"]["x"][0][0]']
+    assert (deep["depth"], deep["field_name"], deep["ordinal"]) == (5, "x", 0) and deep["object_hash"] == by['$["reqSymbolInfo"]["tradeWindows"][0]["stats"]["deep"]["x"][1]']["object_hash"]
+    assert by['$["reqTagsLogo"]']["parent_hash"] == by["$"]["object_hash"] and by['$["reqTagsLogo"]']["object_hash"] == by['$["reqLogo"][0]["v"]']["object_hash"]
+    assert nested.flatten_objects(df.limit(0), "raw_id", "body", COMPANY_BODY)[0].count() == 0
+
+
 # -- 3 ----------------------------------------------------------------------------------------
 def test_snapshot_changes(spark):
     data = [(1, 1, "a"), (1, 2, "b"), (1, 2, "b"), (4, 1, "a"), (4, 2, "c"), (4, 3, "d"), (6, 3, "d"), (6, None, "z"), (None, 1, "q"), (9, 1, None), (9, 3, None)]

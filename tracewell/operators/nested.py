@@ -13,6 +13,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -178,6 +179,87 @@ def flatten_nested(records: DataFrame, id_col: str, body_col: str, layout: Layou
     return bridge, objects
 
 
+_ALL_SCHEMA = "is_object boolean, record_id long, root_no int, path string, depth int, field_name string, ordinal int, object_hash binary, parent_hash binary, content string"
+# Texts nested deeper than the JSON parser follows are refused by it; what it returns is walked whole.
+_DEEPEST = 1_000_000
+
+
+def _walk(value: dict) -> tuple[bytes, list[tuple], dict[bytes, str]]:
+    """(hash, occurrences, contents) of an object and every object below it.
+
+    An occurrence is (path, depth, field, ordinal, hash, parent hash).
+    """
+    found: list[tuple] = []
+    contents: dict[bytes, str] = {}
+
+    def seal(obj: dict, path: str, depth: int) -> bytes:
+        below: list[tuple] = []
+
+        def mark(v, field: str, at: str, ordinal: int):
+            if isinstance(v, dict):
+                h = seal(v, at, depth + 1)
+                below.append((at, depth + 1, field, ordinal, h))
+                return {"#": h.hex()}
+            if isinstance(v, list):
+                return [mark(x, field, f"{at}[{i}]", i) for i, x in enumerate(v)]
+            return v
+
+        content = _canonical({k: mark(v, k, f"{path}[{json.dumps(k, ensure_ascii=False)}]", 0) for k, v in obj.items()})
+        h = _hash(content)
+        contents[h] = content
+        found.extend((*b, h) for b in below)
+        return h
+
+    top = seal(value, "$", 0)
+    return top, found, contents
+
+
+def _all_objects(layout: Layout):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sys.setrecursionlimit(_DEEPEST)
+        kinds = (pa.bool_(), pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.string())
+        schema = pa.schema([(c.split()[0], t) for c, t in zip(_ALL_SCHEMA.split(", "), kinds)])
+        sent: set[bytes] = set()
+        for b in batches:
+            rows: list[tuple] = []
+            for record_id, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if body is None:
+                    continue
+                try:
+                    roots = _roots(_load(body), layout)
+                except (ValueError, RecursionError):
+                    continue
+                for root_no, root in roots:
+                    top, found, contents = _walk(root)
+                    rows.append((False, record_id, root_no, "$", 0, None, root_no, top, None, None))
+                    rows += [(False, record_id, root_no, _clean(path), depth, _clean(field), i, h, parent, None) for path, depth, field, i, h, parent in found]
+                    for h, content in contents.items():
+                        if h not in sent:
+                            if len(sent) >= SENT_MEMORY:
+                                sent.clear()
+                            sent.add(h)
+                            rows.append((True, None, None, None, None, None, None, h, None, _clean(content)))
+            columns = list(zip(*rows)) if rows else [[] for _ in schema]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, schema)], schema=schema)
+
+    return run
+
+
+def flatten_objects(records: DataFrame, id_col: str, body_col: str, layout: Layout) -> tuple[DataFrame, DataFrame]:
+    """(bridge, objects) of every object in the bodies, from the record objects down, in any field and array at any depth.
+
+    bridge: (record_id, root_no, path, depth, field_name, ordinal, object_hash,
+    parent_hash), one row per occurrence; the record object itself has path
+    ``$``, depth 0 and no parent.  objects: (object_hash, content), one row per
+    distinct object, in whose content every child object stands as ``{"#":
+    hash}``.  What gives nothing is as in ``flatten_nested``.
+    """
+    flat = materialize(records.select(F.col(id_col).cast("long"), F.col(body_col)).mapInArrow(_all_objects(layout), _ALL_SCHEMA), "nested-all", ("is_object",))
+    bridge = flat.where(~F.col("is_object")).drop("is_object", "content").dropDuplicates(["record_id", "root_no", "path", "object_hash", "parent_hash"])
+    objects = flat.where("is_object").select("object_hash", "content").dropDuplicates(["object_hash"])
+    return bridge, objects
+
+
 def owner_keys(bridge: DataFrame, objects: DataFrame, key_of: dict[str, str]) -> DataFrame:
     """Bridge rows with ``key_value``: a field of the block's object (of the parent for inner objects).
 

@@ -58,6 +58,18 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return found.select(F.col("record_id").alias("raw_id"), F.col("root_no").alias("company_no"), "block_name", "item_path", "key_value")
 
 
+def p2_bridge(spark: SparkSession, d: str) -> DataFrame:
+    """Every occurrence of an object in the company bodies, down from the company object."""
+    bridge, _ = nested.flatten_objects(table(spark, d, "company_info_raw"), "raw_id", "body", COMPANY_BODY)
+    return bridge.withColumnsRenamed({"record_id": "raw_id", "root_no": "company_no"}).withColumns({c: F.lower(F.hex(c)) for c in ("object_hash", "parent_hash")})
+
+
+def p2_objects(spark: SparkSession, d: str) -> DataFrame:
+    """Every distinct object of the company bodies once."""
+    _, objects = nested.flatten_objects(table(spark, d, "company_info_raw"), "raw_id", "body", COMPANY_BODY)
+    return objects.withColumn("object_hash", F.lower(F.hex("object_hash")))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "listing_snapshots")
     found = snapshots.snapshot_changes(rows, "snapshot_no", "cse_filing_id", listing.raw_content("raw_item"))
@@ -138,4 +150,4 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return rows.where(later).select("table_name", "row_key", F.coalesce("decision_id", none).alias("decision_id"), F.coalesce("delivery_no", none).alias("delivery_no"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p3_found, p3_values, p4_found, p4_source_scales, p5_found, p6_found, p7_found, p7_known)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_bridge, p2_objects, p3_found, p3_values, p4_found, p4_source_scales, p5_found, p6_found, p7_found, p7_known)}
