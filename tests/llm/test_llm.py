@@ -208,3 +208,12 @@ def test_labels(spark):
     names = ["en", "EN-lk", "en_GB", " English ", "sin", "Sinhala", "xx", "", None, "und", "ger", "Tamil"]
     got = [r[0] for r in spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, n string").orderBy("i").select(langid.iso_label(F.col("n"))).collect()]
     assert got == ["en", "en", "en", "en", "si", "si", None, None, None, None, "de", "ta"]
+
+
+def test_bounded_sample_has_every_language(spark, monkeypatch):
+    data = [("de", f"d{i}") for i in range(50)] + [("si", "s0"), ("si", "s1"), ("ta", "t0"), (None, "x"), ("ta", None)]
+    df = spark.createDataFrame(data, "lang string, sample_text string").repartition(3)
+    assert langid._sampled(df, "lang", "sample_text") == sorted((a, b) for a, b in data if a and b)
+    monkeypatch.setattr(langid, "MAX_SAMPLES", 5)
+    got = langid._sampled(df, "lang", "sample_text")
+    assert len(got) == 5 and {("si", "s0"), ("si", "s1"), ("ta", "t0")} < set(got) and got == sorted(got)

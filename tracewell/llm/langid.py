@@ -193,10 +193,17 @@ class _Memory(dict):
         return len(self.rows) - 1
 
 
+def _sampled(samples: DataFrame, lang: str, text: str) -> list[tuple[str, str]]:
+    """At most ``MAX_SAMPLES`` labelled rows, taken from all languages in turn by hash of the text, ordered by language and text."""
+    turn = F.row_number().over(Window.partitionBy("_l").orderBy(F.xxhash64("_t"), "_t"))
+    rows = samples.select(F.col(lang).alias("_l"), F.col(text).alias("_t")).where(F.col("_l").isNotNull() & F.col("_t").isNotNull())
+    kept = rows.withColumn("_r", turn).where(F.col("_r") <= MAX_SAMPLES).orderBy("_r", "_l").limit(MAX_SAMPLES)
+    return [(r[0], r[1]) for r in kept.select("_l", "_t").orderBy("_l", "_t").collect()]
+
+
 def fit_codes(samples: DataFrame, lang: str, text: str) -> LanguageCodes:
     """Classifiers from at most ``MAX_SAMPLES`` labelled rows of ``samples``."""
-    rows = samples.select(lang, text).where(F.col(lang).isNotNull() & F.col(text).isNotNull()).orderBy(lang, text).limit(MAX_SAMPLES).collect()
-    return LanguageCodes.fit([(r[0], r[1]) for r in rows])
+    return LanguageCodes.fit(_sampled(samples, lang, text))
 
 
 def refit_codes(model: LanguageCodes, samples: DataFrame, documents: DataFrame, lang: str = "lang", sample_text: str = "sample_text", id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> LanguageCodes:
@@ -214,7 +221,7 @@ def refit_codes(model: LanguageCodes, samples: DataFrame, documents: DataFrame,
     lines = F.slice(F.filter(F.split(F.col(text_col), "\n"), lambda x: x.rlike(r"\p{L}")), 1, LINES_PER_DOCUMENT)
     # Joined before they are divided into lines, so only the chosen texts are.
     rows = documents.select(id_col, text_col).join(F.broadcast(chosen.select(id_col, "_l")), id_col).select("_l", id_col, lines.alias("_t")).orderBy("_l", id_col).collect()
-    out = [(r[0], r[1]) for r in samples.select(lang, sample_text).where(F.col(lang).isNotNull() & F.col(sample_text).isNotNull()).orderBy(lang, sample_text).limit(MAX_SAMPLES).collect()]
+    out = _sampled(samples, lang, sample_text)
     for r in rows:
         if not r["_t"]:
             continue
