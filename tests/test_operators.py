@@ -210,7 +210,7 @@ def test_redaction_query_reads_past_the_opening(spark, tmp_path):
     opening = "same opening " * 20
     data = [(opening + "one 12,345",), (opening + "one 99,999",), (opening + "two",), (None,), ("a" + " " * 200 + "b 1,000",)]
     spark.createDataFrame(data, "text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = rows(reference_more.x17_redaction_whole(spark, str(tmp_path)), "snippet", "n")
+    got = rows(reference_more.x17_redaction(spark, str(tmp_path)), "snippet", "n")
     assert got == sorted([("", 1), ("a b #", 1), (opening[:160], 2), (opening[:160], 1)])
 
 
@@ -219,4 +219,4 @@ def test_every_isin_of_a_body(spark, tmp_path):
     once = json.dumps(body, indent=1)
     data = [(1, once), (1, once), (2, json.dumps(once)), (3, json.dumps(json.dumps(json.dumps({"isin": "ZZ0003N1"})))), (4, None), (5, "{}")]
     spark.createDataFrame(data, "raw_id long, body string").write.parquet(f"{tmp_path}/company_info_raw.parquet")
-    assert rows(reference_text.x22_issuer_codes_all(spark, str(tmp_path)), "issuer_code", "n_bodies", "n_isins") == [("0001", 2, 2), ("0002", 2, 1), ("0003", 1, 1)]
+    assert rows(reference_text.x22_issuer_codes(spark, str(tmp_path)), "issuer_code", "n_bodies", "n_isins") == [("0001", 2, 2), ("0002", 2, 1), ("0003", 1, 1)]

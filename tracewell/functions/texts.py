@@ -113,10 +113,26 @@ def accepted_path(c: str | Column) -> Column:
     )
 
 
+# A document path ends in <security id>_<epoch of 10 to 13 digits>.<extension>.
+_PATH_END = r"(?:^|/)([0-9]+)_([0-9]{10,13})\.[A-Za-z0-9]+$"
+
+
+def path_security(c: str | Column) -> Column:
+    """The security id in a document path; null where the path has none."""
+    return F.nullif(F.regexp_extract(as_col(c), _PATH_END, 1), F.lit(""))
+
+
+def path_epoch(c: str | Column) -> Column:
+    """Milliseconds since 1970 in a document path: 13 digits are milliseconds, 10 to 12 are seconds; null where there are none."""
+    e = F.regexp_extract(as_col(c), _PATH_END, 2)
+    return F.when(F.length(e) == 13, e.try_cast("long")).otherwise(e.try_cast("long") * 1000)
+
+
 # Digits, word characters and blanks of any script, as Python's patterns have them.
 _DIGIT, _WORD, _BLANK = r"\p{Nd}", r"\p{L}\p{N}_", r"[\x09-\x0d\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _APART = rf"(?<![{_WORD}.,/\-])"
-# Each starts with a look at its first character, which rejects most places at once.
+# What counts as an amount or a percentage, in the order of replacement.  Each starts with a
+# look at its first character, which rejects most places at once.
 _AMOUNTS = (
     rf"(?=[(\-{_DIGIT}]){_APART}\(?-?{_DIGIT}{{1,3}}(?:,{_DIGIT}{{3}})+(?:\.{_DIGIT}+)?\)?(?![{_WORD},/\-])",
     rf"(?=[(\-{_DIGIT}]){_APART}\(?-?{_DIGIT}+\.{_DIGIT}+\)?%?(?![{_WORD}./\-])",

@@ -56,17 +56,10 @@ def x19_feed_dates(spark, d):
     return keys.kept_once(instants.with_utc_micros(rows, "uploaded_date", None, "utc_us"), F.col("utc_us").isNotNull()).select("feed_row_no", "utc_us")
 
 
-@_query(r"""select regexp_extract(isin, '^ZZ(\d{4})', 1) as issuer_code, count(*) as n_bodies, count(distinct isin) as n_isins from (select raw_id, regexp_extract(any_value(body), '"isin" ?: ?\\?"(ZZ\d{4}[A-Z]\d)', 1) as isin from company_info_raw where body is not null group by raw_id) where isin <> '' group by all""")
-def x22_issuer_codes(spark, d):
-    isin = F.regexp_extract("body", r'"isin" ?: ?\\?"(ZZ\d{4}[A-Z]\d)', 1)
-    r = table(spark, d, "company_info_raw").where(F.col("body").isNotNull()).select("raw_id", isin.alias("isin")).where(F.col("isin") != "").distinct()
-    return r.groupBy(F.regexp_extract("isin", r"^ZZ(\d{4})", 1).alias("issuer_code")).agg(_n().alias("n_bodies"), F.count_distinct("isin").alias("n_isins"))
-
-
 @_query(r"""select regexp_extract(isin, '^ZZ(\d{4})', 1) as issuer_code, count(distinct raw_id) as n_bodies, count(distinct isin) as n_isins
 from (select raw_id, unnest(regexp_extract_all(body, '"isin\\*"(?:\s|\\+[nrt])*:(?:\s|\\+[nrt])*\\*"(ZZ\d{4}[A-Z]\d)', 1)) as isin from company_info_raw) group by all""")
-def x22_issuer_codes_all(spark, d):
-    """Of every ISIN of a body, in JSON texts inside JSON texts as well; x22_issuer_codes has the first plain one, as its SQL states."""
+def x22_issuer_codes(spark, d):
+    """Of every ISIN of a body, in JSON texts inside JSON texts as well."""
     every = F.regexp_extract_all("body", F.lit(r'"isin\\*"(?:\s|\\+[nrt])*:(?:\s|\\+[nrt])*\\*"(ZZ[0-9]{4}[A-Z][0-9])'), F.lit(1))
     r = table(spark, d, "company_info_raw").select("raw_id", F.explode(every).alias("isin")).distinct()
     return r.groupBy(F.regexp_extract("isin", r"^ZZ([0-9]{4})", 1).alias("issuer_code")).agg(F.count_distinct("raw_id").alias("n_bodies"), F.count_distinct("isin").alias("n_isins"))
