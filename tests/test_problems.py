@@ -58,8 +58,8 @@ def test_orphans_hot_key_brute_force(spark):
 # -- 2 ----------------------------------------------------------------------------------------
 def flat(spark, bodies):
     df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "raw_id long, body string")
-    bridge, objects = nested.flatten_nested(df, "raw_id", "body", COMPANY_BODY)
-    return nested.owner_keys(bridge, objects, COMPANY_KEYS), objects
+    bridge, objects = nested.flatten_objects(df, "raw_id", "body", COMPANY_BODY)
+    return nested.owner_keys(nested.block_rows(bridge, COMPANY_BODY), objects, COMPANY_KEYS), objects
 
 
 def test_nested_shapes(spark):
@@ -69,19 +69,68 @@ def test_nested_shapes(spark):
     per = [("reqLogo", "1", "7"), ("reqLogo", "2", ""), ("reqSymbolInfo", "0", "A"), ("reqSymbolInfo", "0.0", "A"), ("reqSymbolInfo", "0.2", "A")]
     want = sorted((i, n, *p) for i, n in ((0, 0), (1, 0), (2, 1), (3, 0)) for p in per)
     assert rows(found, "record_id", "root_no", "block_name", "item_path", "key_value") == want
-    # Every distinct object once, whatever the spelling of its keys.
-    assert objects.count() == 5
+    # Every distinct object once, whatever the spelling of its keys: the company, its five objects, and {}.
+    assert objects.count() == 7
     again, same = flat(spark, ['{"reqLogo":{"a":1,"b":{"c":[1]}}}', '{"reqLogo": {"b": {"c":[ 1 ]}, "a": 1}}'])
-    assert same.count() == 1 and again.count() == 2
+    assert same.count() == 3 and again.count() == 2
     assert flat(spark, [None])[0].count() == 0
 
 
+def test_every_company_of_wrappers_in_lists_and_of_texts_in_texts(spark):
+    company = lambda s: {"reqSymbolInfo": {"symbol": s}}
+    deep = json.dumps(company("Z"))
+    for _ in range(9):
+        deep = json.dumps(deep)
+    bodies = [json.dumps([{"body": [company("A"), company("B")]}, company("C")]), json.dumps([[company("A")]]), json.dumps({"bodies": [json.dumps(company("A")), "no json", None, company("B")]}), deep]
+    found, _ = flat(spark, bodies)
+    want = [(0, 0, "A"), (0, 1, "B"), (0, 2, "C"), (1, 0, "A"), (2, 0, "A"), (2, 3, "B"), (3, 0, "Z")]
+    assert rows(found, "record_id", "root_no", "key_value") == want
+
+
 def test_nested_long_and_copies(spark):
     big = json.dumps({"reqSymbolInfo": [{"symbol": "x" * 100_000, "tradeWindows": [{"n": i % 3} for i in range(3000)]}]})
     df = spark.createDataFrame([(1, big), (1, big)], "raw_id long, body string")
-    bridge, objects = nested.flatten_nested(df, "raw_id", "body", COMPANY_BODY)
-    assert bridge.count() == 3001 and objects.count() == 4
-    assert bridge.where("depth = 1").select("parent_hash").distinct().count() == 1
+    bridge, objects = nested.flatten_objects(df, "raw_id", "body", COMPANY_BODY)
+    assert bridge.count() == 3002 and objects.count() == 5
+    assert bridge.where("depth = 2").select("parent_hash").distinct().count() == 1
+
+
+def sorted_json(v):
+    """Canonical JSON of a value in which numbers are texts marked by a bell, by a recursion of its own."""
+    if isinstance(v, dict):
+        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{sorted_json(v[k])}" for k in sorted(v)) + "}"
+    if isinstance(v, list):
+        return "[" + ",".join(map(sorted_json, v)) + "]"
+    return v[1:] if isinstance(v, str) and v[:1] == "\a" else json.dumps(v, ensure_ascii=False)
+
+
+def test_bodies_are_rebuilt_byte_for_byte(spark):
+    rnd = random.Random(6)
+
+    def value(depth):
+        kind = rnd.randrange(9 if depth else 6)
+        if kind < 6:
+            return rnd.choice(["1", "1.0", "-0.10", "2E+5", "123456789012345678901234567890", "null", "true", '"a"', '"#"', '"\\ue0001"', '"\ue000"', '"\\\\ue000"', '"{\\"x\\":1}"', '"ස"', "[]", "{}"])
+        if kind == 6:
+            return "[" + ", ".join(value(depth - 1) for _ in range(rnd.randrange(4))) + "]"
+        return "{ " + ",".join(f'"{k}" : {value(depth - 1)}' for k in rnd.sample(["#", "a", "b.c", r'd\"e', "ස", "[0]"], rnd.randrange(5))) + "}"
+
+    bodies = [f'{{"reqLogo": {value(5)}, "history": {value(5)}}}' for _ in range(60)] + ['{"history":{}}', '{"history":[{}]}', '{"history":[[{}]]}']
+    df = spark.createDataFrame(list(enumerate(bodies)), "raw_id long, body string")
+    bridge, objects = nested.flatten_objects(df, "raw_id", "body", COMPANY_BODY)
+    decode = lambda s: json.loads(s, parse_int="\a".__add__, parse_float="\a".__add__)
+    content, got = {bytes(r["object_hash"]): decode(r["content"]) for r in objects.collect()}, bridge.collect()
+
+    def rebuild(h):
+        # Every object below the top of a content is a mark.
+        fill = lambda v: rebuild(bytes.fromhex(v["#"])) if isinstance(v, dict) else [fill(x) for x in v] if isinstance(v, list) else v
+        return {k: fill(v) for k, v in content[h].items()}
+
+    tops = {r["record_id"]: bytes(r["object_hash"]) for r in got if r["path"] == "$"}
+    assert all(sorted_json(rebuild(tops[i])) == sorted_json(decode(b)) for i, b in enumerate(bodies))
+    # A lone object, a list of one and a list in a list are three contents.
+    assert len({tops[60], tops[61], tops[62]}) == 3
+    assert len({(r["record_id"], r["path"]) for r in got}) == len(got)
 
 
 def test_every_nested_object_has_identity_parent_and_row(spark):
@@ -91,11 +140,6 @@ def test_every_nested_object_has_identity_parent_and_row(spark):
     bridge, objects = nested.flatten_objects(df, "raw_id", "body", COMPANY_BODY)
     got, content = bridge.collect(), {bytes(r["object_hash"]): r["content"] for r in objects.collect()}
     assert len(got) == 2 * 15 and {(r["record_id"], r["root_no"]) for r in got} == {(1, 0), (2, 1)} and len(content) == 9
-
-    def rebuild(h):
-        return json.loads(content[h], object_hook=lambda o: rebuild(bytes.fromhex(o["#"])) if set(o) == {"#"} else o)
-
-    assert all(rebuild(bytes(r["object_hash"])) == one for r in got if r["path"] == "$")
     assert all((r["parent_hash"] is None) == (r["depth"] == 0) and bytes(r["object_hash"]) in content for r in got)
     by = {r["path"]: r for r in got if r["record_id"] == 1}
     deep = by['$["reqSymbolInfo"]["tradeWindows"][2]["stats"]["deep"]["x"][0][0]']

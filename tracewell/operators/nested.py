@@ -1,11 +1,13 @@
 """Deeply nested records as related flat tables, by Merkle subtree identities.
 
-Every object of a record is canonicalised (keys sorted, no blanks) and hashed
-bottom-up, so an object's hash covers its whole subtree.  Identical objects are
-stored once; each occurrence is kept as a bridge row that names its parent, the
-field it stands in and its ordinal.  The parse is one narrow Python stage over
-Arrow batches; content of an object leaves a task about once (a bounded memory
-of hashes already sent), so repeated subtrees never travel.
+Every object of a record is canonicalised (keys sorted, no blanks, numbers as
+written) and hashed bottom-up: in an object's content each object below it
+stands as ``{"#": hash}``, so a hash covers its whole subtree.  Identical
+objects are stored once; each occurrence is a bridge row that names its parent,
+the field it stands in and its ordinal, and every record can be built again
+from the two tables.  Exact copies of a record are dropped before it is parsed;
+the parse is one Python stage over Arrow batches in which content of an object
+leaves a task about once (a bounded memory of hashes already sent).
 """
 
 from __future__ import annotations
@@ -13,31 +15,33 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import re
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.sources.shared import materialize
 
-# JSON texts inside JSON texts are opened this many times.
-MAX_ENCODINGS = 4
 # Hashes a task remembers as already sent (16 bytes each and set overhead).
 SENT_MEMORY = 200_000
+# Texts nested deeper than the JSON parser follows are refused by it; what it returns is walked whole.
+_DEEPEST = 1_000_000
+# Stands before a number, which is kept as it was written; repeated more often than a text itself has it.
+_MARK = "\ue000"
 
-_SCHEMA = "is_object boolean, record_id long, root_no int, block_name string, item_path string, depth int, field_name string, ordinal int, object_hash binary, parent_hash binary, content string"
+_SCHEMA = "is_object boolean, record_id long, root_no int, path string, depth int, field_name string, ordinal int, object_hash binary, parent_hash binary, content string"
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Where record objects lie in a body and what is followed inside them.
+    """Where record objects lie in a body and which of their blocks have inner arrays.
 
     ``wrappers``: keys under which record objects may be wrapped; ``blocks``:
-    the blocks of a record object; ``inner``: array fields of a block's object
-    whose objects become child rows.
+    the blocks of a record object; ``inner``: array fields of a block's object.
     """
 
     wrappers: tuple[str, ...]
@@ -45,234 +49,210 @@ class Layout:
     inner: tuple[str, ...]
 
 
-class _Text(str):
-    """A JSON number kept as it was written."""
-
-
 def _no_constant(name: str):
     raise ValueError(name)
 
 
-def _load(text: str):
-    """The JSON value of a text, opening texts of JSON; ValueError if it is none."""
-    decode = functools.partial(json.loads, parse_float=_Text, parse_int=_Text, parse_constant=_no_constant)
-    value = decode(text)
-    for _ in range(MAX_ENCODINGS):
-        if isinstance(value, _Text) or not isinstance(value, str):
-            break
-        value = decode(value)
-    return value
+_ENCODE = json.JSONEncoder(ensure_ascii=False, sort_keys=True, separators=(",", ":")).encode
 
 
-def _roots(value, layout: Layout) -> list:
-    """(place, record object) in a body; a null or non-object keeps its place."""
-    if isinstance(value, str) and not isinstance(value, _Text):
-        try:
-            value = _load(value)
-        except ValueError:
-            return []
-    if isinstance(value, list):
-        return [(i, found[0][1]) for i, v in enumerate(value) if not isinstance(v, list) and (found := _roots(v, layout))]
-    if isinstance(value, dict):
-        if not any(b in value for b in layout.blocks):
-            for w in layout.wrappers:
-                if w in value:
-                    return _roots(value[w], layout)
-        return [(0, value)]
-    return []
-
-
-def _canonical(value) -> str:
-    if isinstance(value, _Text):
-        return str(value)
-    if isinstance(value, dict):
-        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{_canonical(value[k])}" for k in sorted(value)) + "}"
-    if isinstance(value, list):
-        return "[" + ",".join(map(_canonical, value)) + "]"
-    return json.dumps(value, ensure_ascii=False)
+@functools.lru_cache(64)
+def _decoder(mark: str) -> json.JSONDecoder:
+    return json.JSONDecoder(parse_float=mark.__add__, parse_int=mark.__add__, parse_constant=_no_constant)
 
 
-def _hash(content: str) -> bytes:
-    return hashlib.blake2b(content.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+@functools.lru_cache(64)
+def _marked(mark: str) -> re.Pattern:
+    return re.compile(f'"{mark}([0-9eE.+-]+)"')
 
 
-def _merkle(obj: dict, inner: tuple[str, ...]) -> tuple[bytes, str, list]:
-    """(hash, content, children): in the content a child object stands as its hash, so equal subtrees give equal contents."""
-    shallow, children = dict(obj), []
-    for name in inner:
-        value = obj.get(name)
-        items = value if isinstance(value, list) else [value] if isinstance(value, dict) else []
-        marks = []
-        for i, v in enumerate(items):
-            if isinstance(v, dict):
-                h, content, _ = _merkle(v, ())
-                children.append((name, i, h, content))
-                marks.append({"#": h.hex()})
-            else:
-                marks.append(v)
-        if children and isinstance(value, list | dict):
-            shallow[name] = marks
-    content = _canonical(shallow)
-    return _hash(content), content, children
+def _load(text: str) -> tuple[object, str]:
+    """(JSON value of a text, opened until it is no text any more; mark of its numbers); ValueError if it is no JSON."""
+    while True:
+        own = text.count(_MARK) + text.count("ue000") + text.count("uE000")
+        mark = _MARK * (1 + own)
+        value = _decoder(mark).decode(text)
+        if not isinstance(value, str) or value.startswith(mark):
+            return value, mark
+        text = value
 
 
-def _clean(s: str) -> str:
-    """Lone surrogates cannot leave Python; they become replacement characters."""
-    return s.encode("utf-8", "replace").decode() if any("\ud800" <= c <= "\udfff" for c in s) else s
+def _roots(value, mark: str, layout: Layout) -> Iterator[tuple[object, str]]:
+    """(record object, mark of its numbers) in document order; what is no object at such a place is None and keeps its place."""
+    if isinstance(value, str) and not value.startswith(mark):
+        try:
+            value, mark = _load(value)
+        except ValueError:
+            yield None, mark
+            return
+    if isinstance(value, list):
+        for v in value:
+            yield from _roots(v, mark, layout)
+    elif isinstance(value, dict):
+        wrapped = [] if any(b in value for b in layout.blocks) else [w for w in layout.wrappers if w in value]
+        for w in wrapped:
+            yield from _roots(value[w], mark, layout)
+        if not wrapped:
+            yield value, mark
+    else:
+        yield None, mark
 
 
-def _flattener(layout: Layout):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("is_object", pa.bool_()), ("record_id", pa.int64()), ("root_no", pa.int32()), ("block_name", pa.string()), ("item_path", pa.string()), ("depth", pa.int32()), ("field_name", pa.string()), ("ordinal", pa.int32()), ("object_hash", pa.binary()), ("parent_hash", pa.binary()), ("content", pa.string())])
-        sent: set[bytes] = set()
-        for b in batches:
-            rows: list[tuple] = []
+def _canonical(value, mark: str) -> str:
+    """JSON with sorted keys, no blanks and numbers as written."""
+    text = _ENCODE(value)
+    return _marked(mark).sub(r"\1", text) if mark in text else text
 
-            def define(h: bytes, content: str) -> None:
-                if h not in sent:
-                    if len(sent) >= SENT_MEMORY:
-                        sent.clear()
-                    sent.add(h)
-                    rows.append((True, None, None, None, None, None, None, None, h, None, _clean(content)))  # noqa: B023
 
-            for record_id, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if body is None:
-                    continue
-                try:
-                    roots = _roots(_load(body), layout)
-                except (ValueError, RecursionError):
-                    continue
-                for root_no, root in roots:
-                    for block in layout.blocks:
-                        value = root.get(block)
-                        items = value if isinstance(value, list) else [value]
-                        for i, v in enumerate(items):
-                            if not isinstance(v, dict):
-                                continue
-                            h, content, children = _merkle(v, layout.inner)
-                            define(h, content)
-                            rows.append((False, record_id, root_no, block, str(i), 0, block, i, h, None, None))
-                            for field, j, child, child_content in children:
-                                define(child, child_content)
-                                rows.append((False, record_id, root_no, block, f"{i}.{j}", 1, field, j, child, h, None))
-            columns = list(zip(*rows)) if rows else [[] for _ in schema]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, schema)], schema=schema)
-
-    return run
-
-
-def flatten_nested(records: DataFrame, id_col: str, body_col: str, layout: Layout) -> tuple[DataFrame, DataFrame]:
-    """(bridge, objects) of the nested bodies of ``records``.
+def _clean(s: str) -> str:
+    """Lone surrogates cannot leave Python; they become replacement characters."""
+    return s if s.isascii() else s.encode("utf-8", "replace").decode()
 
-    bridge: (record_id, root_no, block_name, item_path, depth, field_name,
-    ordinal, object_hash, parent_hash), one row per occurrence; parent_hash is
-    null for a block's own objects.  objects: (object_hash, content), one row
-    per distinct object, its content as canonical JSON in which child objects
-    stand as ``{"#": hash}``.  A null body, a text that is no JSON and values
-    that are no objects give nothing; null elements keep their place.  Of a
-    repeated key in one object the last value counts.  Exact row copies give
-    the same bridge rows and count once.
-    """
-    flat = materialize(records.select(F.col(id_col).cast("long"), F.col(body_col)).mapInArrow(_flattener(layout), _SCHEMA), "nested", ("is_object",))
-    bridge = flat.where(~F.col("is_object")).drop("is_object", "content").dropDuplicates(["record_id", "root_no", "block_name", "item_path", "field_name", "object_hash"])
-    objects = flat.where("is_object").select("object_hash", "content").dropDuplicates(["object_hash"])
-    return bridge, objects
 
+def _hash(content: str) -> bytes:
+    return hashlib.blake2b(content.encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
-_ALL_SCHEMA = "is_object boolean, record_id long, root_no int, path string, depth int, field_name string, ordinal int, object_hash binary, parent_hash binary, content string"
-# Texts nested deeper than the JSON parser follows are refused by it; what it returns is walked whole.
-_DEEPEST = 1_000_000
 
+class _Walk:
+    """Occurrences and contents of the objects of one record object."""
 
-def _walk(value: dict) -> tuple[bytes, list[tuple], dict[bytes, str]]:
-    """(hash, occurrences, contents) of an object and every object below it.
+    __slots__ = ("found", "contents", "quoted", "number")
 
-    An occurrence is (path, depth, field, ordinal, hash, parent hash).
-    """
-    found: list[tuple] = []
-    contents: dict[bytes, str] = {}
+    def __init__(self, quoted: dict[str, str], number: str) -> None:
+        self.number = number
+        self.found: list[tuple] = []
+        self.contents: dict[bytes, str] = {}
+        self.quoted = quoted
 
-    def seal(obj: dict, path: str, depth: int) -> bytes:
+    def seal(self, obj: dict, path: str, depth: int) -> bytes:
+        """The hash of an object; occurrences of the objects right below it are added with it as their parent."""
         below: list[tuple] = []
-
-        def mark(v, field: str, at: str, ordinal: int):
-            if isinstance(v, dict):
-                h = seal(v, at, depth + 1)
-                below.append((at, depth + 1, field, ordinal, h))
-                return {"#": h.hex()}
-            if isinstance(v, list):
-                return [mark(x, field, f"{at}[{i}]", i) for i, x in enumerate(v)]
-            return v
-
-        content = _canonical({k: mark(v, k, f"{path}[{json.dumps(k, ensure_ascii=False)}]", 0) for k, v in obj.items()})
+        shallow = obj
+        for k, v in obj.items():
+            if isinstance(v, dict | list):
+                q = self.quoted.get(k)
+                if q is None:
+                    if len(self.quoted) > SENT_MEMORY:
+                        self.quoted.clear()
+                    q = self.quoted[k] = f"[{json.dumps(k, ensure_ascii=False)}]"
+                marked = self.mark(v, k, path + q, 0, depth + 1, below)
+                if marked is not v:
+                    if shallow is obj:
+                        shallow = dict(obj)
+                    shallow[k] = marked
+        content = _canonical(shallow, self.number)
         h = _hash(content)
-        contents[h] = content
-        found.extend((*b, h) for b in below)
+        self.contents[h] = content
+        for at, d, field, ordinal, child in below:
+            self.found.append((at, d, field, ordinal, child, h))
         return h
 
-    top = seal(value, "$", 0)
-    return top, found, contents
+    def mark(self, v, field: str, at: str, ordinal: int, depth: int, below: list):
+        """``v`` with the objects in it replaced by their hashes."""
+        if isinstance(v, dict):
+            h = self.seal(v, at, depth)
+            below.append((at, depth, field, ordinal, h))
+            return {"#": h.hex()}
+        if isinstance(v, list) and any(isinstance(x, dict | list) for x in v):
+            return [self.mark(x, field, f"{at}[{i}]", i, depth, below) if isinstance(x, dict | list) else x for i, x in enumerate(v)]
+        return v
 
 
-def _all_objects(layout: Layout):
+def _flattener(layout: Layout):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sys.setrecursionlimit(_DEEPEST)
         kinds = (pa.bool_(), pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.string())
-        schema = pa.schema([(c.split()[0], t) for c, t in zip(_ALL_SCHEMA.split(", "), kinds)])
+        schema = pa.schema([(c.split()[0], t) for c, t in zip(_SCHEMA.split(", "), kinds)])
         sent: set[bytes] = set()
+        quoted: dict[str, str] = {}
         for b in batches:
             rows: list[tuple] = []
             for record_id, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if body is None:
                     continue
                 try:
-                    roots = _roots(_load(body), layout)
+                    roots = list(_roots(*_load(body), layout))
                 except (ValueError, RecursionError):
                     continue
-                for root_no, root in roots:
-                    top, found, contents = _walk(root)
+                for root_no, (root, number) in enumerate(roots):
+                    if root is None:
+                        continue
+                    walk = _Walk(quoted, number)
+                    top = walk.seal(root, "$", 0)
                     rows.append((False, record_id, root_no, "$", 0, None, root_no, top, None, None))
-                    rows += [(False, record_id, root_no, _clean(path), depth, _clean(field), i, h, parent, None) for path, depth, field, i, h, parent in found]
-                    for h, content in contents.items():
+                    rows += [(False, record_id, root_no, _clean(path), depth, _clean(field), i, h, parent, None) for path, depth, field, i, h, parent in walk.found]
+                    for h, content in walk.contents.items():
                         if h not in sent:
                             if len(sent) >= SENT_MEMORY:
                                 sent.clear()
                             sent.add(h)
                             rows.append((True, None, None, None, None, None, None, h, None, _clean(content)))
-            columns = list(zip(*rows)) if rows else [[] for _ in schema]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, schema)], schema=schema)
+                if len(rows) >= 50_000:
+                    yield _batch(rows, schema)
+                    rows = []
+            yield _batch(rows, schema)
 
     return run
 
 
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [[] for _ in schema]
+    return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, schema)], schema=schema)
+
+
 def flatten_objects(records: DataFrame, id_col: str, body_col: str, layout: Layout) -> tuple[DataFrame, DataFrame]:
     """(bridge, objects) of every object in the bodies, from the record objects down, in any field and array at any depth.
 
     bridge: (record_id, root_no, path, depth, field_name, ordinal, object_hash,
-    parent_hash), one row per occurrence; the record object itself has path
-    ``$``, depth 0 and no parent.  objects: (object_hash, content), one row per
-    distinct object, in whose content every child object stands as ``{"#":
-    hash}``.  What gives nothing is as in ``flatten_nested``.
+    parent_hash), one row per occurrence; root_no is the place of the record
+    object in its body; the record object itself has path ``$``, depth 0 and no
+    parent; an array's place stands in the path as ``[place]`` after
+    ``["field"]``, so a lone object and a list of one differ, as their parents'
+    hashes do.  objects: (object_hash, content), one row per distinct object,
+    its content canonical JSON in which every object below it stands as
+    ``{"#": hash}``.  A null body, a text that is no JSON and values that are
+    no objects give nothing; null elements keep their place.  JSON texts inside
+    JSON texts are opened however often they are wrapped.  Of a repeated key in
+    one object the last value counts.  Exact row copies count once.
     """
-    flat = materialize(records.select(F.col(id_col).cast("long"), F.col(body_col)).mapInArrow(_all_objects(layout), _ALL_SCHEMA), "nested-all", ("is_object",))
-    bridge = flat.where(~F.col("is_object")).drop("is_object", "content").dropDuplicates(["record_id", "root_no", "path", "object_hash", "parent_hash"])
+    once = records.select(F.col(id_col).cast("long"), F.col(body_col)).where(F.col(body_col).isNotNull()).distinct()
+    flat = materialize(once.mapInArrow(_flattener(layout), _SCHEMA), "nested")
+    bridge = flat.where(~F.col("is_object")).drop("is_object", "content")
     objects = flat.where("is_object").select("object_hash", "content").dropDuplicates(["object_hash"])
     return bridge, objects
 
 
-def owner_keys(bridge: DataFrame, objects: DataFrame, key_of: dict[str, str]) -> DataFrame:
-    """Bridge rows with ``key_value``: a field of the block's object (of the parent for inner objects).
+def block_rows(bridge: DataFrame, layout: Layout) -> DataFrame:
+    """The occurrences in the named blocks and in their inner arrays.
+
+    Adds ``block_name`` and ``item_path``: the place in the block (``0`` for a
+    lone object), for objects of inner arrays followed by ``.`` and the place
+    there.
+    """
+    name, place = r'\["((?:[^"\\]|\\.)*)"\]', r"(?:\[(\d+)\])"
+    steps = F.regexp_replace("path", rf"^\$(?:{name}{place}?(?:{name}{place})?)$", "$1\u0001$2\u0001$3\u0001$4")
+    part = lambda n: F.col("_s")[n]
+    rows = bridge.where(F.col("depth").between(1, 2)).withColumn("_s", F.split(steps, "\u0001"))
+    first = F.when(part(1) == "", "0").otherwise(part(1))
+    inner = part(2).isin(*layout.inner)
+    rows = rows.where((F.size("_s") == 4) & part(0).isin(*layout.blocks) & ((part(2) == "") & (F.col("depth") == 1) | inner))
+    return rows.withColumns({"block_name": part(0), "item_path": F.when(inner, F.concat(first, F.lit("."), part(3))).otherwise(first)}).drop("_s")
+
+
+def owner_keys(rows: DataFrame, objects: DataFrame, key_of: dict[str, str]) -> DataFrame:
+    """Block rows with ``key_value``: a field of the block's object (of the parent for inner objects).
 
     ``key_of`` names the key field of each block.  The key is the field's text,
     blank if absent or null.
     """
     keys = objects.select(F.col("object_hash").alias("_h"), *[_scalar_text("content", k).alias(f"_k_{b}") for b, k in key_of.items()])
+    keys = keys.where(F.coalesce(*[f"_k_{b}" for b in key_of]).isNotNull())
     value = F.lit(None).cast("string")
     for b in key_of:
         value = F.when(F.col("block_name") == b, F.col(f"_k_{b}")).otherwise(value)
-    joined = bridge.withColumn("_h", F.coalesce("parent_hash", "object_hash")).join(keys, "_h")
-    return joined.select(*bridge.columns, F.coalesce(value, F.lit("")).alias("key_value"))
+    joined = rows.withColumn("_h", F.when(F.col("depth") == 1, F.col("object_hash")).otherwise(F.col("parent_hash"))).join(keys, "_h", "left")
+    return joined.select(*rows.columns, F.coalesce(value, F.lit("")).alias("key_value"))
 
 
-def _scalar_text(content: str, key: str):
+def _scalar_text(content: str, key: str) -> Column:
     return F.get_json_object(content, f"$.{key}")

@@ -53,8 +53,8 @@ COMPANY_KEYS = {"reqSymbolInfo": "symbol", "reqSymbolBetaInfo": "securityId", "r
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    bridge, objects = nested.flatten_nested(table(spark, d, "company_info_raw"), "raw_id", "body", COMPANY_BODY)
-    found = nested.owner_keys(bridge, objects, COMPANY_KEYS)
+    bridge, objects = nested.flatten_objects(table(spark, d, "company_info_raw"), "raw_id", "body", COMPANY_BODY)
+    found = nested.owner_keys(nested.block_rows(bridge, COMPANY_BODY), objects, COMPANY_KEYS)
     return found.select(F.col("record_id").alias("raw_id"), F.col("root_no").alias("company_no"), "block_name", "item_path", "key_value")
 
 
