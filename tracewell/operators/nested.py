@@ -218,7 +218,8 @@ def flatten_objects(records: DataFrame, id_col: str, body_col: str, layout: Layo
     once = records.select(F.col(id_col).cast("long"), F.col(body_col)).where(F.col(body_col).isNotNull()).distinct()
     flat = materialize(once.mapInArrow(_flattener(layout), _SCHEMA), "nested")
     bridge = flat.where(~F.col("is_object")).drop("is_object", "content")
-    objects = flat.where("is_object").select("object_hash", "content").dropDuplicates(["object_hash"])
+    # The hash decides the content; with both as keys, what a reader asks of the content reaches the scan.
+    objects = flat.where("is_object").select("object_hash", "content").distinct()
     return bridge, objects
 
 
@@ -245,8 +246,8 @@ def owner_keys(rows: DataFrame, objects: DataFrame, key_of: dict[str, str]) -> D
     ``key_of`` names the key field of each block.  The key is the field's text,
     blank if absent or null.
     """
-    keys = objects.select(F.col("object_hash").alias("_h"), *[_scalar_text("content", k).alias(f"_k_{b}") for b, k in key_of.items()])
-    keys = keys.where(F.coalesce(*[f"_k_{b}" for b in key_of]).isNotNull())
+    named = functools.reduce(Column.__or__, [F.col("content").contains(_field(k)) for k in key_of.values()])
+    keys = objects.where(named).select(F.col("object_hash").alias("_h"), *[_scalar_text("content", k).alias(f"_k_{b}") for b, k in key_of.items()])
     value = F.lit(None).cast("string")
     for b in key_of:
         value = F.when(F.col("block_name") == b, F.col(f"_k_{b}")).otherwise(value)
@@ -254,5 +255,10 @@ def owner_keys(rows: DataFrame, objects: DataFrame, key_of: dict[str, str]) -> D
     return joined.select(*rows.columns, F.coalesce(value, F.lit("")).alias("key_value"))
 
 
+def _field(key: str) -> str:
+    return json.dumps(key, ensure_ascii=False) + ":"
+
+
 def _scalar_text(content: str, key: str) -> Column:
-    return F.get_json_object(content, f"$.{key}")
+    """A field of canonical JSON as text; only contents that hold the name are parsed."""
+    return F.when(F.col(content).contains(_field(key)), F.get_json_object(content, f"$.{key}"))
