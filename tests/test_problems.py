@@ -339,6 +339,28 @@ def test_known_at_brute_force_with_hot_entity(spark, state):
     assert "_rank" in got.columns
 
 
+@pytest.mark.parametrize("state", ["latest", "highest"])
+def test_known_at_with_bursts_splits_buckets(spark, state, monkeypatch):
+    """Thousands of versions within seconds, long gaps between bursts, and entities that are not split."""
+    monkeypatch.setattr(pit_join, "VERSIONS_PER_BUCKET", 4)
+    rnd = random.Random(21)
+    times = lambda e: rnd.choice([0, 10**6, 10**13, 9 * 10**14]) + rnd.randrange(400) if e == 1 else rnd.randrange(10**15)
+    changes = [(e, times(e), rnd.randrange(10**6)) for e in [1] * 1500 + [rnd.randrange(2, 9) for _ in range(200)]]
+    events = [(i, e, times(e) + rnd.choice([-1, 0, 1, 10**8])) for i, e in enumerate([1] * 400 + [rnd.randrange(2, 10) for _ in range(200)])]
+    full = pit_join._full_buckets(spark.createDataFrame(list({(e, t) for e, t, _ in changes}), "_e long, _from long"))
+    assert len(full) == 8 and full[-1].count() > 10
+    at = lambda t: F.timestamp_micros(t)
+    c = spark.createDataFrame(changes, "e long, u long, r long").withColumn("at", at("u"))
+    v = spark.createDataFrame(events, "i long, e long, u long").withColumn("t", at("u"))
+    want = []
+    for i, e, t in events:
+        seen, own = [(u, r) for k, u, r in changes if k == e and u <= t], [(u, r) for k, u, r in changes if k == e]
+        pick = (lambda x: max(x)[1] if x else -1) if state == "latest" else (lambda x: max((r for _, r in x), default=-1))
+        want.append((i, pick(seen), pick(own)))
+    got = pit_join.known_at(v, c, "e", "t", "at", ["r"], state, "final_")
+    assert sorted((x["i"], -1 if x["r"] is None else x["r"], -1 if x["final_r"] is None else x["final_r"]) for x in got.collect()) == sorted(want)
+
+
 def test_known_at_edges(spark):
     c = spark.createDataFrame([(1, ts(1), 5), (1, ts(1), 7), (1, ts(3), 6)], "e long, at timestamp, r long")
     v = spark.createDataFrame([(0, 1, ts(1)), (1, 1, ts(1, -1)), (2, 1, ts(3)), (3, None, ts(3)), (4, 1, None), (5, 2, ts(3)), (6, 1, dt.datetime(9999, 1, 1)), (6, 1, dt.datetime(9999, 1, 1))], "i long, e long, t timestamp")
