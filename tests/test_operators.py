@@ -3,6 +3,7 @@
 import datetime as dt
 import itertools
 import json
+import os
 import random
 import re
 from decimal import Decimal
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from tracewell.functions import texts
 from tracewell.operators import evidence, ordered, ranges
 from tracewell.plans import reference_more, reference_text
-from tracewell.sources import listings
+from tracewell.sources import listings, shared
 from tracewell.streaming import capture
 
 T0 = dt.datetime(2024, 1, 1)
@@ -220,3 +221,27 @@ def test_every_isin_of_a_body(spark, tmp_path):
     data = [(1, once), (1, once), (2, json.dumps(once)), (3, json.dumps(json.dumps(json.dumps({"isin": "ZZ0003N1"})))), (4, None), (5, "{}")]
     spark.createDataFrame(data, "raw_id long, body string").write.parquet(f"{tmp_path}/company_info_raw.parquet")
     assert rows(reference_text.x22_issuer_codes(spark, str(tmp_path)), "issuer_code", "n_bodies", "n_isins") == [("0001", 2, 2), ("0002", 2, 1), ("0003", 1, 1)]
+
+
+def test_shared_folder_is_refused_off_a_local_master(tmp_path):
+    class Conf(dict):
+        def set(self, k, v):
+            self[k] = v
+
+    class Session:
+        def __init__(self, master, **conf):
+            self.conf, self.sparkContext = Conf(conf), type("C", (), {"master": master, "setCheckpointDir": lambda _, d: None})()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared.shared_dir(Session("spark://host:7077"))
+    assert shared.shared_dir(Session("yarn", **{"spark.checkpoint.dir": "hdfs:///x/"})) == "hdfs:///x"
+    assert shared.shared_dir(Session("local[2]")).startswith("file:///")
+
+
+def test_scratch_removes_what_was_written_inside(spark):
+    kept = shared.materialize(spark.range(3), "kept")
+    with shared.scratch():
+        inside = shared.materialize(spark.range(5), "inside")
+        assert inside.count() == 5
+        path = inside.inputFiles()[0]
+    assert kept.count() == 3 and not os.path.exists(path.removeprefix("file://"))

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tracewell.sources.shared import scratch
 
 DATA = "/root/testdata/sf0.001"
 SQL = {k: v for k, v in entry.oracle_sql().items() if not k.startswith(("p8_", "p9_", "p10_"))}
@@ -24,7 +25,8 @@ def _db():
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, tmp_path, name):
     c = _db()
-    entry.queries()[name](spark, DATA).write.parquet(f"{tmp_path}/out")
+    with scratch():
+        entry.queries()[name](spark, DATA).write.parquet(f"{tmp_path}/out")
     c.execute(f"create table want as select * from ({SQL[name]})")
     c.execute(f"create table got as select * from read_parquet('{tmp_path}/out/*.parquet')")
     cols = sorted(r[0] for r in c.execute("describe want").fetchall())

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.sources.shared import shared_dir
+from tracewell.sources.shared import fresh_path
 from tracewell.streaming import capture
 
 
@@ -18,7 +16,7 @@ def _events(spark: SparkSession, d: str) -> DataFrame:
 
 def _run(spark: SparkSession, stream: DataFrame, mode: str) -> DataFrame:
     """Drain a stream into a table in the shared folder and read it."""
-    home = f"{shared_dir(spark)}/tracewell/stream-{uuid.uuid4().hex}"
+    home = fresh_path(spark, "stream")
     if mode == "append":
         q = stream.writeStream.format("parquet").option("path", f"{home}/out").option("checkpointLocation", f"{home}/log").outputMode("append").trigger(availableNow=True).start()
     else:
