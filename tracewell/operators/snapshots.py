@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracewell.functions.keys import with_one_row
+
 # About 4 million compact rows (96 MB of arrays) are one bucket's share.
 ROWS_PER_BUCKET = 4_000_000
 
@@ -24,11 +26,14 @@ KINDS = ("added", "removed", "changed")
 
 
 def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All differences within one bucket: (ordinal of the later snapshot, key, kind code)."""
+    """All differences within one bucket: (ordinal of the later snapshot, key, kind code); nothing past the last delivery."""
     cols: list[list[np.ndarray]] = [[], [], []]
+    deliveries = 0
     for b in batches:
         for have, name in zip(cols, ("_ord", "_key", "_hash")):
             have.append(b.column(name).to_numpy(zero_copy_only=False))
+        if b.num_rows:
+            deliveries = b.column("_of")[0].as_py()
     if not cols[0]:
         return
     order, key, content = (np.concatenate(c) for c in cols)
@@ -40,7 +45,8 @@ def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     order, key, content = order[first], key[first], np.add.reduceat(content, first)
     last = int(order[-1])
     starts = np.searchsorted(order, np.arange(last + 2))
-    for o in range(last + 1):
+    # After the bucket's last snapshot its entries are gone from the next delivery, if there was one.
+    for o in range(min(last + 1, deliveries - 1)):
         a, b = slice(starts[o], starts[o + 1]), None
         if o + 1 <= last:
             b = slice(starts[o + 1], starts[o + 2])
@@ -69,6 +75,7 @@ def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def delivered(snapshots: DataFrame, snapshot_col: str) -> DataFrame:
     """The delivered snapshot numbers with gapless ordinals (one row per delivery)."""
     numbers = snapshots.select(F.col(snapshot_col).alias("snapshot_no")).where(F.col(snapshot_col).isNotNull()).distinct()
+    # One row per delivery, so one task orders them all.
     return numbers.select("snapshot_no", (F.row_number().over(Window.orderBy("snapshot_no")) - 1).cast("int").alias("_ord"))
 
 
@@ -87,16 +94,16 @@ def snapshot_changes(snapshots: DataFrame, snapshot_col: str, key_col: str, cont
     numbers = delivered(snapshots, snapshot_col)
     rows = snapshots.select(F.col(snapshot_col).alias("snapshot_no"), F.col(key_col).cast("long").alias("_key"), F.xxhash64(content).alias("_hash"))
     rows = rows.where(F.col("snapshot_no").isNotNull() & F.col("_key").isNotNull()).distinct()
-    compact = rows.join(numbers, "snapshot_no").select("_ord", "_key", "_hash")
+    of = numbers.agg(F.count(F.lit(1)).cast("int").alias("_of"))
+    compact = rows.join(with_one_row(numbers, of), "snapshot_no").select("_ord", "_key", "_hash", "_of")
     buckets = max(spark.sparkContext.defaultParallelism, -(-snapshots.count() // ROWS_PER_BUCKET))
     found = compact.repartition(buckets, F.xxhash64("_key")).mapInArrow(_differences, "_ord int, _key long, _code int")
     kind = F.element_at(F.array(*[F.lit(k) for k in KINDS]), F.col("_code") + 1)
-    # The bucket compares its last snapshot with nothing: past the last delivery that is no removal, and the join drops it.
     return found.join(numbers, "_ord").select("snapshot_no", F.col("_key").alias("key"), kind.alias("change_kind"))
 
 
 def change_values(changes: DataFrame, snapshots: DataFrame, snapshot_col: str, key_col: str, value: Column) -> DataFrame:
-    """Full values before and after, fetched only for the differing keys.
+    """Full values before and after, fetched only for the differing keys: ``value`` is computed after the join that finds them.
 
     Result: (snapshot_no, key, change_kind, value_before, value_after); the
     smallest value stands for repeated entries.
@@ -105,6 +112,8 @@ def change_values(changes: DataFrame, snapshots: DataFrame, snapshot_col: str, k
     wanted = changes.join(numbers, "snapshot_no")
     sides = wanted.select("key", F.explode(F.array(F.struct("_ord", F.lit(1).alias("_side"), F.col("_ord").alias("_at")), F.struct("_ord", F.lit(0).alias("_side"), (F.col("_ord") - 1).alias("_at")))).alias("s"))
     sides = sides.select("key", "s._ord", "s._side", "s._at")
-    full = snapshots.select(F.col(snapshot_col).alias("snapshot_no"), F.col(key_col).cast("long").alias("key"), value.alias("_value")).join(numbers.withColumnRenamed("_ord", "_at"), "snapshot_no").drop("snapshot_no")
-    got = sides.join(full, ["key", "_at"]).groupBy("key", "_ord").agg(F.min(F.when(F.col("_side") == 0, F.col("_value"))).alias("value_before"), F.min(F.when(F.col("_side") == 1, F.col("_value"))).alias("value_after"))
+    full = snapshots.withColumns({"_n": F.col(snapshot_col), "_k": F.col(key_col).cast("long")}).join(numbers.select(F.col("snapshot_no").alias("_n"), F.col("_ord").alias("_o")), "_n")
+    held = full.join(sides.select(F.col("key").alias("_sk"), F.col("_ord").alias("_later"), "_side", F.col("_at").alias("_sa")), (F.col("_k") == F.col("_sk")) & (F.col("_o") == F.col("_sa")))
+    held = held.select(F.col("_k").alias("key"), F.col("_later").alias("_ord"), "_side", value.alias("_value"))
+    got = held.groupBy("key", "_ord").agg(F.min(F.when(F.col("_side") == 0, F.col("_value"))).alias("value_before"), F.min(F.when(F.col("_side") == 1, F.col("_value"))).alias("value_after"))
     return wanted.join(got, ["key", "_ord"], "left").select("snapshot_no", "key", "change_kind", "value_before", "value_after")
