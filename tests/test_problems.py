@@ -305,6 +305,8 @@ CASES = [
     ("12 Aug 2015 12:29 am", "UTC", us(2015, 8, 12, 0, 29)), ("Sat, 23 Sep 2017 17:58:56 -0400", None, us(2017, 9, 23, 17, 58, 56, minutes=-240)), ("26 Dec 2021 02:22:38 AEDT", "UTC", us(2021, 12, 26, 2, 22, 38, minutes=660)),
     ("08 Mar 2020 02:30:00", "America/New_York", None), ("01 Nov 2020 01:30:00", "America/New_York", None), ("01 Nov 2020 01:30:00 EST", "America/New_York", us(2020, 11, 1, 1, 30, minutes=-300)), ("08 Mar 2020 03:30:00", "America/New_York", us(2020, 3, 8, 3, 30, minutes=-240)),
     ("31 Feb 2021 10:00:00 AM", None, None), ("25:61", None, None), ("00 000 0000", None, None), ("0000-00-00 00:00:00", None, None), ("to be announced", None, None), ("", None, None), (None, None, None), ("2020-01-01 10:00 XYZ", None, None),
+    ("nonsense, 12 Jan 2024", None, None), ("Monday, 12 Jan 2024", "UTC", None), ("Friday, 12 Jan 2024", "UTC", us(2024, 1, 12)), ("fri 12 jan 2024 10:00", "UTC", us(2024, 1, 12, 10)), ("Frid, 12 Jan 2024", "UTC", None), ("Thurs. January 11, 2024", "utc", us(2024, 1, 11)), ("mon, Jan 11, 2024", "UTC", None), ("Wed 31 Dec 1969 10:00", "UTC", us(1969, 12, 31, 10)),
+    ("2024-01-12 10:00", "Singapore", us(2024, 1, 12, 10, minutes=480)), ("2024-01-12 10:00", "asia/colombo", us(2024, 1, 12, 10, minutes=330)), ("2024-01-12 10:00", " EST5EDT ", us(2024, 1, 12, 10, minutes=-300)), ("2024-01-12 10:00", "Factory", None), ("12 Septem 2024", None, None), ("12 sept 2024", "UTC", us(2024, 9, 12)), ("\u000112 sept 2024", "UTC", us(2024, 9, 12)),
     ("2020-01-01 10:00", "No/Where", None), ("13/13/2020", None, None), ("2020-01-01 13:00 pm", None, None), ("x" * 100_000, None, None), ("29.02.2020 23:59", "Europe/London", us(2020, 2, 29, 23, 59)),
 ]
 

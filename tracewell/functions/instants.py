@@ -16,11 +16,23 @@ import zoneinfo
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracewell.functions.keys import BLANKS
+
 DEFAULT_ZONE = "Asia/Colombo"
 
-# English month names by their first three letters.
-MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
-_MON = "(?:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
+# English names of months and weekdays.
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+WEEKDAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
+# Abbreviations beside the first three letters.
+_ALSO = ("sept", "tues", "thur", "thurs")
+
+
+def _names(full: tuple[str, ...]) -> str:
+    """A pattern of names, in full or abbreviated; longer ones first."""
+    return "(?:" + "|".join(sorted({*full, *(n[:3] for n in full), *(a for a in _ALSO if any(n.startswith(a) for n in full))}, key=lambda n: (-len(n), n))) + ")"
+
+
+_MON, _WEEKDAY = _names(MONTHS), _names(WEEKDAYS)
 
 # Zone abbreviations with one meaning here, as minutes east of UTC.
 ABBREVIATIONS = {
@@ -33,34 +45,43 @@ _ZONE = r"(?:z|[a-z]{2,4}|(?:utc|gmt)?[+\-−]\d{1,2}(?::?\d{2})?)"
 _CLOCK = r"(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?"
 _HALF = r"(?:\s*([ap])\.?m\.?)?"
 
-# (name, pattern, group numbers of: year month day hour minute second fraction half zone)
+# (name, pattern, group numbers of: year month day hour minute second fraction half zone weekday)
 _CASCADE = (
-    ("compact", r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{2})$", (1, 2, 3, 4, 5, 6, 0, 0, 0)),
-    ("iso", rf"^(\d{{4}})-(\d{{1,2}})-(\d{{1,2}})(?:[t\s]\s*{_CLOCK}{_HALF})?(?:\s*({_ZONE}))?$", (1, 2, 3, 4, 5, 6, 7, 8, 9)),
-    ("named", rf"^(?:[a-z]{{3,9}},?\s+)?(\d{{1,2}})[\s\-/.]+({_MON})\.?[\s\-/.,]+(\d{{4}})(?:[\s,]+{_CLOCK}{_HALF})?(?:\s*({_ZONE}))?$", (3, 2, 1, 4, 5, 6, 7, 8, 9)),
-    ("month_first", rf"^(?:[a-z]{{3,9}},\s+)?({_MON})\.?\s+(\d{{1,2}}),?\s+(\d{{4}})(?:[\s,]+{_CLOCK}{_HALF})?(?:\s*({_ZONE}))?$", (3, 1, 2, 4, 5, 6, 7, 8, 9)),
-    ("day_first", rf"^(\d{{1,2}})([/.\-])(\d{{1,2}})\2(\d{{4}})(?:[\s,]+{_CLOCK}{_HALF})?(?:\s*({_ZONE}))?$", (4, 3, 1, 5, 6, 7, 8, 9, 10)),
-    ("run_together", rf"^(\d{{1,2}})({_MON})(\d{{4}})(\d{{2}})(\d{{2}})(\d{{2}})\s*({_ZONE})?$", (3, 2, 1, 4, 5, 6, 0, 0, 7)),
+    ("compact", r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{2})$", (1, 2, 3, 4, 5, 6, 0, 0, 0, 0)),
+    ("iso", rf"^(\d{{4}})-(\d{{1,2}})-(\d{{1,2}})(?:[t\s]\s*{_CLOCK}{_HALF})?(?:\s*({_ZONE}))?$", (1, 2, 3, 4, 5, 6, 7, 8, 9, 0)),
+    ("named", rf"^(?:({_WEEKDAY})\.?,?\s+)?(\d{{1,2}})[\s\-/.]+({_MON})\.?[\s\-/.,]+(\d{{4}})(?:[\s,]+{_CLOCK}{_HALF})?(?:\s*({_ZONE}))?$", (4, 3, 2, 5, 6, 7, 8, 9, 10, 1)),
+    ("month_first", rf"^(?:({_WEEKDAY})\.?,?\s+)?({_MON})\.?\s+(\d{{1,2}}),?\s+(\d{{4}})(?:[\s,]+{_CLOCK}{_HALF})?(?:\s*({_ZONE}))?$", (4, 2, 3, 5, 6, 7, 8, 9, 10, 1)),
+    ("day_first", rf"^(\d{{1,2}})([/.\-])(\d{{1,2}})\2(\d{{4}})(?:[\s,]+{_CLOCK}{_HALF})?(?:\s*({_ZONE}))?$", (4, 3, 1, 5, 6, 7, 8, 9, 10, 0)),
+    ("run_together", rf"^(\d{{1,2}})({_MON})(\d{{4}})(\d{{2}})(\d{{2}})(\d{{2}})\s*({_ZONE})?$", (3, 2, 1, 4, 5, 6, 0, 0, 7, 0)),
 )
 
 _UNIX = r"^([+-]?\d{1,13}|[+-]?\d{15,17})(?:\.(\d{1,9}))?$"
 _DAY_US = 86_400_000_000
 
 
-def _month_name(c: Column) -> Column:
+def _number_of(c: Column, names: tuple[str, ...]) -> Column:
+    """From 1, the name that begins with the first three letters."""
     index = F.lit(None).cast("int")
-    for i, m in enumerate(MONTHS, 1):
-        index = F.when(F.substring(c, 1, 3) == m, F.lit(i)).otherwise(index)
+    for i, m in enumerate(names, 1):
+        index = F.when(F.substring(c, 1, 3) == m[:3], F.lit(i)).otherwise(index)
     return index
 
 
-def _fields(s: Column) -> Column:
-    """The fields of the first matching form as an array of nine texts; null if no form matches."""
-    out = F.lit(None).cast("string")
-    for _name, pattern, groups in reversed(_CASCADE):
-        layout = "|".join(f"${n}" if n else "" for n in groups)
-        out = F.when(s.rlike(pattern), F.regexp_replace(s, pattern, layout)).otherwise(out)
-    return F.split(out, r"\|", -1)
+# Stands before the fields of a form that matched.
+_MATCHED = "\u0001"
+
+
+def _with_fields(df: DataFrame, text: str, out: str) -> DataFrame:
+    """``df`` with the fields of the first matching form as an array of ten texts; null if no form matches.
+
+    Each form is tried once, by the replacement that also extracts, in a
+    projection of its own, and only where none before it matched.
+    """
+    df = df.withColumn(out, F.col(text))
+    for _name, pattern, groups in _CASCADE:
+        layout = _MATCHED + "|".join(f"${n}" if n else "" for n in groups)
+        df = df.withColumn(out, F.when(F.col(out).startswith(_MATCHED), F.col(out)).otherwise(F.regexp_replace(out, pattern, layout)))
+    return df.withColumn(out, F.when(F.col(out).startswith(_MATCHED), F.split(F.substring(F.col(out), 2, 200), r"\|", -1)))
 
 
 def _offset_minutes(zone: Column) -> Column:
@@ -97,36 +118,47 @@ def with_utc_micros(df: DataFrame, text: str, zone_hint: str | None, out: str, d
     zone text or hint makes the text unusable.  A local reading that occurs
     twice in its zone is refused, or is the ``"first"`` or ``"second"``
     occurrence by policy; one that never occurs is always refused.  Null and
-    empty texts give null. 
+    empty texts give null.  A weekday must be one, and the date's.
     """
     columns = [c for c in df.columns if c != out]
     # The row's own columns travel as one value, so none of their names can clash.
     df = df.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), F.col(text).alias("_text"), (F.col(zone_hint) if zone_hint else F.lit(None).cast("string")).alias("_hint"))
-    df = df.withColumn("_s", F.translate(F.lower(F.regexp_replace("_text", r"^[\s\u00a0]+|[\s\u00a0]+$", "")), "\u2212", "-"))
-    df = df.withColumn("_f", _fields(F.col("_s")))
+    df = df.withColumn("_s", F.translate(F.lower(F.btrim("_text", F.lit(BLANKS))), "\u2212\u0001", "-"))
+    df = _with_fields(df, "_s", "_f")
     part = lambda n: F.nullif(F.col("_f")[n], F.lit(""))
     number = lambda n: part(n).try_cast("int")
-    df = df.withColumns({"_y": number(0), "_mt": part(1), "_dd": number(2), "_h": number(3), "_mi": F.coalesce(number(4), F.lit(0)), "_se": F.coalesce(number(5), F.lit(0)), "_half": part(7), "_zone": part(8)})
+    df = df.withColumns({"_y": number(0), "_mt": part(1), "_dd": number(2), "_h": number(3), "_mi": F.coalesce(number(4), F.lit(0)), "_se": F.coalesce(number(5), F.lit(0)), "_half": part(7), "_zone": part(8), "_wd": part(9)})
     df = df.withColumns({
         "_fr": F.substring(F.rpad(F.coalesce(part(6), F.lit("0")), 6, "0"), 1, 6).try_cast("int"),
-        "_mo": F.coalesce(F.col("_mt").try_cast("int"), _month_name(F.col("_mt"))),
+        "_mo": F.coalesce(F.col("_mt").try_cast("int"), _number_of(F.col("_mt"), MONTHS)),
         "_h": F.when(F.col("_h").isNull(), F.lit(0)).when(F.col("_half").isNull(), F.col("_h")).when(F.col("_h").between(1, 12), F.col("_h") % 12 + F.when(F.col("_half") == "p", 12).otherwise(0)),
     })
     df = df.withColumn("_day", F.unix_date(F.try_make_timestamp_ntz("_y", "_mo", "_dd", F.lit(0), F.lit(0), F.lit(0)).cast("date")).cast("long"))
     clock = ((F.col("_h") * 60 + F.col("_mi")) * 60 + F.col("_se")).cast("long") * 1_000_000 + F.col("_fr")
-    sound = (F.col("_y") >= 1) & (F.col("_h") < 24) & (F.col("_mi") < 60) & (F.col("_se") < 60)
+    # 1 January 1970 was a Thursday.
+    named = F.col("_wd").isNull() | (_number_of(F.col("_wd"), WEEKDAYS) == F.pmod(F.col("_day") + 3, F.lit(7)) + 1)
+    sound = (F.col("_y") >= 1) & (F.col("_h") < 24) & (F.col("_mi") < 60) & (F.col("_se") < 60) & named
     df = df.withColumn("_local", F.when(sound, F.col("_day") * _DAY_US + clock))
     hint = F.nullif(F.trim("_hint"), F.lit(""))
-    df = df.withColumn("_iana", F.coalesce(hint, F.lit(default_zone)))
-    df = _with_local_to_utc(df, "_local", "_iana", "_by_zone", ambiguous)
+    df = df.withColumns({"_iana": F.coalesce(hint, F.lit(default_zone)), "_read": F.when(F.col("_zone").isNull(), F.col("_local"))})
+    df = _with_local_to_utc(df, "_read", "_iana", "_by_zone", ambiguous)
     parsed = F.when(F.col("_zone").isNotNull(), F.col("_local") - _offset_minutes(F.col("_zone")).cast("long") * 60_000_000).otherwise(F.col("_by_zone"))
     return df.withColumn(out, F.coalesce(unix_micros_by_size(F.col("_s")), parsed)).select(*[F.col("_row").getField(c).alias(c) for c in columns], out)
 
 
 @functools.cache
-def _known_zones() -> list[str]:
-    """Names of the time zone database; a hint of another name is no zone."""
-    return sorted(z for z in zoneinfo.available_timezones() if "/" in z or z in ("UTC", "GMT"))
+def _known_zones() -> dict[str, str]:
+    """Names of the time zone database by their lower-case form; a hint of another name is no zone."""
+    # Not zones but placeholders of the database itself.
+    none = {"Factory", "localtime", "posixrules", "leapseconds"}
+    return {z.lower(): z for z in sorted(zoneinfo.available_timezones() - none)}
+
+
+def zone_name(c: Column) -> Column:
+    """The time zone database's spelling of a name in any case; null if it names no zone."""
+    known = _known_zones()
+    every = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+    return F.when(c.isin(list(known.values())), c).when(F.lower(c).isin(list(known)), F.try_element_at(every, F.lower(c)))
 
 
 def _with_local_to_utc(df: DataFrame, local: str, zone: str, out: str, ambiguous: str) -> DataFrame:
@@ -136,7 +168,7 @@ def _with_local_to_utc(df: DataFrame, local: str, zone: str, out: str, ambiguous
     instants; a candidate counts if it shows the reading on its clock.  None:
     the reading never occurs.  Two different ones: it occurs twice.
     """
-    df = df.withColumn("_z", F.when(F.col(zone).isin(_known_zones()), F.col(zone)))
+    df = df.withColumn("_z", zone_name(F.col(zone)))
 
     def shown(micros: Column) -> Column:
         return F.unix_micros(F.from_utc_timestamp(F.timestamp_micros(micros), F.col("_z")))
