@@ -321,6 +321,12 @@ def test_instants(spark):
     assert instants.with_utc_micros(df.limit(0), "t", None, "u").count() == 0
 
 
+def test_every_zone_name_is_known_to_the_engine(spark):
+    names = [*instants._known_zones(), *instants._known_zones().values(), "ROC"]
+    df = spark.createDataFrame([(i, "2024-01-12 10:00", z) for i, z in enumerate(names)], "i int, t string, z string")
+    assert instants.with_utc_micros(df, "t", "z", "u").where("u is null").collect() == []
+
+
 # -- 7 ----------------------------------------------------------------------------------------
 @pytest.mark.parametrize("state", ["latest", "highest"])
 def test_known_at_brute_force_with_hot_entity(spark, state):

@@ -143,15 +143,18 @@ def with_utc_micros(df: DataFrame, text: str, zone_hint: str | None, out: str, d
     df = df.withColumns({"_iana": F.coalesce(hint, F.lit(default_zone)), "_read": F.when(F.col("_zone").isNull(), F.col("_local"))})
     df = _with_local_to_utc(df, "_read", "_iana", "_by_zone", ambiguous)
     parsed = F.when(F.col("_zone").isNotNull(), F.col("_local") - _offset_minutes(F.col("_zone")).cast("long") * 60_000_000).otherwise(F.col("_by_zone"))
-    return df.withColumn(out, F.coalesce(unix_micros_by_size(F.col("_s")), parsed)).select(*[F.col("_row").getField(c).alias(c) for c in columns], out)
+    # A filter on the result would be pushed through all of this and repeat it many times over; the partition
+    # number, being no deterministic expression, stops it here.
+    micros = F.when(F.spark_partition_id() >= 0, F.coalesce(unix_micros_by_size(F.col("_s")), parsed))
+    return df.withColumn(out, micros).select(*[F.col("_row").getField(c).alias(c) for c in columns], out)
 
 
 @functools.cache
 def _known_zones() -> dict[str, str]:
     """Names of the time zone database by their lower-case form; a hint of another name is no zone."""
-    # Not zones but placeholders of the database itself.
-    none = {"Factory", "localtime", "posixrules", "leapseconds"}
-    return {z.lower(): z for z in sorted(zoneinfo.available_timezones() - none)}
+    # Placeholders of the database itself are no zones; the JVM knows one alias under its other name only.
+    none = {"Factory", "localtime", "posixrules", "leapseconds", "ROC"}
+    return {z.lower(): z for z in sorted(zoneinfo.available_timezones() - none)} | {"roc": "Asia/Taipei"}
 
 
 def zone_name(c: Column) -> Column:

@@ -17,8 +17,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracewell.functions.keys import with_one_row
-
 # About 4 million compact rows (96 MB of arrays) are one bucket's share.
 ROWS_PER_BUCKET = 4_000_000
 
@@ -73,10 +71,12 @@ def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def delivered(snapshots: DataFrame, snapshot_col: str) -> DataFrame:
-    """The delivered snapshot numbers with gapless ordinals (one row per delivery)."""
+    """(snapshot_no, _ord, _of): the delivered snapshot numbers with gapless ordinals and their number, one row per delivery."""
     numbers = snapshots.select(F.col(snapshot_col).alias("snapshot_no")).where(F.col(snapshot_col).isNotNull()).distinct()
-    # One row per delivery, so one task orders them all.
-    return numbers.select("snapshot_no", (F.row_number().over(Window.orderBy("snapshot_no")) - 1).cast("int").alias("_ord"))
+    # One row per delivery, so one task orders and counts them all.
+    at = Window.orderBy("snapshot_no")
+    whole = at.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return numbers.select("snapshot_no", (F.row_number().over(at) - 1).cast("int").alias("_ord"), F.count(F.lit(1)).over(whole).cast("int").alias("_of"))
 
 
 def snapshot_changes(snapshots: DataFrame, snapshot_col: str, key_col: str, content: Column) -> DataFrame:
@@ -94,8 +94,7 @@ def snapshot_changes(snapshots: DataFrame, snapshot_col: str, key_col: str, cont
     numbers = delivered(snapshots, snapshot_col)
     rows = snapshots.select(F.col(snapshot_col).alias("snapshot_no"), F.col(key_col).cast("long").alias("_key"), F.xxhash64(content).alias("_hash"))
     rows = rows.where(F.col("snapshot_no").isNotNull() & F.col("_key").isNotNull()).distinct()
-    of = numbers.agg(F.count(F.lit(1)).cast("int").alias("_of"))
-    compact = rows.join(with_one_row(numbers, of), "snapshot_no").select("_ord", "_key", "_hash", "_of")
+    compact = rows.join(numbers, "snapshot_no").select("_ord", "_key", "_hash", "_of")
     buckets = max(spark.sparkContext.defaultParallelism, -(-snapshots.count() // ROWS_PER_BUCKET))
     found = compact.repartition(buckets, F.xxhash64("_key")).mapInArrow(_differences, "_ord int, _key long, _code int")
     kind = F.element_at(F.array(*[F.lit(k) for k in KINDS]), F.col("_code") + 1)
@@ -108,7 +107,7 @@ def change_values(changes: DataFrame, snapshots: DataFrame, snapshot_col: str, k
     Result: (snapshot_no, key, change_kind, value_before, value_after); the
     smallest value stands for repeated entries.
     """
-    numbers = delivered(snapshots, snapshot_col)
+    numbers = delivered(snapshots, snapshot_col).drop("_of")
     wanted = changes.join(numbers, "snapshot_no")
     sides = wanted.select("key", F.explode(F.array(F.struct("_ord", F.lit(1).alias("_side"), F.col("_ord").alias("_at")), F.struct("_ord", F.lit(0).alias("_side"), (F.col("_ord") - 1).alias("_at")))).alias("s"))
     sides = sides.select("key", "s._ord", "s._side", "s._at")
