@@ -19,6 +19,7 @@ sees more than that of one entity.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -131,43 +132,66 @@ def _intervals(per: DataFrame, full: list[DataFrame], state: str) -> DataFrame:
     return joined.select("s._e", "s._from", F.coalesce("s._next", "t._after").alias("_until"), rank.alias("_rank"))
 
 
-def known_at(events: DataFrame, changes: DataFrame, entity: str, event_time: str, change_time: str, rank: Sequence[str], state: str = "latest", final_prefix: str | None = None) -> DataFrame:
-    """``events`` with the ``rank`` columns of the change in force at ``event_time``.
+@dataclass(frozen=True)
+class Changes:
+    """Rows that say from when on an entity has which ``rank`` columns.
+
+    ``state="latest"``: the latest change is in force; ``"highest"``: the
+    largest rank so far is, whenever it came.
+    """
+
+    rows: DataFrame
+    time: str
+    rank: tuple[str, ...]
+    state: str = "latest"
+
+
+def known_states(events: DataFrame, entity: str, event_time: str, changes: Sequence[Changes], final_prefix: str | None = None) -> DataFrame:
+    """``events`` with the ``rank`` columns of each table of changes, as in force at ``event_time``.
 
     Of several changes of an entity at one instant the one with the largest
-    ``rank`` (compared column by column) counts.  ``state="latest"``: the
-    latest change is in force; ``"highest"``: the largest rank so far is,
-    whenever it came.  A change holds from its own instant on, inclusive.
-    With ``final_prefix`` the state that the whole table says is added too.
+    ``rank`` (compared column by column) counts.  A change holds from its own
+    instant on, inclusive.  With ``final_prefix`` the state that the whole
+    table says is added too.  The events pass once over the entities and once
+    over the buckets of each table.
 
     Events before the first change, without entity, or without time have null
     values; every event row is kept once.  Changes without entity or time say
     nothing.  ``rank`` columns replace event columns of the same name.
     """
-    names = list(rank)
+    names = [n for c in changes for n in c.rank]
     kept = [c for c in events.columns if c not in names]
-    per = (
-        changes.where(F.col(entity).isNotNull() & F.col(change_time).isNotNull())
-        .select(F.col(entity).alias("_e"), F.unix_micros(F.col(change_time)).alias("_from"), F.struct(*names).alias("_rank"))
-        .groupBy("_e", "_from")
-        .agg(F.max("_rank").alias("_rank"))
-    )
-    # Read several times below.
-    per = materialize(per, "pit-changes")
-    full = _full_buckets(per)
-    top = F.max("_rank") if state == "highest" else F.max_by("_rank", "_from")
-    ends = [F.max("_from").alias("_last"), *([top.alias("_final")] if final_prefix is not None else [])]
-    summary = per.groupBy("_e").agg(*ends)
-    # The last interval is open: it stands in its own bucket, where the events after it are sent.
-    spans = _exploded(_intervals(per, full, state).withColumn("_last_in", F.coalesce(F.col("_until") - 1, F.col("_from"))), full)
-    spans = spans.select(F.col("_e").alias("_se"), F.col("_l").alias("_sl"), F.col("_b").alias("_sb"), "_from", "_until", "_rank")
-
     # The event's own columns travel as one value, so none of their names can clash.
     placed = events.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_event"), F.col(entity).alias("_e"), F.unix_micros(F.col(event_time)).alias("_t"))
-    placed = _in_leaf(placed.join(summary, "_e", "left").withColumn("_at", F.least("_t", "_last")), "_at", full)
-    held = (F.col("_e") == F.col("_se")) & (F.col("_l") == F.col("_sl")) & (F.col("_b") == F.col("_sb")) & (F.col("_from") <= F.col("_t")) & (F.col("_until").isNull() | (F.col("_t") < F.col("_until")))
-    joined = placed.join(spans, held, "left")
-    out = [*[F.col("_event").getField(c).alias(c) for c in kept], *[F.col("_rank").getField(c).alias(c) for c in names]]
-    if final_prefix is not None:
-        out += [F.col("_final").getField(c).alias(f"{final_prefix}{c}") for c in names]
-    return joined.select(*out)
+    tables = []
+    for i, c in enumerate(changes):
+        per = (
+            c.rows.where(F.col(entity).isNotNull() & F.col(c.time).isNotNull())
+            .select(F.col(entity).alias("_e"), F.unix_micros(F.col(c.time)).alias("_from"), F.struct(*c.rank).alias("_rank"))
+            .groupBy("_e", "_from")
+            .agg(F.max("_rank").alias("_rank"))
+        )
+        # Read several times below.
+        per = materialize(per, "pit-changes")
+        tables.append((per, _full_buckets(per)))
+        top = F.max("_rank") if c.state == "highest" else F.max_by("_rank", "_from")
+        ends = [F.max("_from").alias(f"_last{i}"), *([top.alias(f"_final{i}")] if final_prefix is not None else [])]
+        placed = placed.join(per.groupBy("_e").agg(*ends), "_e", "left")
+    for i, (c, (per, full)) in enumerate(zip(changes, tables)):
+        # The last interval is open: it stands in its own bucket, where the events after it are sent.
+        spans = _exploded(_intervals(per, full, c.state).withColumn("_last_in", F.coalesce(F.col("_until") - 1, F.col("_from"))), full)
+        spans = spans.select(F.col("_e").alias("_se"), F.col("_l").alias("_sl"), F.col("_b").alias("_sb"), "_from", "_until", F.col("_rank").alias(f"_rank{i}"))
+        placed = _in_leaf(placed.withColumn("_at", F.least("_t", f"_last{i}")), "_at", full)
+        held = (F.col("_e") == F.col("_se")) & (F.col("_l") == F.col("_sl")) & (F.col("_b") == F.col("_sb")) & (F.col("_from") <= F.col("_t")) & (F.col("_until").isNull() | (F.col("_t") < F.col("_until")))
+        placed = placed.join(spans, held, "left").drop("_se", "_sl", "_sb", "_from", "_until", "_l", "_b", "_at", f"_last{i}")
+    out = [F.col("_event").getField(n).alias(n) for n in kept]
+    for i, c in enumerate(changes):
+        out += [F.col(f"_rank{i}").getField(n).alias(n) for n in c.rank]
+        if final_prefix is not None:
+            out += [F.col(f"_final{i}").getField(n).alias(f"{final_prefix}{n}") for n in c.rank]
+    return placed.select(*out)
+
+
+def known_at(events: DataFrame, changes: DataFrame, entity: str, event_time: str, change_time: str, rank: Sequence[str], state: str = "latest", final_prefix: str | None = None) -> DataFrame:
+    """:func:`known_states` for one table of changes."""
+    return known_states(events, entity, event_time, [Changes(changes, change_time, tuple(rank), state)], final_prefix)

@@ -128,26 +128,28 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return keys.kept_once(out, F.col("utc_us").isNotNull() & ~blank).select("table_name", "row_no", "field_name", "utc_us")
 
 
-def _as_known(spark: SparkSession, d: str) -> DataFrame:
-    runs = table(spark, d, "extraction_runs").select(F.lit("extraction_runs").alias("table_name"), F.col("f5_run_id").alias("row_key"), "cse_filing_id", F.col("recorded_at").alias("t")).distinct()
+def _as_known(spark: SparkSession, d: str, only_changed: bool) -> DataFrame:
+    runs = table(spark, d, "extraction_runs").select(F.lit("extraction_runs").alias("table_name"), F.col("f5_run_id").alias("row_key"), "cse_filing_id", F.col("recorded_at").alias("t"))
     views = table(spark, d, "knowledge_views").select(F.lit("knowledge_views").alias("table_name"), F.col("view_id").cast("string").alias("row_key"), "cse_filing_id", F.col("known_at").alias("t"))
     decisions = table(spark, d, "issuer_decisions").select("cse_filing_id", "decided_at", F.col("id").alias("decision_id"))
     listed = table(spark, d, "filing_observations").select("cse_filing_id", "observed_at", "delivery_no")
     listed = listed.join(surplus_observations(spark, d), "delivery_no", "left_anti")
-    with_decision = pit_join.known_at(runs.unionByName(views), decisions, "cse_filing_id", "t", "decided_at", ["decision_id"], "highest", "final_")
-    return pit_join.known_at(with_decision, listed, "cse_filing_id", "t", "observed_at", ["delivery_no"], "latest", "final_")
+    changes = [pit_join.Changes(decisions, "decided_at", ("decision_id",), "highest"), pit_join.Changes(listed, "observed_at", ("delivery_no",))]
+    known = pit_join.known_states(runs.unionByName(views), "cse_filing_id", "t", changes, "final_")
+    if only_changed:
+        known = known.where(~F.col("decision_id").eqNullSafe(F.col("final_decision_id")) | ~F.col("delivery_no").eqNullSafe(F.col("final_delivery_no")))
+    none = F.lit(-1).cast("long")
+    # Exact copies of a run count once; they have equal answers, so they are dropped where fewest columns and rows are left.
+    once = known.select("table_name", "row_key", "cse_filing_id", "t", F.coalesce("decision_id", none).alias("decision_id"), F.coalesce("delivery_no", none).alias("delivery_no")).distinct()
+    return once.drop("cse_filing_id", "t")
 
 
 def p7_known(spark: SparkSession, d: str) -> DataFrame:
-    none = F.lit(-1).cast("long")
-    return _as_known(spark, d).select("table_name", "row_key", F.coalesce("decision_id", none).alias("decision_id"), F.coalesce("delivery_no", none).alias("delivery_no"))
+    return _as_known(spark, d, False)
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    none = F.lit(-1).cast("long")
-    rows = _as_known(spark, d)
-    later = ~F.col("decision_id").eqNullSafe(F.col("final_decision_id")) | ~F.col("delivery_no").eqNullSafe(F.col("final_delivery_no"))
-    return rows.where(later).select("table_name", "row_key", F.coalesce("decision_id", none).alias("decision_id"), F.coalesce("delivery_no", none).alias("delivery_no"))
+    return _as_known(spark, d, True)
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_bridge, p2_objects, p3_found, p3_values, p4_found, p4_source_scales, p5_found, p6_found, p7_found, p7_known)}
