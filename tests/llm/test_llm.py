@@ -83,6 +83,42 @@ def test_packing_keeps_everything_and_fills(spark, monkeypatch):
     assert packing.pack_along_curve(df, plans.limit(0)).count() == 0
 
 
+def _likeness(vectors, containers):
+    """Mean cosine of pairs of documents within a container."""
+    out = []
+    for m in containers:
+        if len(m) > 1:
+            v = vectors[m]
+            out.append((v.sum(0) @ v.sum(0) - (v * v).sum()) / (len(m) * (len(m) - 1)))
+    return np.mean(out)
+
+
+def test_containers_hold_neighbours(spark):
+    """Documents that share a container are more alike than under a random order, at equal fill."""
+    documents = spark.read.parquet(f"{DATA}/../sf0.1/documents.parquet")
+    places, plans = packing.curve_places(documents), spark.createDataFrame([(1, 2048)], "plan_id int, capacity_tokens int")
+    texts = {r["doc_id"]: r["text"] or "" for r in documents.select("doc_id", "text").collect()}
+    row = {d: i for i, d in enumerate(texts)}
+    words = [set(t.lower().split()) for t in texts.values()]
+    seen = {}
+    for ws in words:
+        for w in ws:
+            seen[w] = seen.get(w, 0) + 1
+    vectors = np.zeros((len(words), 4096), np.float32)
+    for i, ws in enumerate(words):
+        for w in ws:
+            vectors[i, hash(w) % 4096] += np.log(len(words) / seen[w])
+    vectors /= np.maximum(np.sqrt((vectors**2).sum(1, keepdims=True)), 1e-9)
+    got, fill = {}, {}
+    for name, p in (("curve", places), ("random", places.withColumn("curve_key", F.xxhash64("doc_id")))):
+        packed = packing.pack_along_curve(p, plans)
+        held = {}
+        for r in packed.collect():
+            held.setdefault(r["container_id"], []).append(row[r["doc_id"]])
+        got[name], fill[name] = _likeness(vectors, held.values()), packing.fill_report(packed, plans).first()["fill"]
+    assert got["curve"] > 1.8 * got["random"] and fill["curve"] > 0.998 and abs(fill["curve"] - fill["random"]) < 0.001
+
+
 def test_places_of_edge_texts(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, "word " * 50_000), (4, "word " * 50_000), (5, "\n\t ")], "doc_id long, text string")
     got = {r["doc_id"]: r for r in packing.curve_places(df).collect()}
@@ -130,19 +166,51 @@ def test_mixture_edges(spark):
     assert sum(r["n_tokens"] for r in mixing.mix_sources(one, targets).collect()) == 20
 
 
+def test_targets_of_one_source_in_two_spellings(spark):
+    sizes = spark.createDataFrame([(i, ["news", "News ", "NE-WS", "web"][i % 4], 10) for i in range(400)], "doc_id long, source string, n_tokens long")
+    targets = spark.createDataFrame([("news", 0.25, 1), ("News ", 0.25, 3), ("web", 0.5, 2), ("web", 0.5, 2), (" ", 0.1, 1)], "source string, target_share double, max_repeats int")
+    mixed = mixing.mix_sources(sizes, targets)
+    report = {r["source"]: r for r in mixing.share_report(mixed, targets, sizes).collect()}
+    assert mixed.groupBy("doc_id", "repeat_no").count().where("count > 1").count() == 0
+    assert report["News "]["n_tokens"] == report["web"]["n_tokens"] == 2000 and report["News "]["most_uses"] == 1 and report["web"]["most_uses"] == 2
+    assert report["News "]["unused_tokens"] == 1000 and report["web"]["unused_tokens"] == 0
+
+
+def test_a_given_total_leaves_capped_sources_under_their_share(spark):
+    sizes = spark.createDataFrame([(i, "small" if i < 50 else "large", 10) for i in range(1000)], "doc_id long, source string, n_tokens long")
+    targets = spark.createDataFrame([("small", 0.5, 3), ("large", 0.5, 1)], "source string, target_share double, max_repeats int")
+    mixed = mixing.mix_sources(sizes, targets, total_tokens=10_000)
+    report = {r["source"]: r for r in mixing.share_report(mixed, targets, sizes).collect()}
+    assert (report["small"]["n_tokens"], report["small"]["most_uses"]) == (1500, 3) and report["large"]["n_tokens"] == 5000
+    assert report["small"]["actual_share"] == round(1500 / 6500, 6) and report["large"]["unused_tokens"] == 4500
+
+
+def test_blocks_grow_with_the_total(spark, monkeypatch):
+    """A draw takes fewer than 10^9 blocks; the number of blocks is bounded whatever the total is."""
+    monkeypatch.setattr(mixing, "BLOCK_TOKENS", 10)
+    monkeypatch.setattr(mixing, "MOST_BLOCKS", 16)
+    monkeypatch.setattr(mixing, "SHARD_TOKENS", 500)
+    drawn = []
+    tree = mixing.SplittingTree
+    monkeypatch.setattr(mixing, "_sharder", lambda blocks, shards, seed: drawn.append(blocks) or (lambda s, r: F.lit(0)))
+    sizes = spark.createDataFrame([(i, "ab"[i % 2], 10) for i in range(1000)], "doc_id long, source string, n_tokens long")
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 1)], "source string, target_share double, max_repeats int")
+    mixed = mixing.mix_sources(sizes, targets)
+    assert sum(drawn[0]) <= 16 + 2 and mixed.count() == 1000
+    assert tree([1 << 27, 1 << 27], 4, 1).shards_of(np.zeros(3, int), np.array([0, 1 << 20, (1 << 27) - 1])).shape == (3,)
+
+
 def test_splitting_tree_gives_exact_disjoint_quotas():
     blocks = [40, 7, 0, 113]
     tree = mixing.SplittingTree(blocks, 9, 3)
-    per = {}
-    for s, n in enumerate(blocks):
-        for r in range(n):
-            k = tree.shard(s, r)
-            per[k] = per.get(k, 0) + 1
-    assert sum(per.values()) == 160 and set(per.values()) <= {17, 18}
-    other = mixing.SplittingTree(blocks, 9, 3)
-    assert all(other.shard(3, r) == tree.shard(3, r) for r in range(113))
+    source, rank = np.repeat(np.arange(4), blocks), np.concatenate([np.arange(n) for n in blocks])
+    shard = tree.shards_of(source, rank)
+    assert set(np.bincount(shard, minlength=9)) == {17, 18}
+    # Any part of the blocks, in any order, is routed the same.
+    some = np.random.default_rng(1).permutation(160)[:90]
+    assert (mixing.SplittingTree(blocks, 9, 3).shards_of(source[some], rank[some]) == shard[some]).all()
     # The share of the large source in a shard varies around its share of all blocks, as a random draw does.
-    means = [np.mean([mixing.SplittingTree([50, 50], 4, seed).shard(0, r) == 0 for r in range(50)]) for seed in range(40)]
+    means = [(mixing.SplittingTree([50, 50], 4, seed).shards_of(np.zeros(50, int), np.arange(50)) == 0).mean() for seed in range(40)]
     assert 0.2 < np.mean(means) < 0.3 and np.std(means) > 0.01
 
 
@@ -150,6 +218,35 @@ def test_splitting_tree_gives_exact_disjoint_quotas():
 def test_codewords_are_apart():
     c = langid.codewords(9)
     assert min(int((c[i] != c[j]).sum()) for i in range(9) for j in range(i)) >= 5
+    for n in (2, 3, 40, 100):
+        c = langid.codewords(n)
+        assert c.shape[0] == n and min(int((c[i] != c[j]).sum()) for i in range(n) for j in range(i)) >= langid.LEAST_APART and (np.abs(c.sum(0)) < n).all()
+    assert langid.codewords(1).shape == (1, 1)
+
+
+def test_one_and_two_languages():
+    en, de = "the directors have approved the accounts", "die Prüfer haben den Abschluss ohne Einschränkung bestätigt"
+    one = langid.LanguageCodes.fit([("en", en)])
+    assert one.languages == ["en"] and one.score([en, de])[1].argmax(1).tolist() == [0, 0]
+    two = langid.LanguageCodes.fit([("en", en), ("de", de), ("nl", "12 345")])
+    assert [two.languages[k] for k in two.score([en, de])[1].argmax(1)] == ["en", "de"]
+    with pytest.raises(ValueError, match="no sample"):
+        langid.LanguageCodes.fit([("en", "7")])
+
+
+def test_a_line_has_the_language_of_most_of_its_words(spark):
+    model, _ = _model(spark)
+    # Words of another script have by far the largest margins, and are fewer.
+    line = "The directors expect higher fuel costs to ease only slowly கணக்குகள் கடந்த ஆண்டின்"
+    assert model.languages[model.score([line])[1].argmax(1)[0]] == "en"
+
+
+def test_a_language_nobody_taught_is_unknown(spark):
+    samples, documents = spark.read.parquet(f"{DATA}/language_samples.parquet").where("lang <> 'fr'"), spark.read.parquet(f"{DATA}/../sf0.01/documents.parquet").where("coalesce(lang, '') <> 'fr'")
+    model = langid.refit_codes(langid.fit_codes(samples, "lang", "sample_text"), samples, documents)
+    text = "\n".join(["Les administrateurs ont examiné les comptes de la société et ont approuvé le versement du dividende aux actionnaires."] * 3)
+    got = langid.language_stretches(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).collect()
+    assert [(r["first_line"], r["last_line"], r["lang"]) for r in got] == [(1, 3, langid.UNKNOWN)]
 
 
 def _model(spark):
@@ -188,7 +285,7 @@ def test_held_out_samples(spark):
     fit = samples.where("sample_id % 2 = 0")
     model = langid.refit_codes(langid.fit_codes(fit, "lang", "sample_text"), fit, documents)
     rest = samples.where("sample_id % 2 = 1").collect()
-    number, _ = model.decode(model.score([r["sample_text"] for r in rest])[0])
+    number = model.score([r["sample_text"] for r in rest])[1].argmax(1)
     assert np.mean([model.languages[k] == r["lang"] for k, r in zip(number, rest)]) > 0.95
 
 
@@ -208,6 +305,8 @@ def test_labels(spark):
     names = ["en", "EN-lk", "en_GB", " English ", "sin", "Sinhala", "xx", "", None, "und", "ger", "Tamil"]
     got = [r[0] for r in spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, n string").orderBy("i").select(langid.iso_label(F.col("n"))).collect()]
     assert got == ["en", "en", "en", "en", "si", "si", None, None, None, None, "de", "ta"]
+    own = spark.createDataFrame([(i, n) for i, n in enumerate(["xx", "PL", "Polish", "english"])], "i int, n string").orderBy("i")
+    assert [r[0] for r in own.select(langid.iso_label(F.col("n"), ["xx"], {"pl": ["polish"]})).collect()] == ["xx", "pl", "pl", None]
 
 
 def test_bounded_sample_has_every_language(spark, monkeypatch):

@@ -1,21 +1,24 @@
 """Language of documents and of the one-language stretches within them.
 
-Error-correcting output codes: every language has a codeword of ``CODE_BITS``
-signs; one binary n-gram classifier per bit predicts that sign from character
-n-grams; loss-weighted decoding picks the language whose codeword costs least
-under the classifiers' margins, bits weighted by how well each separates
-held-out samples, and flags the decision as ambiguous where the runner-up is
-close.
-
-The classifiers are additive over words, so a distinct word is scored once per
-task and lines are sums of word scores: a line's work is a lookup per word.
-Documents are read whole; their rows never leave their partition.
+Error-correcting output codes: every language has a codeword of signs, long
+enough for the number of languages that any two differ in ``LEAST_APART`` bits;
+one binary n-gram classifier per bit predicts that sign from character n-grams;
+loss-weighted decoding picks the language whose codeword costs least under the
+classifiers' margins, bits weighted by how well each separates held-out
+samples, and flags the decision as ambiguous where the runner-up is close.
+
+Every word is decoded and votes for the languages its margins suit; a line has
+the language of most of its words.  A word's margins and votes are found once
+per task, so a line's work is a lookup per word.  A stretch whose margins lie
+further from every codeword than those of any language do in held-out samples
+is of no language known (``UNKNOWN``).  Documents are read whole; their rows
+never leave their partition.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -26,7 +29,9 @@ from pyspark.sql import functions as F
 
 from tracewell.llm.tokens import slices
 
+# Codewords have at least this many bits, and as many more as it takes to keep any two this far apart.
 CODE_BITS = 15
+LEAST_APART = 5
 FEATURES = 1 << 15
 # The classifiers are fitted on at most this many labelled rows.
 MAX_SAMPLES = 20_000
@@ -38,6 +43,11 @@ WORD_MEMORY = 200_000
 # A decision whose confidence is below this is flagged as ambiguous.
 AMBIGUOUS_BELOW = 0.6
 _SMOOTHING = 0.3
+# The label of a stretch that suits no language of the model, and how many words it must have to be called that.
+UNKNOWN = "und"
+UNKNOWN_FROM_WORDS = 8
+# It lies this many times further from every codeword than all but a thousandth of the held-out samples do from their own.
+FAR = 1.5
 
 # Three-letter codes and English names that mean an ISO 639-1 code.
 LABELS = {
@@ -48,11 +58,15 @@ LABELS = {
 _WORD = re.compile(r"[^\W\d_](?:[^\W\d_]|[̀-ͯ஀-௿඀-෿‌‍'’])*")
 
 
-def iso_label(label: Column) -> Column:
-    """The ISO 639-1 code a label names, in any case, with a region, as code or name; null if none."""
+def iso_label(label: Column, languages: Sequence[str] = (), labels: Mapping[str, Sequence[str]] = LABELS) -> Column:
+    """The ISO 639-1 code a label names, in any case, with a region, as code or name; null if none.
+
+    Codes are those of ``labels``, which also has their other names, and
+    ``languages``, such as a model has learnt.
+    """
     s = F.regexp_replace(F.regexp_replace(F.lower(label), r"^[\s\u00a0]+", ""), r"[^\p{L}].*$", "")
-    out = F.when(s.isin(list(LABELS)), s)
-    for code, names in LABELS.items():
+    out = F.when(s.isin([*labels, *languages]), s)
+    for code, names in labels.items():
         out = F.when(s.isin(*names), F.lit(code)).otherwise(out)
     return out
 
@@ -64,34 +78,52 @@ def _ngrams(word: str) -> list[int]:
 
 
 def codewords(n_languages: int) -> np.ndarray:
-    """Signs (languages x bits): of many seeded draws the one whose closest pair is furthest apart."""
-    best, score = None, (-1, -1.0)
-    for seed in range(400):
-        c = np.where(np.random.default_rng(seed).random((n_languages, CODE_BITS)) < 0.5, -1, 1).astype(np.int8)
-        if (np.abs(c.sum(0)) == n_languages).any():
-            continue
-        gaps = [int((c[i] != c[j]).sum()) for i in range(n_languages) for j in range(i)] or [CODE_BITS]
-        if (min(gaps), float(np.mean(gaps))) > score:
-            best, score = c, (min(gaps), float(np.mean(gaps)))
-    return best
+    """Signs (languages x bits): the shortest code, from ``CODE_BITS`` on, whose closest pair is ``LEAST_APART`` bits apart.
+
+    Of many seeded draws of a length the one whose closest pair is furthest
+    apart counts.  Every bit divides the languages, so one language has a code
+    of one bit, which nothing contradicts, and two have opposite codewords.
+    """
+    if n_languages == 1:
+        return np.ones((1, 1), np.int8)
+    bits = CODE_BITS
+    while True:
+        best, score = None, (-1, -1.0)
+        for seed in range(400 if n_languages <= 64 else 20):
+            rng = np.random.default_rng(seed)
+            c = np.where(rng.random((n_languages, bits)) < 0.5, -1, 1).astype(np.int8)
+            while (same := np.abs(c.sum(0)) == n_languages).any():
+                c[:, same] = np.where(rng.random((n_languages, int(same.sum()))) < 0.5, -1, 1)
+            # Two codewords differ in (bits - their product) / 2 places.
+            apart = (bits - c.astype(np.int32) @ c.T.astype(np.int32))[np.triu_indices(n_languages, 1)] // 2
+            if (int(apart.min()), float(apart.mean())) > score:
+                best, score = c, (int(apart.min()), float(apart.mean()))
+        if score[0] >= LEAST_APART:
+            return best
+        bits += 3
 
 
 @dataclass
 class LanguageCodes:
-    """Fitted classifiers: weights (features x bits), codewords, bit weights, and a sharpness for confidences."""
+    """Fitted classifiers: weights (features x bits), codewords, bit weights, the distance beyond which no language is meant, and a sharpness for confidences."""
 
     languages: list[str]
     code: np.ndarray
     weights: np.ndarray
     bit_weights: np.ndarray
+    furthest: float = float("inf")
     sharpness: float = 6.0
     _memory: _Memory | None = field(default=None, repr=False)
 
     @classmethod
     def fit(cls, samples: list[tuple[str, str]]) -> LanguageCodes:
-        """From (language, text) rows; languages need at least one sample each."""
+        """From (language, text) rows; a language needs at least one sample with words."""
+        samples = [(lang, text) for lang, text in samples if _WORD.search(text)]
         languages = sorted({lang for lang, _ in samples})
+        if not languages:
+            raise ValueError("no sample of any language")
         code = codewords(len(languages))
+        bits = code.shape[1]
         grams: dict[str, np.ndarray] = {}
         per_sample = []
         for lang, text in samples:
@@ -114,14 +146,14 @@ class LanguageCodes:
             # Per bit: log odds of a feature in the languages of the plus side against the minus side.
             p = c + 1e-9
             p = p / p.sum(1, keepdims=True) * min(p.sum(1).max(), 20_000)
-            w = np.zeros((FEATURES, CODE_BITS), np.float32)
-            for b in range(CODE_BITS):
+            w = np.zeros((FEATURES, bits), np.float32)
+            for b in range(bits if len(languages) > 1 else 0):
                 plus, minus = p[code[:, b] > 0].mean(0) + _SMOOTHING, p[code[:, b] < 0].mean(0) + _SMOOTHING
                 w[:, b] = np.log(plus / plus.sum()) - np.log(minus / minus.sum())
             return w
 
         folds = 3
-        right, seen = np.zeros(CODE_BITS), 0
+        right, seen, margins, own = np.zeros(bits), 0, [], []
         for f in range(folds):
             w = train(counts(lambda k, f=f: k % folds != f))
             held: dict[str, np.ndarray] = {}
@@ -130,24 +162,31 @@ class LanguageCodes:
                     m = np.mean([held[x] if x in held else held.setdefault(x, w[grams[x]].mean(0)) for x in words], axis=0)
                     right += np.sign(m) == code[li]
                     seen += 1
+                    if len(words) >= UNKNOWN_FROM_WORDS:
+                        margins.append(m)
+                        own.append(li)
         accuracy = np.clip((right + 1) / (seen + 2), 0.05, 0.95)
-        return cls(languages, code, train(counts(lambda k: True)), np.maximum(0.05, np.log(accuracy / (1 - accuracy))).astype(np.float32))
+        model = cls(languages, code, train(counts(lambda k: True)), np.maximum(0.05, np.log(accuracy / (1 - accuracy))).astype(np.float32))
+        if len(languages) > 1 and margins:
+            far = model.distances(np.asarray(margins))
+            right = far.argmin(1) == own
+            if right.any():
+                model.furthest = FAR * float(np.quantile(far.min(1)[right], 0.999))
+        return model
 
     def _row(self, chunk: str) -> np.ndarray | None:
-        """Summed word scores and the number of words of a blank-divided chunk; None without words."""
+        """Summed margins, votes for each language and number of words of a blank-divided chunk; None without words."""
         words = _WORD.findall(chunk)
         if not words:
             return None
-        v = np.zeros(CODE_BITS + 1, np.float32)
-        for w in words:
-            v[:-1] += self.weights[_ngrams(w)].mean(0)
-        v[-1] = len(words)
-        return v
-
-    def score(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(mean margin per bit, number of words) of each line."""
+        m = np.array([self.weights[_ngrams(w)].mean(0) for w in words], np.float32)
+        return np.concatenate([m.sum(0), self.votes(m).sum(0), [len(words)]]).astype(np.float32)
+
+    def score(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(summed margins per bit, words per language, number of words) of each line."""
+        bits = self.code.shape[1]
         if self._memory is None or len(self._memory) > WORD_MEMORY:
-            self._memory = _Memory(self._row)
+            self._memory = _Memory(self._row, bits + len(self.languages) + 1)
         get = self._memory.__getitem__
         at: list[int] = []
         ends = [0]
@@ -155,12 +194,17 @@ class LanguageCodes:
             at.extend(map(get, line.split()))
             ends.append(len(at))
         ends = np.asarray(ends)
-        total = np.zeros((len(lines), CODE_BITS + 1), np.float32)
+        total = np.zeros((len(lines), self._memory.width), np.float32)
         if at:
             full = np.flatnonzero(ends[1:] > ends[:-1])
             total[full] = np.add.reduceat(np.asarray(self._memory.rows, np.float32)[np.asarray(at)], ends[full])
-        n = total[:, -1]
-        return total[:, :-1] / np.maximum(n, 1)[:, None], n
+        return total[:, :bits], total[:, bits:-1], total[:, -1]
+
+    def votes(self, margins: np.ndarray) -> np.ndarray:
+        """How far each language is meant by margins (rows x bits); the languages of a row add up to 1."""
+        loss = self.distances(margins)
+        p = np.exp(-self.sharpness * (loss - loss.min(1, keepdims=True)))
+        return p / p.sum(1, keepdims=True)
 
     def distances(self, margins: np.ndarray) -> np.ndarray:
         """Loss-weighted distance of margins (rows x bits) to every codeword."""
@@ -172,17 +216,16 @@ class LanguageCodes:
 
     def decode(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(language number, confidence): least loss-weighted distance to a codeword."""
-        loss = self.distances(margins)
-        p = np.exp(-self.sharpness * (loss - loss.min(1, keepdims=True)))
-        return loss.argmin(1), 1 / p.sum(1)
+        p = self.votes(margins)
+        return p.argmax(1), p.max(1)
 
 
 class _Memory(dict):
     """Row number by chunk; chunks without words share row 0."""
 
-    def __init__(self, row) -> None:
+    def __init__(self, row, width: int) -> None:
         super().__init__()
-        self.row, self.rows = row, [np.zeros(CODE_BITS + 1, np.float32)]
+        self.row, self.width, self.rows = row, width, [np.zeros(width, np.float32)]
 
     def __missing__(self, chunk: str) -> int:
         v = self.row(chunk)
@@ -216,7 +259,7 @@ def refit_codes(model: LanguageCodes, samples: DataFrame, documents: DataFrame,
     and a line of it only unless the first fit is sure of another language.
     """
     at = Window.partitionBy("_l").orderBy("_k", id_col)
-    known = documents.select(id_col, iso_label(F.col(label_col)).alias("_l"), F.xxhash64(F.col(id_col)).alias("_k"))
+    known = documents.select(id_col, iso_label(F.col(label_col), model.languages).alias("_l"), F.xxhash64(F.col(id_col)).alias("_k"))
     chosen = known.where(F.col("_l").isin(model.languages)).withColumn("_r", F.row_number().over(at)).where(F.col("_r") <= DOCS_PER_LANGUAGE)
     lines = F.slice(F.filter(F.split(F.col(text_col), "\n"), lambda x: x.rlike(r"\p{L}")), 1, LINES_PER_DOCUMENT)
     # Joined before they are divided into lines, so only the chosen texts are.
@@ -225,8 +268,8 @@ def refit_codes(model: LanguageCodes, samples: DataFrame, documents: DataFrame,
     for r in rows:
         if not r["_t"]:
             continue
-        margins, n = model.score(r["_t"])
-        number, sure = model.decode(margins)
+        margins, words, n = model.score(r["_t"])
+        number, sure = words.argmax(1), model.decode(margins / np.maximum(n, 1)[:, None])[1]
         own = model.languages.index(r["_l"])
         if 2 * n[number == own].sum() > n.sum():
             out += [(r["_l"], t) for t, k, c in zip(r["_t"], number, sure) if k == own or c < AMBIGUOUS_BELOW]
@@ -243,22 +286,23 @@ def _stretches(model: LanguageCodes):
                 lines += own
                 owner += [k] * len(own)
                 number += range(1, len(own) + 1)
-            margins, n = model.score(lines)
+            margins, votes, n = model.score(lines)
             at = np.flatnonzero(n > 0)
             out: list[list] = [[] for _ in range(7)]
             if len(at):
-                m, words, doc, line = margins[at], n[at], np.asarray(owner)[at], np.asarray(number)[at]
-                lang, _ = model.decode(m)
+                m, v, words, doc, line = margins[at], votes[at], n[at], np.asarray(owner)[at], np.asarray(number)[at]
+                lang = v.argmax(1)
+                # Lines far from every codeword are a stretch of their own.
+                lang[(words >= UNKNOWN_FROM_WORDS) & (model.distances(m / words[:, None]).min(1) > model.furthest)] = len(model.languages)
                 first = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (lang[1:] != lang[:-1])])
                 last = np.r_[first[1:], len(at)] - 1
                 size = np.add.reduceat(words, first)
-                mean = np.add.reduceat(m * words[:, None], first) / size[:, None]
                 # The stretch's language is its lines'; the confidence is that of their words together.
-                loss = model.distances(mean)
+                p = model.votes(np.add.reduceat(m, first) / size[:, None])
                 own = lang[first]
-                p = np.exp(-model.sharpness * (loss - loss.min(1, keepdims=True)))
-                sure = p[np.arange(len(own)), own] / p.sum(1)
-                out = [[ids[k] for k in doc[first]], line[first].tolist(), line[last].tolist(), [model.languages[i] for i in own], sure.tolist(), size.astype(int).tolist(), (sure < AMBIGUOUS_BELOW).tolist()]
+                sure = np.where(own < len(model.languages), p[np.arange(len(own)), np.minimum(own, len(model.languages) - 1)], 1 - p.max(1))
+                names = [*model.languages, UNKNOWN]
+                out = [[ids[k] for k in doc[first]], line[first].tolist(), line[last].tolist(), [names[i] for i in own], sure.tolist(), size.astype(int).tolist(), (sure < AMBIGUOUS_BELOW).tolist()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.float64(), pa.int64(), pa.bool_()))], ["doc_id", "first_line", "last_line", "lang", "confidence", "n_words", "ambiguous"])
 
     return run
@@ -269,7 +313,8 @@ def language_stretches(documents: DataFrame, model: LanguageCodes, id_col: str =
 
     Lines are divided by line feeds and numbered from 1.  Lines without words
     belong to no stretch and interrupt none; a text without words (or null)
-    gives no row.  One narrow stage; repeated documents give repeated rows.
+    gives no row.  Lines that suit no language of the model have ``UNKNOWN``.
+    One narrow stage; repeated documents give repeated rows.
     """
     return documents.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(_stretches(model), "doc_id long, first_line int, last_line int, lang string, confidence double, n_words long, ambiguous boolean")
 

@@ -7,13 +7,14 @@ divides every source's blocks among output shards: at each node the blocks of
 the left half are one multivariate-hypergeometric draw from those of the node,
 so every shard gets its exact number of blocks and together they get exactly
 the quotas.  A node's draw depends on its place and the seed only, so each
-task walks from the root to a block's shard by itself and nothing is collected
-but one row per target source.  Blocks are disjoint; documents are shuffled
+task routes its blocks from the root to their shards by itself and nothing is
+collected but one row per target source.  Blocks are disjoint; documents are shuffled
 inside their shard.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Callable
 
@@ -22,10 +23,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracewell.functions.keys import with_one_row
 from tracewell.sources.shared import materialize
 
 BLOCK_TOKENS = 1 << 16
+# Blocks grow beyond BLOCK_TOKENS where the mixture would have more of them than this: a draw takes below 10^9.
+MOST_BLOCKS = 1 << 28
 SHARD_TOKENS = 1 << 22
 SEED = 20_240_117
 # More target sources than this are refused, since one row of each is collected.
@@ -60,16 +62,30 @@ class SplittingTree:
             got = self.nodes[lo, hi] = rng.multivariate_hypergeometric(here, self._before(mid) - self._before(lo), method="marginals")
         return got
 
-    def shard(self, source: int, rank: int) -> int:
-        lo, hi, here = 0, self.shards, self.blocks
-        while hi - lo > 1:
+    def shards_of(self, source: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        """The shard of each block, all blocks routed together: a node parts the blocks that reach it."""
+        out = np.zeros(len(source), np.int32)
+        todo = [(0, self.shards, self.blocks, np.arange(len(source)), np.asarray(rank, np.int64))]
+        while todo:
+            lo, hi, here, at, r = todo.pop()
+            if hi - lo == 1:
+                out[at] = lo
+                continue
             mid = (lo + hi) // 2
             left = self._left(lo, mid, hi, here)
-            if rank < left[source]:
-                hi, here = mid, left
-            else:
-                rank, lo, here = rank - int(left[source]), mid, here - left
-        return lo
+            limit = left[source[at]]
+            low = r < limit
+            if low.any():
+                todo.append((lo, mid, left, at[low], r[low]))
+            if not low.all():
+                todo.append((mid, hi, here - left, at[~low], (r - limit)[~low]))
+        return out
+
+
+@functools.lru_cache(4)
+def _tree(blocks: tuple[int, ...], shards: int, seed: int) -> SplittingTree:
+    """One tree per process, so that batches share its draws."""
+    return SplittingTree(list(blocks), shards, seed)
 
 
 def _multiplier(seed: int, source: int, epoch: int, n: int) -> tuple[int, int]:
@@ -84,24 +100,37 @@ def _multiplier(seed: int, source: int, epoch: int, n: int) -> tuple[int, int]:
 def _sharder(blocks: list[int], shards: int, seed: int) -> Callable:
     @F.pandas_udf("int")
     def shard(source: pd.Series, rank: pd.Series) -> pd.Series:
-        tree = SplittingTree(blocks, shards, seed)
-        return pd.Series([tree.shard(s, r) for s, r in zip(source.tolist(), rank.tolist())], dtype="int32")
+        return pd.Series(_tree(tuple(blocks), shards, seed).shards_of(source.to_numpy(), rank.to_numpy()))
 
     return shard
 
 
-def mix_sources(sizes: DataFrame, targets: DataFrame, seed: int = SEED) -> DataFrame:
+def _wanted(targets: DataFrame) -> DataFrame:
+    """(_k, source, target_share, max_repeats): one row per source.
+
+    Exact copies of a target row count once; rows of one source in several
+    spellings add up their shares, under the smallest cap and spelling.
+    """
+    sound = targets.where((F.col("target_share") > 0) & (F.col("max_repeats") > 0)).select(source_key(F.col("source")).alias("_k"), "source", F.col("target_share").cast("double"), F.col("max_repeats").cast("int"))
+    return sound.where(F.col("_k").isNotNull()).distinct().groupBy("_k").agg(F.min("source").alias("source"), F.sum("target_share").alias("target_share"), F.min("max_repeats").alias("max_repeats"))
+
+
+def mix_sources(sizes: DataFrame, targets: DataFrame, seed: int = SEED, total_tokens: int | None = None) -> DataFrame:
     """The mixture: (shard_no, position, doc_id, source, repeat_no, n_tokens).
 
     ``sizes``: (doc_id, source, n_tokens) with source names in any spelling;
-    ``targets``: (source, target_share, max_repeats).  The total is the largest
-    at which every source that has tokens can give its share with no document
-    used more than ``max_repeats`` times; repeat_no counts the uses of a
-    document from 0.  A target source without tokens gives nothing and its
-    share is divided among the others; documents of other sources, or of none,
-    are not part of the mixture.  Shares are exact up to one document a source.
+    ``targets``: (source, target_share, max_repeats), see :func:`_wanted` for
+    repeated ones.  Without ``total_tokens`` the total is the largest at which
+    every source that has tokens can give its share with no document used more
+    than ``max_repeats`` times: shares are exact up to one document a source,
+    and what larger sources have beyond theirs stays unused.  With it a source
+    gives its share of that total, or, where its cap allows less, all it may,
+    and stays under its share.  repeat_no counts the uses of a document from 0.
+    A target source without tokens gives nothing and its share is divided among
+    the others; documents of other sources, or of none, are not part of the
+    mixture.
     """
-    wanted = targets.where((F.col("target_share") > 0) & (F.col("max_repeats") > 0)).select(source_key(F.col("source")).alias("_k"), F.col("source").alias("source"), F.col("target_share").cast("double"), F.col("max_repeats").cast("int"))
+    wanted = _wanted(targets)
     docs = sizes.select("doc_id", source_key(F.col("source")).alias("_k"), F.col("n_tokens").cast("long")).join(wanted.select("_k", "source"), "_k").drop("_k")
     docs = materialize(docs, "mix-sizes")
     totals = {r["source"]: (r["t"], r["n"]) for r in docs.groupBy("source").agg(F.sum("n_tokens").alias("t"), F.count(F.lit(1)).alias("n")).limit(MAX_SOURCES + 1).collect()}
@@ -113,12 +142,14 @@ def mix_sources(sizes: DataFrame, targets: DataFrame, seed: int = SEED) -> DataF
     if not plan:
         return sizes.sparkSession.createDataFrame([], empty)
     share = sum(p[1] for p in plan)
-    total = min(r * totals[s][0] * share / w for s, w, r in plan)
-    rows = []
+    total = min(r * totals[s][0] * share / w for s, w, r in plan) if total_tokens is None else total_tokens
+    block_tokens = max(BLOCK_TOKENS, -(-int(total) // MOST_BLOCKS))
+    rows, planned = [], 0
     for i, (s, w, r) in enumerate(plan):
         size, docs_n = totals[s]
         quota = min(int(total * w / share + 0.5), r * size)
-        n = max(1, min(docs_n, -(-size // BLOCK_TOKENS)))
+        planned += quota
+        n = max(1, min(docs_n, -(-size // block_tokens)))
         for e in range(-(-quota // size)):
             rows.append((i, s, e, n, quota, *_multiplier(seed, i, e, n)))
     spark = sizes.sparkSession
@@ -131,7 +162,7 @@ def mix_sources(sizes: DataFrame, targets: DataFrame, seed: int = SEED) -> DataF
     used = blocks.where(F.col("_start") < F.col("_quota")).select("_i", "source", "_block", "repeat_no", "_rank", (F.col("_quota") - F.col("_start")).alias("_may"), "_t")
     used = materialize(used, "mix-blocks")
     counts = {r["_i"]: r["n"] for r in used.groupBy("_i").agg((F.max("_rank") + 1).alias("n")).collect()}
-    shards = max(1, -(-int(total) // SHARD_TOKENS))
+    shards = max(1, -(-planned // SHARD_TOKENS))
     shard = _sharder([counts.get(i, 0) for i in range(len(plan))], shards, seed)
     placed = used.withColumn("shard_no", shard("_i", "_rank"))
 
@@ -155,11 +186,23 @@ def _running_total(blocks: DataFrame) -> DataFrame:
     return blocks.join(runs, ["source", "_run"]).withColumn("_start", F.col("_rs") + F.coalesce(F.sum("_t").over(inside), F.lit(0)))
 
 
-def share_report(mixed: DataFrame, targets: DataFrame) -> DataFrame:
-    """(source, target_share, actual_share, n_tokens, n_rows, n_documents, most_uses) per target source."""
-    per = mixed.groupBy("source", "doc_id").agg(F.count(F.lit(1)).alias("_u"), F.sum("n_tokens").alias("_t"))
-    got = per.groupBy("source").agg(F.sum("_t").alias("n_tokens"), F.sum("_u").alias("n_rows"), F.count(F.lit(1)).alias("n_documents"), F.max("_u").alias("most_uses"))
-    whole = got.agg(F.sum("n_tokens").alias("_all"))
+def share_report(mixed: DataFrame, targets: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
+    """What each target source gave, one row per source.
+
+    (source, target_share, actual_share, n_tokens, n_rows, n_documents,
+    most_uses); with ``sizes``, the documents the mixture was made from, also
+    unused_tokens: tokens of the source's documents that are not in it at all.
+    """
+    per = mixed.groupBy("source", "doc_id").agg(F.count(F.lit(1)).alias("_u"), F.sum("n_tokens").alias("_t"), F.max("n_tokens").alias("_o"))
+    got = per.groupBy("source").agg(F.sum("_t").alias("n_tokens"), F.sum("_u").alias("n_rows"), F.count(F.lit(1)).alias("n_documents"), F.max("_u").alias("most_uses"), F.sum("_o").alias("_once"))
     zero = F.lit(0).cast("long")
-    out = with_one_row(targets.select("source", "target_share").join(got, "source", "left"), whole)
-    return out.select("source", "target_share", F.round(F.coalesce("n_tokens", zero) / F.col("_all"), 6).alias("actual_share"), *[F.coalesce(c, zero).alias(c) for c in ("n_tokens", "n_rows", "n_documents", "most_uses")])
+    rows = targets.select(source_key(F.col("source")).alias("_k"), "source", "target_share").distinct().groupBy("_k").agg(F.min("source").alias("source"), F.sum("target_share").alias("target_share"))
+    # A row per target source: one task adds them up.
+    whole = Window.partitionBy(F.lit(1))
+    out = rows.join(got.select(source_key(F.col("source")).alias("_k"), *[c for c in got.columns if c != "source"]), "_k", "left").withColumn("_all", F.sum("n_tokens").over(whole))
+    columns = ["source", "target_share", F.round(F.coalesce("n_tokens", zero) / F.col("_all"), 6).alias("actual_share"), *[F.coalesce(c, zero).alias(c) for c in ("n_tokens", "n_rows", "n_documents", "most_uses")]]
+    if sizes is not None:
+        have = sizes.groupBy(source_key(F.col("source")).alias("_k")).agg(F.sum("n_tokens").alias("_have"))
+        out = out.join(have, "_k", "left")
+        columns.append((F.coalesce("_have", zero) - F.coalesce("_once", zero)).alias("unused_tokens"))
+    return out.select(*columns)

@@ -1,7 +1,7 @@
 """Documents packed into containers of fixed capacity, neighbours together.
 
-Each document's hashed word vector is projected to three dimensions and given
-its place on a Hilbert curve.  Documents are range-sorted by that key (ties,
+Each document's hashed word vector is projected to a few dimensions and its
+direction there given a place on a Hilbert curve.  Documents are range-sorted by that key (ties,
 such as copies, divided by id, so a hot key spreads over tasks) and each task
 packs its stretch of the curve: items enter a window in curve order, the
 window's largest go first, each into the open container it fills best.  A
@@ -24,12 +24,13 @@ from pyspark.sql import functions as F
 from tracewell.llm.tokens import CHUNK_MEMORY, TokenCounter, slices, tokenizer_path
 from tracewell.sources.shared import materialize
 
-HASHED_DIMS = 256
-CURVE_DIMS = 3
-CURVE_BITS = 16
-# Items that enter the packing together, and containers left open between windows.
-WINDOW = 4096
-OPEN_CONTAINERS = 512
+HASHED_DIMS = 1 << 16
+CURVE_DIMS = 6
+CURVE_BITS = 10
+# Items that enter the packing together, and containers left open between windows: short stretches of
+# the curve keep neighbours together, longer ones leave less room.
+WINDOW = 512
+OPEN_CONTAINERS = 64
 # Items for which one task is responsible.
 ITEMS_PER_TASK = 100_000
 # More plans than this are refused, since every document is an item of each.
@@ -69,14 +70,16 @@ def hilbert_keys(cells: np.ndarray, bits: int = CURVE_BITS) -> np.ndarray:
 
 
 class _Chunks(dict):
-    """Row by blank-divided chunk: the place of its hashed feature on the curve's axes."""
+    """Row by blank-divided chunk: the place of its hashed feature on the curve's axes; chunks with digits say nothing of a text's subject and share row 0."""
 
     def __init__(self, axes: np.ndarray) -> None:
         super().__init__()
         self.axes, self.rows = axes, [np.zeros(axes.shape[1], np.float32)]
 
     def __missing__(self, chunk: str) -> int:
-        self.rows.append(self.axes[xxhash.xxh32_intdigest(chunk.encode("utf-8", "replace")) % HASHED_DIMS])
+        if any(map(str.isdigit, chunk)):
+            return 0
+        self.rows.append(self.axes[xxhash.xxh32_intdigest(chunk.lower().encode("utf-8", "replace")) % HASHED_DIMS])
         self[chunk] = len(self.rows) - 1
         return len(self.rows) - 1
 

@@ -18,13 +18,18 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_report(p8_containers(spark, d), table(spark, d, "container_plans"))
 
 
+def _sizes(spark: SparkSession, d: str) -> DataFrame:
+    return tokens.with_token_counts(table(spark, d, "documents"), "text", ("doc_id", "source"))
+
+
 def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
-    sizes = tokens.with_token_counts(table(spark, d, "documents"), "text", ("doc_id", "source"))
-    return mixing.mix_sources(sizes, table(spark, d, "mixture_targets"))
+    return mixing.mix_sources(_sizes(spark, d), table(spark, d, "mixture_targets"))
 
 
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
-    return mixing.share_report(p9_mixture(spark, d), table(spark, d, "mixture_targets"))
+    sizes = materialize(_sizes(spark, d), "sizes")
+    targets = table(spark, d, "mixture_targets")
+    return mixing.share_report(mixing.mix_sources(sizes, targets), targets, sizes)
 
 
 def _stretches(spark: SparkSession, d: str) -> DataFrame:
