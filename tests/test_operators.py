@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tracewell.functions import texts
 from tracewell.operators import evidence, ordered, ranges
-from tracewell.plans import reference_more, reference_text
+from tracewell.plans import reference, reference_more, reference_rest, reference_text
 from tracewell.sources import listings, shared
 from tracewell.streaming import capture
 
@@ -88,24 +88,78 @@ def test_visible_evidence_modes(spark):
 
 
 def test_listing_merge_counts_a_null_of_the_first_provider(spark):
-    df = spark.createDataFrame([(1, {"p": None, "q": "x"}, 0), (1, {"p": "b"}, 1), (1, {"q": "y"}, 2)], "k int, item map<string,string>, r int")
-    assert rows(evidence.merge_listing_fields(df, "k", ["p", "q", "z"], [F.col("r")])) == [(1, 3, None, "x", None, 2)]
+    df = spark.createDataFrame([(1, {"p": None, "q": "x"}, 0), (1, {"p": "b"}, 1), (1, {"q": "y"}, 2), (2, {"t": "1000000"}, 0), (2, {"t": "1999999"}, 1), (2, {"t": "2000000"}, 2), (2, {"t": None}, 3), (3, None, 0)], "k int, item map<string,string>, r int")
+    assert rows(evidence.merge_listing_fields(df, "k", ["p", "q", "t", "z"], [F.col("r")], {"t": 1_000_000})) == [(1, 3, None, "x", None, None, 2), (2, 4, None, None, "1000000", None, 2), (3, 1, None, None, None, None, 0)]
+
+
+def test_listing_sources_and_their_order(spark, tmp_path):
+    """Spellings of one source are one source; annual comes before quarterly; A, B, A is a change back."""
+    item = lambda path, at: json.dumps({"id": 7, "path": path, "uploadedDate": at, "fileText": None})
+    data = [
+        (1, 7, "/api/financials", "QUARTERLY", "Q", item("q", 1_600_000_000_000), 1), (2, 7, "financials ", "infoQuarterlyData", "Q", item("q2", 1_600_000_000_000), 2), (3, 7, "financials", "quarterly", "Q", item("q", 1_600_000_000_000), 3),
+        (4, 7, "getFinancialAnnouncement", None, None, item("f", "13 Sep 2020 05:56:40 PM"), 4), (5, 7, "getFinancialAnnouncement", "", None, item("f", "13 Sep 2020 05:56:40 PM"), 5),
+        (6, 7, "financials", "annual", "Z", item("a", 1_600_000_000_999), 6), (7, 7, "financials", "other", None, item("o", 1_600_000_001_000), 7),
+    ]
+    df = spark.createDataFrame(data, "delivery_no long, cse_filing_id long, source_endpoint string, source_bucket string, query_symbol string, raw_item string, n int")
+    df.withColumns({"observed_at": F.timestamp_seconds("n"), "metadata_hash": F.lit(None).cast("string")}).write.parquet(f"{tmp_path}/filing_observations.parquet")
+    got = {r["delivery_no"]: r["outcome"] for r in reference_rest.d5_observation_outcomes(spark, str(tmp_path)).collect()}
+    assert got == {1: "new_filing", 2: "metadata_changed", 3: "metadata_changed", 4: "new_source", 5: "unchanged", 6: "new_source", 7: "new_source"}
+    merged = reference.d5_listing_merge(spark, str(tmp_path)).first()
+    # Three paths differ from the annual one; of the times only that of the bucket other is a second away.
+    assert (merged["n_sources"], merged["path"], merged["uploadedDate"], merged["n_differences"]) == (4, "a", 1_600_000_000_999_000, 4 - 1)
 
 
 def test_digest_is_independent_of_order_and_partitions(spark):
     df = spark.createDataFrame([(i, None if i % 5 == 0 else "x" * (i % 7)) for i in range(500)], "a int, b string")
-    one = ordered.table_digest(df, ["a", "b"]).first()
-    assert ordered.table_digest(df.repartition(9).orderBy("b"), ["a", "b"]).first() == one
-    assert ordered.table_digest(df.where("a <> 3"), ["a", "b"]).first() != one
+    one = ordered.table_digest(df).first()
+    assert ordered.table_digest(df.repartition(9).orderBy("b")).first() == one
+    assert ordered.table_digest(df.where("a <> 3")).first() != one
+
+
+def test_digest_tells_rows_apart(spark):
+    kinds = "a string, b string, c double, d array<string>"
+    cases = [("a|b", "c", 1.0, ["x"]), ("a", "b|c", 1.0, ["x"]), (None, "c", 1.0, ["x"]), ("~", "c", 1.0, ["x"]), ("-", "c", 1.0, ["x"]), ("", "c", 1.0, ["x"]), ("a", "c", 1.0000000001, ["x"]), ("a", "c", 1e300, ["x"]), ("a", "c", None, ["x"]), ("a", "c", 1.0, []), ("a", "c", 1.0, None), ("a", "c", 1.0, [None]), ("a", "c", 1.0, ["x", "y"]), ("a", "c", 1.0, ["xy"])]
+    got = [tuple(ordered.table_digest(spark.createDataFrame([c], kinds)).first()) for c in cases]
+    assert len(set(got)) == len(cases)
+    assert tuple(ordered.table_digest(spark.createDataFrame([], kinds)).first()) == (0,) + (0,) * 8
 
 
 def test_order_statistics_brute_force(spark):
+    import statistics
+
     rnd = random.Random(2)
-    data = [("hot" if i % 3 == 0 else rnd.choice("ab"), rnd.randrange(40)) for i in range(900)] + [("a", None)]
+    data = [("hot" if i % 3 == 0 else rnd.choice("ab"), rnd.randrange(40)) for i in range(900)] + [("a", None)] + [(f"n{n}", rnd.randrange(50)) for n in range(1, 27) for _ in range(n)]
     for r in ordered.order_statistics(spark.createDataFrame(data, "k string, v long"), "k", "v").collect():
         v = sorted(x for k, x in data if k == r["k"] and x is not None)
         n = len(v)
-        assert (r["least"], r["most"], r["lower_median"], r["p90"]) == (v[0], v[-1], v[(n - 1) // 2], v[((n - 1) * 9 + 5) // 10])
+        assert (r["least"], r["most"], r["median"], r["p90"]) == (v[0], v[-1], statistics.median(v), v[min(n - 1, round(0.9 * (n - 1)))])
+
+
+@pytest.mark.parametrize("hot", [10**9, 40])
+def test_previous_rows_of_hot_keys(spark, monkeypatch, hot):
+    monkeypatch.setattr(ordered, "HOT_ROWS", hot)
+    rnd = random.Random(4)
+    data = [("hot" if i % 3 == 0 else None if i % 7 == 0 else f"k{rnd.randrange(30)}", i * 7919 % 1000, rnd.choice([None, 1, 2, 3])) for i in range(1000)]
+    df = spark.createDataFrame(data, "k string, o int, v int").repartition(5)
+    got = ordered.with_previous(df, ["k"], ["o"], ["v", "o"], ["v"], ["v"]).collect()
+    assert len(got) == 1000
+    for r in got:
+        before = sorted((o, v) for k, o, v in data if k == r["k"] and o < r["o"])
+        known = [v for _, v in before if v is not None]
+        assert r["_seq"] == len(before) + 1 and r["_known_v"] == (known[-1] if known else None) and r["_before_v"] == (sum(known) if known else None)
+        assert (None if r["_prev"] is None else (r["_prev"]["o"], r["_prev"]["v"])) == (before[-1] if before else None)
+
+
+@pytest.mark.parametrize("hot", [10**9, 40])
+def test_touching_pairs_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(ordered, "HOT_ROWS", hot)
+    rnd = random.Random(8)
+    spans = [(rnd.choice([1, 1, 2, 3]), a := rnd.randrange(60), a + rnd.randrange(-2, 8)) for _ in range(200)] + [(4, 1, 2), (5, None, 3)]
+    got = {r["k"]: (r["n_pairs"], r["n_agreeing"]) for r in ranges.touching_pairs(spark.createDataFrame(spans, "k int, a int, b int"), "k", F.col("a"), F.col("b")).collect()}
+    for k in (1, 2, 3, 4, 5):
+        own = [(a, b) for x, a, b in spans if x == k and a is not None and a <= b]
+        pairs = list(itertools.combinations(own, 2))
+        assert got.get(k) == ((len(pairs), sum(max(p[0], q[0]) <= min(p[1], q[1]) for p, q in pairs)) if pairs else None)
 
 
 def test_order_violations_and_constraints(spark):
@@ -127,7 +181,12 @@ def test_payload_readers(spark):
     df = spark.createDataFrame([(1, '[{"a":1},null,3]'), (2, '{"x":1,"rows":[{"a":2}],"z":[]}'), (3, '{"x":1}'), (4, "broken"), (5, None)], "i int, b string")
     assert rows(listings.row_list(df, "b"), "i", "pos", F.to_json("element")) == [(1, 0, '{"a":1}'), (1, 1, "null"), (1, 2, "3"), (2, 0, '{"a":2}')]
     blocks = spark.createDataFrame([(1, '{"b":{"s":1,"n":2},"a":{"s":1}}'), (2, '{"b":{"s":1},"a":{"n":1}}'), (3, '{"a":{"q":1}}'), (4, "x")], "i int, b string")
-    assert rows(listings.best_block(blocks, "b", ["s", "n"]), "i", "block", "score", "ambiguous") == [(1, "b", 2, False), (2, "a", 1, True), (3, None, 0, False), (4, None, 0, False)]
+    assert rows(listings.best_block(blocks, "b", ["s", "n"]), "i", "block", "score", "ambiguous") == [(1, "b", 2, False), (2, "b", 1, True), (3, None, 0, False), (4, None, 0, False)]
+    # The order of the document decides, not that of the keys.
+    two = spark.createDataFrame([(1, '{"zeta":[1,2],"alpha":[3]}'), (2, '{"n":1,"s":"[9]","zeta":{"a":[1]},"list":[]}')], "i int, b string")
+    assert rows(listings.row_list(two, "b"), "i", "pos", F.to_json("element")) == [(1, 0, "1"), (1, 1, "2")]
+    tie = spark.createDataFrame([(1, '{"zeta":{"s":1},"list":[{"s":1,"n":2}],"alpha":{"n":1}}')], "i int, b string")
+    assert rows(listings.best_block(tie, "b", ["s", "n"]), "block", "score", "ambiguous") == [("zeta", 1, True)]
 
 
 def test_texts(spark):

@@ -41,5 +41,5 @@ def kept_once(df: DataFrame, condition: Column) -> DataFrame:
 
 
 def with_one_row(df: DataFrame, totals: DataFrame) -> DataFrame:
-    """``df`` with the columns of an ungrouped aggregate, which has exactly one row."""
+    """``df`` with the columns of an ungrouped aggregate: in effect a cross join, with exactly one row."""
     return df.withColumn("_one", F.lit(1)).join(F.broadcast(totals.withColumn("_one", F.lit(1))), "_one").drop("_one")

@@ -47,3 +47,14 @@ def bucket_name(c: str | Column) -> Column:
     for raw, plain in BUCKET_NAMES.items():
         named = F.when(s == raw, F.lit(plain)).otherwise(named)
     return F.when(F.length(s) > 0, named).otherwise(F.lit("none"))
+
+
+# Fixed value: how the feed writes a local time, which is +05:30.
+FEED_TIME = "dd MMM yyyy hh:mm:ss a"
+
+
+def instant_micros(text: str | Column) -> Column:
+    """Microseconds since 1970 of a listing's time: whole numbers are milliseconds, else the feed's form; null if it is neither."""
+    t = F.trim(as_col(text))
+    local = F.try_to_timestamp(t, F.lit(FEED_TIME))
+    return F.when(t.rlike("^-?[0-9]{1,15}$"), t.try_cast("long") * 1000).otherwise(F.unix_micros(F.to_utc_timestamp(local, "+05:30")))

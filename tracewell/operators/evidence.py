@@ -6,7 +6,7 @@ fact's group is bounded by its sources and captures.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -126,18 +126,25 @@ def visible_evidence(rows: DataFrame, mode: str, available: str, known: str, at:
     return rows.where(keep)
 
 
-def merge_listing_fields(versions: DataFrame, key: str, fields: Sequence[str], precedence: Sequence[Column]) -> DataFrame:
+def merge_listing_fields(versions: DataFrame, key: str, fields: Sequence[str], precedence: Sequence[Column], tolerance: Mapping[str, int] | None = None) -> DataFrame:
     """Field-wise merge of the current item of each source.
 
     ``versions``: key and a map column ``item``.  For each field the provider
     is the first source by ``precedence`` whose item contains the key; its
-    value counts even when null.  Adds, per field, how many providers differ.
+    value counts even when null.  n_differences: how many further sources say
+    otherwise of a field; in the fields of ``tolerance`` integers less than
+    that apart are equal.
     """
     rank = F.struct(*precedence)
-    aggs = []
-    for f in fields:
-        has = F.map_contains_key("item", F.lit(f))
-        v = F.element_at("item", F.lit(f))
-        aggs += [F.min_by(v, F.when(has, rank)).alias(f), (F.count_distinct(F.when(has, F.coalesce(v, F.lit("\x00")))) - 1).alias(f"_{f}")]
-    out = versions.groupBy(key).agg(F.count(F.lit(1)).alias("n_sources"), *aggs)
-    return out.select(key, "n_sources", *fields, sum((F.greatest(F.col(f"_{f}"), F.lit(0)) for f in fields), F.lit(0)).cast("long").alias("n_differences"))
+    said = F.explode(F.array(*[F.struct(F.lit(f).alias("_f"), F.map_contains_key("item", F.lit(f)).alias("_has"), F.element_at("item", F.lit(f)).alias("_v")) for f in fields]))
+    rows = versions.select(key, rank.alias("_at"), said.alias("_s")).select(key, "_at", "_s.*").where("_has")
+    # A filing has a handful of sources.
+    first = F.first("_v").over(Window.partitionBy(key, "_f").orderBy("_at"))
+    rows = rows.withColumn("_first", first)
+    near = F.lit(False)
+    for f, width in (tolerance or {}).items():
+        near = near | ((F.col("_f") == f) & F.coalesce(F.abs(F.col("_v").try_cast("long") - F.col("_first").try_cast("long")) < width, F.lit(False)))
+    differs = ~F.col("_v").eqNullSafe(F.col("_first")) & ~near
+    merged = rows.groupBy(key).agg(*[F.max(F.when(F.col("_f") == f, F.col("_first"))).alias(f) for f in fields], F.count_if(differs).alias("n_differences"))
+    out = versions.groupBy(key).agg(F.count(F.lit(1)).alias("n_sources")).join(merged, key, "left")
+    return out.select(key, "n_sources", *fields, F.coalesce("n_differences", F.lit(0).cast("long")).alias("n_differences"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracewell.operators.ordered import with_previous
+
 
 def active_per_day(spans: DataFrame, start: str, end: str, day: str, name: str) -> DataFrame:
     """How many spans (both ends inclusive) contain each day between the first start and the last end.
@@ -58,3 +60,21 @@ def missing_pairs(rows: DataFrame, key: str, ordinal: Column, block: int = 1024)
     firsts = met.select(F.col("a._key").alias(key), F.explode("a._every").alias("i"), "a._lacks", F.col("b._every").alias("_every"), F.col("b._lacks").alias("_other"))
     seconds = F.when(F.array_contains("_lacks", F.col("i")), F.col("_every")).otherwise(F.col("_other"))
     return firsts.select(key, "i", F.explode(seconds).alias("j")).where(F.col("i") < F.col("j"))
+
+
+def touching_pairs(spans: DataFrame, key: str, low: Column, high: Column) -> DataFrame:
+    """Per key with at least two spans: n_pairs of them, and n_agreeing that share a point (ends included).
+
+    Two spans are apart exactly if one ends before the other starts, so the
+    pairs that are apart are counted by one running sum over the key's distinct
+    ends and starts; no pair is formed.  Spans lacking an end, or ending before
+    they start, are left out.
+    """
+    s = spans.select(F.col(key).alias("_k"), low.alias("_a"), high.alias("_b")).where(F.col("_a") <= F.col("_b"))
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    marks = s.select("_k", F.inline(F.array(F.struct(F.col("_a").alias("_x"), one.alias("_starts"), none.alias("_ends")), F.struct(F.col("_b").alias("_x"), none.alias("_starts"), one.alias("_ends")))))
+    marks = marks.groupBy("_k", "_x").agg(F.sum("_starts").alias("_starts"), F.sum("_ends").alias("_ends"))
+    seen = with_previous(marks, ["_k"], ["_x"], sums=["_ends"])
+    out = seen.groupBy("_k").agg(F.sum("_starts").alias("_n"), F.sum(F.col("_starts") * F.coalesce("_before__ends", none)).alias("_apart")).where(F.col("_n") > 1)
+    pairs = F.call_function("div", F.col("_n") * (F.col("_n") - 1), F.lit(2).cast("long"))
+    return out.select(F.col("_k").alias(key), pairs.alias("n_pairs"), (pairs - F.col("_apart")).alias("n_agreeing"))

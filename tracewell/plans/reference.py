@@ -5,11 +5,13 @@ A query's name starts with the inventory number of its operator.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tracewell.functions import listing
 from tracewell.operators import evidence, ordered
 from tracewell.sources.tables import table
 
@@ -165,19 +167,19 @@ def w1_latest_per_key(spark, d):
 
 @_query("""select event_id, user_id, row_number() over w as sequence, lag(event_type) over w as previous_event_type from events window w as (partition by user_id order by ts, event_id)""")
 def w7_append_chain(spark, d):
-    return ordered.append_chain(table(spark, d, "events"), ["user_id"], [F.col("ts"), F.col("event_id")], "event_type").select("event_id", "user_id", "sequence", "previous_event_type")
+    return ordered.append_chain(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], "event_type").select("event_id", "user_id", "sequence", "previous_event_type")
 
 
 @_query("""select event_id, changes from (select event_id, concat_ws(',', case when rn > 1 and event_type is distinct from pt then 'event_type_changed' end, case when value > pv then 'value_increased' end) as changes
 from (select *, row_number() over w as rn, lag(event_type) over w as pt, lag(value) over w as pv from events window w as (partition by user_id order by ts, event_id))) where changes <> ''""")
 def w3_change_events(spark, d):
-    return ordered.change_events(table(spark, d, "events"), ["user_id"], [F.col("ts"), F.col("event_id")], ["event_type"], ["value"]).select("event_id", "changes")
+    return ordered.change_events(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], ["event_type"], ["value"]).select("event_id", "changes")
 
 
 @_query("""select event_id, last_value(case when event_type = 'purchase' then value end ignore nulls) over (partition by user_id order by ts, event_id rows between unbounded preceding and 1 preceding) as previous_purchase from events""")
 def j7_previous_value(spark, d):
     e = table(spark, d, "events").withColumn("p", F.when(F.col("event_type") == "purchase", F.col("value")))
-    return ordered.previous_value(e, ["user_id"], [F.col("ts"), F.col("event_id")], "p", "previous_purchase").select("event_id", "previous_purchase")
+    return ordered.previous_value(e, ["user_id"], ["ts", "event_id"], "p", "previous_purchase").select("event_id", "previous_purchase")
 
 
 @_query("""with s as (select l_orderkey, l_linenumber - 1 as ord, l_shipdate, row_number() over w as rn, lag(l_shipdate) over w as ps from lineitem window w as (partition by l_orderkey order by l_linenumber, l_shipdate, l_partkey))
@@ -204,10 +206,28 @@ def t2_stratified_sample(spark, d):
     return ordered.stratified_sample(table(spark, d, "customer"), ["c_mktsegment", "c_nationkey"], "s1", "c_custkey", 60).select("c_custkey", "c_mktsegment", "round")
 
 
-@_query("select 'supplier' as table_name, count(*) as n_rows, " + ", ".join(f"sum(('0x' || substr(h, {1 + 8 * i}, 8))::bigint)::decimal(38,0) as limb_{i}" for i in range(8)) + " from (select sha256(concat_ws('|', s_suppkey::varchar, s_name, s_nationkey::varchar)) as h from supplier)")
+# Every table whose values two engines print alike (not the vectors).
+_DIGESTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "issuers", "filings", "filing_observations", "classifications", "issuer_decisions", "extraction_runs", "knowledge_views", "reported_values", "listing_snapshots", "company_info_raw", "documents")
+_DOUBLES = {"customer": ["c_acctbal"], "supplier": ["s_acctbal"], "part": ["p_retailprice"], "orders": ["o_totalprice"], "lineitem": ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "reported_values": ["parsed_value"]}
+_INSTANTS = {"orders": ["o_orderdate"], "lineitem": ["l_shipdate"], "issuers": ["created_at", "retired_at"], "filings": ["uploaded_at", "authorized_at", "first_seen_at", "last_seen_at"], "filing_observations": ["observed_at"], "classifications": ["classified_at"], "issuer_decisions": ["decided_at"], "extraction_runs": ["recorded_at", "cdn_last_modified", "path_epoch_at", "document_retrieved_at"], "knowledge_views": ["known_at"], "listing_snapshots": ["taken_at"], "company_info_raw": ["observed_at"], "documents": ["received_at"]}
+_LISTS = {"filings": ["listing_symbols", "source_buckets"]}
+
+
+def _digest_sql(table_name: str) -> str:
+    framed = lambda t: f"coalesce(length({t}) || ':' || {t}, '-')"
+    change = [f"case when try_cast({c}::varchar as decimal(30,8)) = try_cast({c}::varchar as decimal(38,16)) then {c}::varchar::decimal(30,8)::varchar else {c}::varchar end as {c}" for c in _DOUBLES.get(table_name, [])]
+    change += [f"epoch_us({c})::varchar as {c}" for c in _INSTANTS.get(table_name, [])]
+    change += [f"array_to_string(list_transform({c}, lambda x: {framed('x')}), '') as {c}" for c in _LISTS.get(table_name, [])]
+    rows = f"select * replace ({', '.join(change)}) from {table_name}" if change else f"select * from {table_name}"
+    limbs = ", ".join(f"coalesce(sum(('0x' || substr(h, {1 + 8 * i}, 8))::bigint), 0)::decimal(38,0) as limb_{i}" for i in range(8))
+    texts = "select coalesce(length(columns(*)::varchar) || ':' || columns(*)::varchar, '-') from (" + rows + ")"
+    return f"select '{table_name}' as table_name, count(*) as n_rows, {limbs} from (select sha256(concat(*columns(*))) as h from ({texts}))"
+
+
+@_query(" union all ".join(map(_digest_sql, _DIGESTED)))
 def k9_table_digest(spark, d):
-    out = ordered.table_digest(table(spark, d, "supplier"), ["s_suppkey", "s_name", "s_nationkey"])
-    return out.select(F.lit("supplier").alias("table_name"), "n_rows", *[F.col(f"limb_{i}").cast("decimal(38,0)").alias(f"limb_{i}") for i in range(8)])
+    out = [ordered.table_digest(table(spark, d, t)).select(F.lit(t).alias("table_name"), "*") for t in _DIGESTED]
+    return functools.reduce(DataFrame.unionByName, out)
 
 
 _LEGAL = [("view", "click"), ("click", "purchase"), ("signup", "view"), ("view", "view"), ("click", "view"), ("purchase", "view")]
@@ -217,7 +237,7 @@ _LEGAL = [("view", "click"), ("click", "purchase"), ("signup", "view"), ("view",
 select from_state, to_state, count(*) as n_steps from s where from_state is not null and (from_state, to_state) not in (""" + ", ".join(map(str, _LEGAL)) + ") group by all")
 def d30_illegal_transitions(spark, d):
     legal = spark.createDataFrame(_LEGAL, "from_state string, to_state string")
-    return ordered.illegal_transitions(table(spark, d, "events"), ["user_id"], [F.col("ts"), F.col("event_id")], "event_type", legal)
+    return ordered.illegal_transitions(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], "event_type", legal)
 
 
 @_query("""select o_orderkey, check_name from (select o_orderkey, unnest([case when not o_totalprice >= 100000 then 'price_floor' end, case when not o_orderstatus in ('F','O') then 'status_domain' end, case when not o_orderdate < timestamp '2001-01-01' then 'date_bound' end]) as check_name from orders) where check_name is not null""")
@@ -226,17 +246,51 @@ def f15_constraint_violations(spark, d):
     return ordered.constraint_violations(table(spark, d, "orders"), "o_orderkey", checks)
 
 
-_VERSIONS = """
-versions as (select cse_filing_id, lower(trim(source_endpoint)) as ep, source_bucket as bk, query_symbol as qs, raw_item, row_number() over (partition by cse_filing_id, lower(trim(source_endpoint)), source_bucket, query_symbol order by observed_at desc, delivery_no desc) as rn from filing_observations)"""
+# Sources in order of precedence; others come after them, in order of their names.
+ENDPOINT_ORDER = ("financials", "getfinancialannouncement")
+BUCKET_ORDER = ("annual", "quarterly", "other", "web_link", "none")
+# The listing fields that are merged, and those that are instants.
+MERGED = ("path", "path2", "manualDate", "uploadedDate", "authorizedDate", "fileText", "name", "symbol")
+MERGED_INSTANTS = ("uploadedDate", "authorizedDate")
+
+_SOURCES = """
+named as (select *, regexp_replace(lower(trim(source_endpoint)), '^/api/', '') as ep, coalesce(nullif(regexp_replace(lower(trim(source_bucket)), '^/api/', ''), ''), 'none') as raw_bk, coalesce(query_symbol, '') as qs from filing_observations),
+sources as (select * exclude (raw_bk), case raw_bk when 'infoannualdata' then 'annual' when 'infoquarterlydata' then 'quarterly' when 'infootherdata' then 'other' when 'infoweblink' then 'web_link' else raw_bk end as bk,
+  concat_ws('~', """ + ", ".join(f"coalesce(json_extract(raw_item::json, '$.{k}')::varchar, '-')" for k in ("authorizedDate", "fileText", "id", "manualDate", "name", "path", "path2", "symbol", "uploadedDate")) + """) as content from named),
+cur as (select * from (select *, row_number() over (partition by cse_filing_id, ep, bk, qs order by observed_at desc, delivery_no desc) as rn from sources) where rn = 1),
+placed as (select *, row_number() over (partition by cse_filing_id order by """ + " ".join(["case ep", *[f"when '{e}' then {i}" for i, e in enumerate(ENDPOINT_ORDER)], "else 9 end, ep,", "case bk", *[f"when '{b}' then {i}" for i, b in enumerate(BUCKET_ORDER)], "else 9 end, bk, qs"]) + """) as place from cur)"""
+
+
+def _instant_sql(text: str) -> str:
+    return f"case when regexp_full_match({text}, '-?[0-9]+') then {text}::bigint * 1000 else epoch_us(try_strptime({text}, '%d %b %Y %I:%M:%S %p') - interval 330 minute) end"
 
 
-@_query("with " + _VERSIONS + """, cur as (select *, (ep = 'financials')::int as lst from versions where rn = 1), """ + ", ".join(
-    f"{f}_p as (select cse_filing_id, arg_min(coalesce(json_extract_string(raw_item::json, '$.{f}'), chr(1)), (-lst, coalesce(bk, ''), coalesce(qs, ''))) as v, count(distinct coalesce(json_extract_string(raw_item::json, '$.{f}'), chr(0))) - 1 as nd from cur where list_contains(json_keys(raw_item::json), '{f}') group by all)" for f in ("path", "fileText", "authorizedDate")) + """
-select k.cse_filing_id, k.n_sources, nullif(path_p.v, chr(1)) as path, nullif("fileText_p".v, chr(1)) as "fileText", nullif("authorizedDate_p".v, chr(1)) as "authorizedDate", coalesce(path_p.nd, 0) + coalesce("fileText_p".nd, 0) + coalesce("authorizedDate_p".nd, 0) as n_differences
-from (select cse_filing_id, count(*) as n_sources from cur group by all) k left join path_p using (cse_filing_id) left join "fileText_p" using (cse_filing_id) left join "authorizedDate_p" using (cse_filing_id)""")
+def _merged_sql(f: str) -> str:
+    """Provider and differences of one field: the first source that has the key, its null counting as a value."""
+    text = f"json_extract_string(raw_item::json, '$.{f}')"
+    value = _instant_sql(text) if f in MERGED_INSTANTS else text
+    apart = f"abs(p.v - f.v) >= 1000000 or (p.v is null) <> (f.v is null)" if f in MERGED_INSTANTS else "p.v is distinct from f.v"
+    return f"""p_{f} as (select cse_filing_id, place, {value} as v from placed where list_contains(json_keys(raw_item::json), '{f}')),
+f_{f} as (select * from p_{f} qualify row_number() over (partition by cse_filing_id order by place) = 1),
+m_{f} as (select f.cse_filing_id, any_value(f.v) as v, count(*) filter (where {apart}) as n from f_{f} f join p_{f} p using (cse_filing_id) group by all)"""
+
+
+@_query("with " + _SOURCES + ", " + ", ".join(map(_merged_sql, MERGED)) + " select k.cse_filing_id, k.n_sources, " + ", ".join(f'm_{f}.v as "{f}"' for f in MERGED) + ", " + " + ".join(f"coalesce(m_{f}.n, 0)" for f in MERGED) + " as n_differences from (select cse_filing_id, count(*) as n_sources from cur group by all) k " + " ".join(f"left join m_{f} on m_{f}.cse_filing_id = k.cse_filing_id" for f in MERGED))
 def d5_listing_merge(spark, d):
-    rows = table(spark, d, "filing_observations").withColumn("ep", F.lower(F.trim("source_endpoint")))
-    cur = ordered.latest_per_key(rows, ["cse_filing_id", "ep", "source_bucket", "query_symbol"], [F.desc("observed_at"), F.desc("delivery_no")])
-    cur = cur.withColumn("item", F.from_json("raw_item", "map<string,string>"))
-    order = [F.when(F.col("ep") == "financials", 0).otherwise(1).alias("o1"), F.coalesce("source_bucket", F.lit("")).alias("o2"), F.coalesce("query_symbol", F.lit("")).alias("o3")]
-    return evidence.merge_listing_fields(cur, "cse_filing_id", ["path", "fileText", "authorizedDate"], order)
+    cur = current_versions(table(spark, d, "filing_observations"))
+    item = F.from_json("raw_item", "map<string,string>")
+    cur = cur.withColumn("item", F.transform_values(item, lambda k, v: F.when(k.isin(*MERGED_INSTANTS), listing.instant_micros(v).cast("string")).otherwise(v)))
+    out = evidence.merge_listing_fields(cur, "cse_filing_id", MERGED, source_precedence(), {f: 1_000_000 for f in MERGED_INSTANTS})
+    return out.withColumns({f: F.col(f).cast("long") for f in MERGED_INSTANTS})
+
+
+def current_versions(observed: DataFrame) -> DataFrame:
+    """Observations with their source (ep, bk, qs) under its plain name, the latest of each filing's source."""
+    rows = observed.withColumns({"ep": listing.endpoint_name("source_endpoint"), "bk": listing.bucket_name("source_bucket"), "qs": F.coalesce("query_symbol", F.lit(""))})
+    return ordered.latest_per_key(rows, ["cse_filing_id", "ep", "bk", "qs"], [F.desc("observed_at"), F.desc("delivery_no")])
+
+
+def source_precedence() -> list:
+    """Sort columns over (ep, bk, qs)."""
+    rank = lambda c, names: F.coalesce(*[F.when(F.col(c) == n, F.lit(i)) for i, n in enumerate(names)], F.lit(9))
+    return [rank("ep", ENDPOINT_ORDER).alias("o1"), F.coalesce("ep", F.lit("")).alias("o2"), rank("bk", BUCKET_ORDER).alias("o3"), F.col("bk").alias("o4"), F.col("qs").alias("o5")]

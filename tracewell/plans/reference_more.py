@@ -75,12 +75,9 @@ def j6_universe_per_day(spark, d):
 @_query("with " + _MEMBERS + """ select a.fact, count(*) as n_pairs, count(*) filter (where abs(a.v - b.v) <= a.h + b.h) as n_agreeing from (select *, row_number() over (partition by fact order by document, ord, part, v) as i from members) a
 join (select *, row_number() over (partition by fact order by document, ord, part, v) as i from members) b on a.fact = b.fact and a.i < b.i group by all""")
 def j9_pairwise_agreement(spark, d):
-    # The pairs of a fact stay inside its array: one shuffle, no self-join.
-    arr = F.array_sort(F.collect_list(F.struct("document", "ord", "part", "v", "h")))
-    g = members(spark, d).groupBy("fact").agg(arr.alias("m")).where(F.size("m") > 1)
-    per = F.transform("m", lambda x, i: F.size(F.filter(F.slice(F.col("m"), i + 2, F.size("m")), lambda y: F.abs(x["v"] - y["v"]) <= x["h"] + y["h"])))
-    n = F.size("m").cast("long")
-    return g.select("fact", F.call_function("div", n * (n - 1), F.lit(2).cast("long")).alias("n_pairs"), F.aggregate(per, F.lit(0).cast("long"), lambda s, x: s + x).alias("n_agreeing"))
+    """Values whose intervals touch agree; pairs that are apart are counted, none is formed."""
+    m = members(spark, d)
+    return ranges.touching_pairs(m, "fact", F.col("v") - F.col("h"), F.col("v") + F.col("h"))
 
 
 @_query(r"""with c as (select distinct regexp_extract(path, '/(\d+)_', 1) as sec_id, source_symbol from filings where regexp_matches(path, '/(\d+)_'))
@@ -124,7 +121,7 @@ def a1_counts_and_sets(spark, d):
 
 
 @_query("""with d as (select source_symbol, list_sort(list(date_diff('day', first_seen_at, last_seen_at))) as v from filings group by all)
-select source_symbol, v[1] as least, v[len(v)] as most, v[(len(v) - 1) // 2 + 1] as lower_median, v[((len(v) - 1) * 9 + 5) // 10 + 1] as p90 from d""")
+select source_symbol, v[1] as least, v[len(v)] as most, list_aggregate(v, 'median') as median, v[round_even(0.9::decimal(2,1) * (len(v) - 1), 0)::int + 1] as p90 from d""")
 def a10_order_statistics(spark, d):
     days = F.date_diff(F.to_date("last_seen_at"), F.to_date("first_seen_at"))
     rows = table(spark, d, "filings").select("source_symbol", days.cast("long").alias("v"))

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tracewell.plans.reference import QUERIES, SQL, _query
+from tracewell.functions import listing
+from tracewell.operators.ordered import with_previous
+from tracewell.plans.reference import _SOURCES, QUERIES, SQL, _query
 from tracewell.sources.tables import table
 
 __all__ = ["QUERIES", "SQL"]
@@ -89,14 +91,13 @@ def x33_sql_scalars(spark, d):
     return table(spark, d, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day_text"), F.dayofmonth("o_orderdate").cast("long").alias("dom"), F.greatest(F.col("o_totalprice").cast("decimal(18,2)"), F.lit(150000).cast("decimal(18,2)")).alias("floored"), F.length(F.trim("o_orderpriority")).cast("long").alias("len"), F.sha2("o_orderpriority", 256).alias("h"))
 
 
-@_query("""with o as (select delivery_no, cse_filing_id, concat_ws('|', lower(trim(source_endpoint)), coalesce(lower(trim(source_bucket)), ''), coalesce(query_symbol, '')) as src, lower(trim(metadata_hash)) as h, observed_at from filing_observations),
-r as (select *, row_number() over (partition by cse_filing_id order by observed_at, delivery_no) as na, row_number() over s as ns, lag(h) over s as ph from o window s as (partition by cse_filing_id, src order by observed_at, delivery_no))
-select delivery_no, case when na = 1 then 'new_filing' when ns = 1 then 'new_source' when h is not distinct from ph then 'unchanged' else 'metadata_changed' end as outcome from r""")
+@_query("with " + _SOURCES + """, r as (select *, row_number() over (partition by cse_filing_id order by observed_at, delivery_no) as na, row_number() over s as ns, lag(content) over s as pc from sources window s as (partition by cse_filing_id, ep, bk, qs order by observed_at, delivery_no))
+select delivery_no, case when na = 1 then 'new_filing' when ns = 1 then 'new_source' when content is not distinct from pc then 'unchanged' else 'metadata_changed' end as outcome from r""")
 def d5_observation_outcomes(spark, d):
-    src = F.concat_ws("|", F.lower(F.trim("source_endpoint")), F.coalesce(F.lower(F.trim("source_bucket")), F.lit("")), F.coalesce("query_symbol", F.lit("")))
-    o = table(spark, d, "filing_observations").select("delivery_no", "cse_filing_id", src.alias("src"), F.lower(F.trim("metadata_hash")).alias("h"), "observed_at")
-    a = Window.partitionBy("cse_filing_id").orderBy("observed_at", "delivery_no")
-    s = Window.partitionBy("cse_filing_id", "src").orderBy("observed_at", "delivery_no")
-    o = o.withColumns({"na": F.row_number().over(a), "ns": F.row_number().over(s), "ph": F.lag("h").over(s)})
-    outcome = F.when(F.col("na") == 1, "new_filing").when(F.col("ns") == 1, "new_source").when(F.col("h").eqNullSafe(F.col("ph")), "unchanged").otherwise("metadata_changed")
+    """Against the source's current version, by the content hash computed again: A, B, A is a change back."""
+    o = table(spark, d, "filing_observations").select("delivery_no", "cse_filing_id", listing.endpoint_name("source_endpoint").alias("ep"), listing.bucket_name("source_bucket").alias("bk"), F.coalesce("query_symbol", F.lit("")).alias("qs"), F.sha2(listing.raw_content("raw_item"), 256).alias("h"), "observed_at")
+    first = o.groupBy(F.col("cse_filing_id").alias("_id")).agg(F.min(F.struct("observed_at", "delivery_no")).alias("_first"))
+    o = with_previous(o, ["cse_filing_id", "ep", "bk", "qs"], ["observed_at", "delivery_no"], ["h"]).join(first, F.col("cse_filing_id").eqNullSafe(F.col("_id")))
+    new = F.col("_first.delivery_no") == F.col("delivery_no")
+    outcome = F.when(new, "new_filing").when(F.col("_seq") == 1, "new_source").when(F.col("h").eqNullSafe(F.col("_prev.h")), "unchanged").otherwise("metadata_changed")
     return o.select("delivery_no", outcome.alias("outcome"))

@@ -68,11 +68,10 @@ def j8_in_force_at_cutoffs(spark, d):
 @_query("""with v as (select distinct cse_filing_id, document_sha256 as sha, min(recorded_at) over (partition by cse_filing_id, document_sha256) as at from extraction_runs)
 select a.cse_filing_id, a.sha as later_sha, b.sha as earlier_sha from v a join v b on a.cse_filing_id = b.cse_filing_id and a.sha <> b.sha and a.at > b.at""")
 def d23_supersession_edges(spark, d):
-    # A filing has a handful of versions; its pairs are formed inside one array.
+    """Every pair of a filing's versions that differ in time is in the result, so the join forms no other."""
     v = table(spark, d, "extraction_runs").groupBy("cse_filing_id", F.col("document_sha256").alias("sha")).agg(F.min("recorded_at").alias("at"))
-    g = v.groupBy("cse_filing_id").agg(F.array_sort(F.collect_list(F.struct("at", "sha"))).alias("m")).where(F.size("m") > 1)
-    one = g.select("cse_filing_id", "m", F.explode("m").alias("a"))
-    return one.select("cse_filing_id", F.col("a.sha").alias("later_sha"), F.explode(F.filter("m", lambda b: b["at"] < F.col("a.at"))).alias("b")).select("cse_filing_id", "later_sha", F.col("b.sha").alias("earlier_sha"))
+    a, b = v.select("cse_filing_id", F.col("sha").alias("later_sha"), F.col("at").alias("_later")), v.select("cse_filing_id", F.col("sha").alias("earlier_sha"), F.col("at").alias("_earlier"))
+    return a.join(b, "cse_filing_id").where(F.col("_later") > F.col("_earlier")).select("cse_filing_id", "later_sha", "earlier_sha")
 
 
 @_query("select document_sha256, count(distinct cse_filing_id) as n_filings, list_sort(list(distinct cse_filing_id))[1:10] as examples from extraction_runs group by all having count(distinct cse_filing_id) > 1")
@@ -162,14 +161,15 @@ def w8_retry_delay(spark, d):
 
 @_query("select user_id, count(*) as n_since from (select *, max(case when event_type = 'signup' then ts end) over (partition by user_id) as reset from events) where event_type = 'click' and (reset is null or ts > reset) group by all")
 def w9_since_reset(spark, d):
-    e = table(spark, d, "events").withColumn("reset", F.max(F.when(F.col("event_type") == "signup", F.col("ts"))).over(Window.partitionBy("user_id")))
-    return e.where((F.col("event_type") == "click") & (F.col("reset").isNull() | (F.col("ts") > F.col("reset")))).groupBy("user_id").agg(_n().alias("n_since"))
+    e = table(spark, d, "events").select("user_id", "event_type", "ts")
+    reset = e.where(F.col("event_type") == "signup").groupBy("user_id").agg(F.max("ts").alias("reset"))
+    return e.where(F.col("event_type") == "click").join(reset, "user_id", "left").where(F.col("reset").isNull() | (F.col("ts") > F.col("reset"))).groupBy("user_id").agg(_n().alias("n_since"))
 
 
 @_query("select event_id from (select event_id, value::decimal(18,2) as v, lag(value::decimal(18,2)) over (partition by user_id order by ts, event_id) as p from events) where p <> 0 and abs(v - p) * 100 > 30 * abs(p)")
 def w10_large_moves(spark, d):
     v = F.col("value").cast("decimal(18,2)")
-    e = table(spark, d, "events").select("event_id", v.alias("v"), F.lag(v).over(Window.partitionBy("user_id").orderBy("ts", "event_id")).alias("p"))
+    e = ordered.with_previous(table(spark, d, "events").select("user_id", "ts", "event_id", v.alias("v")), ["user_id"], ["ts", "event_id"], ["v"]).withColumn("p", F.col("_prev.v"))
     return e.where((F.col("p") != 0) & (F.abs(F.col("v") - F.col("p")) * 100 > 30 * F.abs(F.col("p")))).select("event_id")
 
 
@@ -197,9 +197,8 @@ def u4_array_subtraction(spark, d):
 @_query("select distinct cse_filing_id from listing_snapshots where snapshot_no = (select min(snapshot_no) from listing_snapshots) and cse_filing_id not in (select cse_filing_id from listing_snapshots where snapshot_no = (select max(snapshot_no) from listing_snapshots))")
 def u5_disappeared(spark, d):
     s = table(spark, d, "listing_snapshots").select("snapshot_no", "cse_filing_id")
-    ends = s.agg(F.min("snapshot_no").alias("a"), F.max("snapshot_no").alias("b"))
-    per = s.join(F.broadcast(ends), (F.col("snapshot_no") == F.col("a")) | (F.col("snapshot_no") == F.col("b"))).groupBy("cse_filing_id").agg(F.bool_or(F.col("snapshot_no") == F.col("b")).alias("still"))
-    return per.where(~F.col("still")).select("cse_filing_id")
+    end = lambda f: s.join(s.agg(f("snapshot_no").alias("snapshot_no")), "snapshot_no", "left_semi").select("cse_filing_id").distinct()
+    return end(F.min).join(end(F.max), "cse_filing_id", "left_anti")
 
 
 @_query(r"""select regexp_replace(regexp_replace(lower(label_raw), '\s*([/()-])\s*', '\1', 'g'), '^[ :.-]+|[ :.-]+$', '', 'g') as label, count(*) as n from (select distinct * from reported_values) group by all""")
@@ -254,14 +253,21 @@ def d17_run_selection(spark, d):
     return r.groupBy("document_sha256").agg(F.max_by("f5_run_id", F.struct("recorded_at", "f5_run_id")).alias("run"), _n().alias("n_accepted"))
 
 
-@_query("""with f as (select l_orderkey, sha256(string_agg(l_partkey || ':' || l_suppkey, ',' order by l_linenumber, l_partkey, l_suppkey)) as fp, sha256(string_agg(l_partkey || ':' || l_suppkey, ',' order by l_linenumber, l_partkey, l_suppkey) filter (where l_shipdate <= timestamp '1999-01-01')) as before from lineitem group by all)
-select l_orderkey, fp as fingerprint from f where fp is distinct from before""")
+def _fingerprint_sql(where: str) -> str:
+    limbs = " || '.' || ".join(f"coalesce(sum(('0x' || substr(h, {1 + 8 * i}, 8))::bigint) {where}, 0)::varchar" for i in range(8))
+    return f"sha256(count(*) {where} || '.' || {limbs})"
+
+
+@_query("with h as (select l_orderkey, l_shipdate, sha256(l_linenumber || ':' || l_partkey || ':' || l_suppkey) as h from lineitem), f as (select l_orderkey, " + _fingerprint_sql("") + " as fingerprint, " + _fingerprint_sql("filter (where l_shipdate <= timestamp '1999-01-01')") + " as before from h group by all) select l_orderkey, fingerprint from f where fingerprint <> before")
 def d19_changed_partitions(spark, d):
-    item = F.struct("l_linenumber", "l_partkey", "l_suppkey", (F.col("l_shipdate") <= F.lit("1999-01-01").cast("timestamp")).alias("old"))
-    text = lambda a: F.array_join(F.transform(a, lambda x: F.concat_ws(":", x["l_partkey"].cast("string"), x["l_suppkey"].cast("string"))), ",")
-    g = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(item)).alias("m"))
-    g = g.select("l_orderkey", F.sha2(text("m"), 256).alias("fingerprint"), F.when(F.exists("m", lambda x: x["old"]), F.sha2(text(F.filter("m", lambda x: x["old"])), 256)).alias("before"))
-    return g.where(~F.col("fingerprint").eqNullSafe(F.col("before"))).select("l_orderkey", "fingerprint")
+    """A partition's fingerprint is its row count and the sums of its rows' hashes, so no partition is gathered."""
+    text = F.concat_ws(":", *[F.col(c).cast("string") for c in ("l_linenumber", "l_partkey", "l_suppkey")])
+    rows = table(spark, d, "lineitem").select("l_orderkey", F.sha2(text, 256).alias("h"), (F.col("l_shipdate") <= F.lit("1999-01-01").cast("timestamp")).alias("old"))
+    rows = rows.withColumn("h_old", F.when(F.col("old"), F.col("h")))
+    sums = [c.alias(f"{name}_{i}") for name, h in (("now", "h"), ("was", "h_old")) for i, c in enumerate(ordered.limb_sums(h))]
+    g = rows.groupBy("l_orderkey").agg(_n().alias("n"), F.count_if("old").alias("n_old"), *sums)
+    print_of = lambda n, name: F.sha2(F.concat_ws(".", F.col(n).cast("string"), *[F.col(f"{name}_{i}").cast("string") for i in range(8)]), 256)
+    return g.select("l_orderkey", print_of("n", "now").alias("fingerprint"), print_of("n_old", "was").alias("before")).where(F.col("fingerprint") != F.col("before")).select("l_orderkey", "fingerprint")
 
 
 @_query("""select kind, count(*) as n from (select unnest([case when authorized_at < uploaded_at then 'authorized_before_upload' end, case when path is null then 'path_missing' end, case when uploaded_at > last_seen_at then 'uploaded_after_last_seen' end, case when len(listing_symbols) = 0 then 'feed_only' end]) as kind from filings) where kind is not null group by all""")

@@ -18,16 +18,25 @@ def _n():
     return F.count(F.lit(1))
 
 
-@_query(None)
+@_query("""with b as (select raw_id, try_cast(any_value(body) as json) as j from company_info_raw group by raw_id),
+l as (select raw_id, case json_type(j) when 'ARRAY' then j when 'OBJECT' then list_filter(list_transform(json_keys(j), lambda k: json_extract(j, '$."' || k || '"')), lambda v: json_type(v) = 'ARRAY')[1] end as rows from b)
+select raw_id, json_array_length(rows)::bigint as n_rows from l where json_array_length(rows) > 0""")
 def s4_row_list(spark, d):
     rows = table(spark, d, "company_info_raw").select("raw_id", "body").distinct()
     return listings.row_list(rows, "body").groupBy("raw_id").agg(_n().alias("n_rows"))
 
 
-@_query(None)
+_BLOCK_NAMES = ["symbol", "name", "closingPrice", "marketCap", "isin", "securityId", "secId"]
+
+
+@_query("""with b as (select raw_id, try_cast(any_value(body) as json) as j from company_info_raw group by raw_id), o as (select raw_id, case when json_type(j) = 'OBJECT' then j end as j from b),
+k as (select raw_id, i, json_keys(j)[i] as block, json_extract(j, '$."' || json_keys(j)[i] || '"') as v from (select raw_id, j, unnest(range(1, len(json_keys(j)) + 1)) as i from o where j is not null)),
+s as (select raw_id, block, i, len(list_intersect(json_keys(v), """ + str(_BLOCK_NAMES) + """)) as score from k where json_type(v) = 'OBJECT'),
+r as (select *, row_number() over (partition by raw_id order by score desc, i) as rn, count(*) over (partition by raw_id, score) as n from s where score > 0)
+select o.raw_id, block, coalesce(score, 0)::int as score, coalesce(n > 1, false) as ambiguous from o left join (select * from r where rn = 1) t on t.raw_id = o.raw_id""")
 def f2_best_nested_block(spark, d):
     rows = table(spark, d, "company_info_raw").select("raw_id", "body").distinct()
-    return listings.best_block(rows, "body", ["symbol", "name", "closingPrice", "marketCap", "isin", "securityId", "secId"]).select("raw_id", "block", "score", "ambiguous")
+    return listings.best_block(rows, "body", _BLOCK_NAMES).select("raw_id", "block", "score", "ambiguous")
 
 
 @_query("""select delivery_no, case when path is null then 'null' when regexp_matches(path, '^\\s*$') then 'blank' when starts_with(path, '/') then 'absolute' when regexp_matches(path, '(^|/)\\.{1,2}(/|$)') then 'relative_segment' when ends_with(path, '.') then 'trailing_dot' when regexp_matches(path, '\\s') then 'white_space' else 'ok' end as verdict from filings""")
@@ -143,4 +152,15 @@ def k6_version_store_repeats(spark, d):
 @_query("""with p as (select user_id, ts::date as day, sum(value::decimal(18,2)) as v from events group by all) select user_id, day, v, v - lag(v) over (partition by user_id order by day) as change from p""")
 def w5_daily_series(spark, d):
     p = table(spark, d, "events").groupBy("user_id", F.to_date("ts").alias("day")).agg(F.sum(F.col("value").cast("decimal(18,2)")).alias("v"))
-    return ordered.append_chain(p, ["user_id"], [F.col("day")], "v").select("user_id", "day", F.col("v").cast("decimal(38,2)").alias("v"), (F.col("v") - F.col("previous_v")).cast("decimal(38,2)").alias("change"))
+    return ordered.append_chain(p, ["user_id"], ["day"], "v").select("user_id", "day", F.col("v").cast("decimal(38,2)").alias("v"), (F.col("v") - F.col("previous_v")).cast("decimal(38,2)").alias("change"))
+
+
+@_query("""with e as (select user_id, ts, event_id, case when event_type = 'view' then value end as open, case when event_type <> 'signup' then value end as last from events)
+select user_id, count(*) as n_observations, count(distinct open) as n_opens, case count(distinct open) when 0 then 'none' when 1 then 'constant' else 'changed' end as open_state,
+arg_min(open, (ts, event_id)) filter (where open is not null) as first_open, arg_min({'x': last}, (ts, event_id)).x as first_last, arg_min(open, (ts, event_id)) filter (where open is not null) = arg_min({'x': last}, (ts, event_id)).x as first_last_matches from e group by all""")
+def w5_open_constancy(spark, d):
+    """Whether a user's opening values stayed the same, and whether the first row's last value is the first opening value."""
+    e = table(spark, d, "events").select("user_id", F.struct("ts", "event_id").alias("at"), F.when(F.col("event_type") == "view", F.col("value")).alias("open"), F.when(F.col("event_type") != "signup", F.col("value")).alias("last"))
+    n = F.count_distinct("open")
+    g = e.groupBy("user_id").agg(_n().alias("n_observations"), n.alias("n_opens"), F.when(n == 0, "none").when(n == 1, "constant").otherwise("changed").alias("open_state"), F.min_by("open", F.when(F.col("open").isNotNull(), F.col("at"))).alias("first_open"), F.min_by(F.struct("last"), "at").getField("last").alias("first_last"))
+    return g.withColumn("first_last_matches", F.col("first_open") == F.col("first_last"))

@@ -27,11 +27,20 @@ def first_present(rows: DataFrame, item: str, names: Sequence[str], out: str) ->
     return rows.withColumns({out: value, "found_as": found})
 
 
+def _members(body: str) -> Column:
+    """(key, value) of a body object's members in the order of the document; null if the body is no object."""
+    v = F.try_variant_get(F.try_parse_json(body), "$", "map<string,variant>")
+    # A variant keeps its keys sorted, a parsed map as written.
+    written = F.map_keys(F.from_json(body, "map<string,string>"))
+    return F.transform(F.when(v.isNotNull(), written), lambda k: F.struct(k.alias("key"), F.element_at(v, k).alias("value")))
+
+
 def row_list(rows: DataFrame, body: str) -> DataFrame:
-    """(columns of rows, pos, element): entries of a body that is a list, or of the first list among a body object's values in key order."""
+    """(columns of rows, pos, element): entries of a body that is a list, or of the first list, in document order, among a body object's values."""
     v = F.try_parse_json(body)
-    listed = F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.get(F.filter(F.transform(F.map_values(F.coalesce(F.try_variant_get(v, "$", "map<string,variant>"), F.create_map().cast("map<string,variant>"))), lambda x: F.try_variant_get(x, "$", "array<variant>")), lambda x: x.isNotNull()), F.lit(0)))
-    return rows.select("*", F.posexplode(F.coalesce(listed, F.array().cast("array<variant>"))).alias("pos", "element"))
+    as_list = lambda x: F.try_variant_get(x, "$", "array<variant>")
+    first = F.get(F.filter(F.transform(_members(body), lambda m: as_list(m["value"])), lambda x: x.isNotNull()), F.lit(0))
+    return rows.select("*", F.posexplode(F.coalesce(as_list(v), first, F.array().cast("array<variant>"))).alias("pos", "element"))
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -43,13 +52,12 @@ def best_block(rows: DataFrame, body: str, candidates: Sequence[str]) -> DataFra
     """The nested block of a body object that holds most of the candidate names.
 
     Adds ``block`` (its key), ``score`` and ``ambiguous`` (another block holds
-    as many).  Ties go to the first key in order; no candidate anywhere, or a
-    body that is no object of blocks, gives null and 0.
+    as many).  Ties go to the first block in document order; no candidate
+    anywhere, or a body that is no object of blocks, gives null and 0.
     """
-    blocks = F.coalesce(F.try_variant_get(F.try_parse_json(body), "$", "map<string,variant>"), F.create_map().cast("map<string,variant>"))
     names = F.array(*[F.lit(c) for c in candidates])
-    inner = lambda v: F.map_keys(F.coalesce(F.try_variant_get(v, "$", "map<string,variant>"), F.create_map().cast("map<string,variant>")))
-    scored = F.transform(F.map_entries(blocks), lambda e: F.struct((-F.size(F.array_intersect(inner(e["value"]), names))).alias("m"), e["key"].alias("k")))
-    rows = rows.withColumn("_b", F.array_sort(scored)).withColumn("_t", F.get("_b", F.lit(0)))
+    inner = lambda v: F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
+    scored = F.transform(_members(body), lambda m, i: F.struct((-F.size(F.array_intersect(inner(m["value"]), names))).alias("m"), i.alias("i"), m["key"].alias("k"), inner(m["value"]).isNotNull().alias("o")))
+    rows = rows.withColumn("_b", F.array_sort(F.filter(scored, lambda s: s["o"]))).withColumn("_t", F.get("_b", F.lit(0)))
     hit = F.coalesce(F.col("_t.m") < 0, F.lit(False))
     return rows.withColumns({"block": F.when(hit, F.col("_t.k")), "score": F.when(hit, -F.col("_t.m")).otherwise(F.lit(0)), "ambiguous": hit & F.coalesce(F.get("_b", F.lit(1))["m"] == F.col("_t.m"), F.lit(False))}).drop("_b", "_t")
