@@ -231,6 +231,21 @@ def test_source_scales_long_chains_offsets_and_pairs_without_the_hub(spark):
     assert got["shifted"]["log10_scale"] == 3.0 and abs(got["shifted"]["offset"] + 5e11) < 1e6
 
 
+def test_source_scales_refuse_pairs_that_do_not_agree(spark):
+    rng = np.random.default_rng(5)
+    data = [(f"e{e}", s, float(10 ** rng.uniform(3, 9))) for e in range(200) for s in ("units", "noise")] + [(f"e{e}", "twin", 2.0) for e in range(2)]
+    df = spark.createDataFrame(data, "e string, s string, v double")
+    got = units.source_scales(df, F.col("e"), F.col("s"), F.col("v"), spark.createDataFrame([("units", 0.0)], "source string, log10_scale double"))
+    assert [r["source"] for r in got.collect()] == ["units"]
+
+
+def test_long_numbers_keep_their_digits(spark):
+    df = spark.createDataFrame([(1, "9" * 32, None, 1, None, "LKR", 0), (2, "9" * 33, None, 1, None, "LKR", 0), (3, "1" + "0" * 21 + ".125", None, 1, None, "LKR", 3)], "value_id long, raw_value string, label_raw string, reported_scale long, scale_evidence string, currency string, printed_decimals int")
+    got = {r["value_id"]: r["declared"] for r in units.declared_amounts(df).collect()}
+    assert format(got[1]["number"], "f") == "9" * 32 + ".000000" and got[2]["number"] is None and format(got[3]["number"], "f") == "1" + "0" * 21 + ".125000"
+    assert [got[i]["amount_e4"] for i in (1, 2, 3)] == [None] * 3
+
+
 # -- 5 ----------------------------------------------------------------------------------------
 def test_redelivery_rules(spark):
     data = [(1, "a", ts(5)), (2, "a", ts(3)), (3, "a", ts(3)), (4, "b", None), (5, "b", ts(900)), (6, None, ts(1)), (7, None, ts(1)), (8, "c", ts(1))]
