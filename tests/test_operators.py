@@ -11,7 +11,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tracewell.functions import texts
+from tracewell.functions import records, texts
 from tracewell.operators import evidence, ordered, ranges
 from tracewell.plans import reference, reference_more, reference_rest, reference_text
 from tracewell.sources import listings, shared
@@ -192,8 +192,11 @@ def test_payload_readers(spark):
 def test_texts(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(["１２", "-", " Nil ", "N/A", "", "5 %", "see note", None, "Note 12"])], "i int, t string")
     assert [r[0] for r in df.orderBy("i").select(texts.value_state("t")).collect()] == ["numeric", "reported_nil", "nil_word", "not_applicable", "blank", "percentage", "not_a_number", None, "not_a_number"]
-    paths = spark.createDataFrame([(i, t) for i, t in enumerate([None, " ", "/a", "a/../b", "a.", "a b", "a\nb", "http://x", "a/b.pdf"])], "i int, t string")
-    assert [r[0] for r in paths.orderBy("i").select(texts.accepted_path("t")).collect()] == ["null", "blank", "absolute", "relative_segment", "trailing_dot", "white_space", "control_character", "absolute", "ok"]
+    cases = [None, " ", "/a", "a/../b", "a.", "a b", "a\nb", "http://x", "a/b.pdf", " a", "a//b", "a\\b", "upload_report_file/x y.pdf"]
+    paths = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "i int, t string").orderBy("i")
+    want = ["null", "blank", "not_relative", "empty_or_relative_segment", "trailing_dot", "ok", "control_character", "not_relative", "ok", "outer_white_space", "empty_or_relative_segment", "not_relative", "ok"]
+    assert [r[0] for r in paths.select(texts.accepted_path("t")).collect()] == want
+    assert [r[0] for r in paths.where("i in (0, 5, 12)").select(texts.path_candidates("t")).collect()] == [[], ["a%20b"], ["upload_report_file/x%20y.pdf", "cmt/upload_report_file/x%20y.pdf"]]
     found = spark.createDataFrame([('{"a":[{"Status":1},{"b":{"status":null}}]}',), ("{",), (None,)], "t string").select(texts.field_paths("t", "status")).collect()
     assert [r[0] for r in found] == [["a.0.Status", "a.1.b.status"], [], []]
 
@@ -304,3 +307,54 @@ def test_scratch_removes_what_was_written_inside(spark):
         assert inside.count() == 5
         path = inside.inputFiles()[0]
     assert kept.count() == 3 and not os.path.exists(path.removeprefix("file://"))
+
+
+def test_date_tokens(spark):
+    cases = {
+        "as at 31st March 2024 and 31.12.2023": [("full", 2024, 3, 31), ("full", 2023, 12, 31)], "3st March 2024": [], "31 Feb 2021": [("year", 2021, None, None)], "March 5, 2020 / 12-Jan-19": [("full", 2020, 3, 5), ("full", 2019, 1, 12)],
+        "ended 30 June": [("month_day", None, 6, 30)], "June 30": [("month_day", None, 6, 30)], "30 Feb": [], "29 February": [("month_day", None, 2, 29)], "Yearly Report 2024/25": [], "Report 2024": [("year", 2024, None, None)], "2 025": [("year", 2025, None, None)],
+        "12,345 and 1.5": [], "05/13/2020": [], "11th Sept 2019": [("full", 2019, 9, 11)], "": [], "13.14.15": [], "31st March 2024 2023": [("full", 2024, 3, 31), ("year", 2023, None, None)],
+    }
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*cases, None])], "i int, t string").orderBy("i")
+    got = [[(x["kind"], x["year"], x["month"], x["day"]) for x in r[0]] for r in df.select(texts.date_tokens("t")).collect()]
+    assert got == [*cases.values(), []]
+
+
+def test_duration_phrases(spark):
+    cases = {"for the nine months and the quarter": (9, "9M"), "quarter and 12 months": (3, "quarter"), "Half-Year to June": (6, "6M"), "financial year ended": (12, "12M"), "03months": (3, "3M"), "period ended": (None, "unspecified"), "yearly": None, "months": None, "": None}
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*cases, None])], "i int, t string").orderBy("i")
+    assert [None if r[0] is None else tuple(r[0]) for r in df.select(texts.duration_phrase("t")).collect()] == [*cases.values(), None]
+
+
+def test_fetch_outcomes_in_order(spark):
+    ok = '{"a":{}}'
+    cases = [
+        ("timeout", 200, "x", ok, "timeout"), ("too_large", None, "x", None, "too_large"), ("network", None, "x", None, "network_error"), (None, 403, "x", ok, "blocked"), (None, 429, "x", "", "rate_limited"), (None, 503, "x", ok, "server_error"), (None, 302, "x", ok, "unexpected_redirect"),
+        (None, None, "x", ok, "http_error"), (None, 404, "x", ok, "http_error"), (None, 200, "companyInfoSummery", " \n", "empty_response"), (None, 200, "companyInfoSummery", "{", "invalid_json"), (None, 200, "companyInfoSummery", "[]", "malformed_response"), (None, 204, "companyInfoSummery", ok, "ok"),
+        (None, 200, "tradeSummary", ok, "malformed_response"), (None, 200, "tradeSummary", '{"x":[]}', "ok"), (None, 200, "allSecurityCode", '[{"Symbol":"A"}]', "ok"), (None, 200, "allSecurityCode", '{"x":[{"symbol":""}]}', "malformed_response"), (None, 200, "unknown", ok, "malformed_response"),
+    ]
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, k string, s int, e string, b string, want string").orderBy("i")
+    assert [(r[0], r[1]) for r in df.select(records.fetch_outcome("k", "s", "e", "b"), "want").collect() if r[0] != r[1]] == []
+
+
+def test_retry_after(spark):
+    cases = {"120": 120.0, " 7 ": 7.0, "Mon, 01 Jan 2024 00:01:30 GMT": 90.0, "Sun, 31 Dec 2023 23:00:00 GMT": 0.0, "soon": None, "-5": None}
+    df = spark.createDataFrame([(i, h, T0) for i, h in enumerate([*cases, None])], "i int, h string, now timestamp").orderBy("i")
+    assert [r[0] for r in df.select(records.retry_after_seconds("h", "now")).collect()] == [*cases.values(), None]
+
+
+def test_printed_classes(spark):
+    cases = {
+        "1,234.50": ("numeric", "1234.500000", 2), "+.5": ("numeric", "0.500000", 1), "1,23": ("unresolved", None, None), "(12)": ("parenthesised_negative", "-12.000000", 0), "( 0.00 )": ("negative_zero", "0.000000", 2), "– 7": ("minus_negative", "-7.000000", 0), "−0": ("negative_zero", "0.000000", 0), "--": ("dash_nil", None, None),
+        "#n/a": ("spreadsheet_error", None, None), "31/12/2024": ("text", None, None), "12%": ("percentage", "12.000000", 0), "(1.5)%": ("percentage", "-1.500000", 1), "(1.5%)": ("percentage", "-1.500000", 1), "(1.5%": ("unresolved", None, None), ">= 5": ("comparison_bound", None, None), "≤(5)": ("comparison_bound", None, None), "1.2.3": ("unresolved", None, None), "Note 4": ("text", None, None), "": ("text", None, None), "12 34": ("unresolved", None, None),
+    }
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*cases, None])], "i int, t string").orderBy("i")
+    got = df.select(records.printed_class("t"), records.printed_number("t").cast("string"), records.printed_decimals("t")).collect()
+    assert list(map(tuple, got)) == [*cases.values(), ("text", None, None)]
+
+
+def test_listing_buckets(spark):
+    bodies = ['{"infoQuarterlyData":[{"id":2},{"id":3}],"infoAnnualData":[{"id":1}],"infoWebLink":null,"reqFinancial":[1],"zNew":[],"aNew":[{}],"x":1}', '{"infoAnnualData":{}}', '{"other":[]}', "[]", "{", '{"infoOtherData":[]}', None]
+    entries, read = listings.listing_buckets(spark.createDataFrame(list(enumerate(bodies)), "i int, b string"), "b")
+    assert rows(entries, "i", "bucket", "pos", F.to_json("item")) == [(0, "annual", 0, '{"id":1}'), (0, "quarterly", 0, '{"id":2}'), (0, "quarterly", 1, '{"id":3}')]
+    assert [(r["failure"], r["unrecognised"]) for r in read.orderBy("i").collect()] == [(None, ["aNew", "zNew"]), ("unexpected_schema", []), ("unexpected_schema", []), ("unexpected_schema", []), ("non_json", []), (None, []), ("non_json", [])]

@@ -38,11 +38,12 @@ def k3_forward_only_state(spark, d):
     return table(spark, d, "events").groupBy("user_id").agg(F.max_by("event_type", F.struct("ts", -F.col("event_id"))).alias("state"), F.max("ts").alias("checked_at"))
 
 
-@_query("""select delivery_no, case when list_contains(json_keys(raw_item::json), 'path2') then json_extract_string(raw_item::json, '$.path2') when list_contains(json_keys(raw_item::json), 'path') then json_extract_string(raw_item::json, '$.path') end as path,
- case when list_contains(json_keys(raw_item::json), 'path2') then 'path2' when list_contains(json_keys(raw_item::json), 'path') then 'path' end as found_as from filing_observations""")
+@_query("""with j as (select delivery_no, raw_item::json as j, json_keys(raw_item::json) as k from filing_observations)
+select delivery_no, case when list_contains(k, 'path2') then json_extract_string(j, '$.path2') when list_contains(k, 'path') then json_extract_string(j, '$.path') end as path, case when list_contains(k, 'path2') then 'path2' when list_contains(k, 'path') then 'path' end as found_as,
+ list_contains(k, 'path2') and list_contains(k, 'path') as several, list_contains(k, 'path2') and list_contains(k, 'path') and json_extract_string(j, '$.path2') is distinct from json_extract_string(j, '$.path') as disagree from j""")
 def f1_first_present_name(spark, d):
     rows = table(spark, d, "filing_observations").withColumn("item", F.from_json("raw_item", "map<string,string>"))
-    return listings.first_present(rows, "item", ["path2", "path"], "path").select("delivery_no", "path", "found_as")
+    return listings.first_present(rows, "item", ["path2", "path"], "path").select("delivery_no", "path", "found_as", "several", "disagree")
 
 
 @_query("""select k.fact, coalesce(m.n, 0) as n_members, case when m.n is null then 'none' else 'present' end as state from (select unnest([1, 2, 3, 7, 32, 1000000001]::bigint[]) as fact) k left join (select l_orderkey as fact, count(*) as n from lineitem group by all) m using (fact)""")

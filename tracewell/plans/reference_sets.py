@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tracewell.functions import keys, listing
+from tracewell.functions import keys, listing, texts
 from tracewell.operators import evidence, ordered
 from tracewell.plans.reference import QUERIES, SQL, _MEMBERS, _query, members
 from tracewell.sources.tables import table
@@ -214,10 +214,11 @@ def x9_sign_as_printed(spark, d):
     return table(spark, d, "reported_values").where(F.col("representation_class") == "number").distinct().select("value_id", sign.alias("sign"))
 
 
-@_query(r"""select cse_filing_id, max(regexp_extract(file_text, '((?:19|20)\d{2})', 1)) as year_in_title, max(regexp_extract(lower(file_text), '(january|february|march|april|may|june|july|august|september|october|november|december)', 1)) as month_in_title from filings group by all""")
+@_query(None)
 def x15_date_tokens(spark, d):
-    y, m = F.regexp_extract("file_text", r"((?:19|20)\d{2})", 1), F.regexp_extract(F.lower("file_text"), "(january|february|march|april|may|june|july|august|september|october|november|december)", 1)
-    return table(spark, d, "filings").groupBy("cse_filing_id").agg(F.max(y).alias("year_in_title"), F.max(m).alias("month_in_title"))
+    """Every date token of the filings' titles; the tokens of equal titles are found once."""
+    titles = table(spark, d, "filings").groupBy("file_text").agg(_n().alias("n_filings"))
+    return titles.select("file_text", "n_filings", F.explode(texts.date_tokens("file_text")).alias("t")).select("file_text", "n_filings", "t.*")
 
 
 @_query("""select delivery_no, 'filing:' || cse_filing_id || ':' || strftime(uploaded_at at time zone 'UTC' + interval 330 minute, '%Y-%m') as item_key, coalesce(sha256(path), 'none') as path_version from filings""")

@@ -39,9 +39,11 @@ def f2_best_nested_block(spark, d):
     return listings.best_block(rows, "body", _BLOCK_NAMES).select("raw_id", "block", "score", "ambiguous")
 
 
-@_query("""select delivery_no, case when path is null then 'null' when regexp_matches(path, '^\\s*$') then 'blank' when starts_with(path, '/') then 'absolute' when regexp_matches(path, '(^|/)\\.{1,2}(/|$)') then 'relative_segment' when ends_with(path, '.') then 'trailing_dot' when regexp_matches(path, '\\s') then 'white_space' else 'ok' end as verdict from filings""")
+@_query(r"""select delivery_no, verdict, case when verdict <> 'ok' then 0 when starts_with(path, 'upload_report_file/') then 2 else 1 end as n_candidates from (select delivery_no, path,
+case when path is null then 'null' when regexp_matches(path, '^\s*$') then 'blank' when path <> trim(path, e' \t\r\n') then 'outer_white_space' when starts_with(path, '/') or contains(path, '://') or contains(path, '\') then 'not_relative' when regexp_matches(path, '[\x00-\x1f\x7f]') then 'control_character'
+when len(list_filter(string_split(path, '/'), lambda x: x in ('', '.', '..'))) > 0 then 'empty_or_relative_segment' when ends_with(path, '.') then 'trailing_dot' else 'ok' end as verdict from filings)""")
 def f6_path_acceptance(spark, d):
-    return table(spark, d, "filings").select("delivery_no", texts.accepted_path("path").alias("verdict"))
+    return table(spark, d, "filings").select("delivery_no", texts.accepted_path("path").alias("verdict"), F.size(texts.path_candidates("path")).alias("n_candidates"))
 
 
 @_query("""select raw_value, case when trim(raw_value) = '' then 'blank' when trim(raw_value) in ('-', '--', '- -', chr(8211), chr(8212)) then 'reported_nil' when lower(trim(raw_value)) in ('nil', 'nill', 'zero') then 'nil_word' when lower(trim(raw_value)) in ('n/a', 'na', 'n.a.', 'n.m.', 'not applicable') then 'not_applicable'
@@ -52,11 +54,20 @@ def x10_value_state(spark, d):
     return n.select("raw_value", texts.value_state("raw_value").alias("state"), "n")
 
 
-@_query(r"""select delivery_no, case when regexp_matches(lower(file_text), 'three.month|quarter') then 3 when regexp_matches(lower(file_text), 'six.month|half.year') then 6 when regexp_matches(lower(file_text), 'nine.month') then 9 when regexp_matches(lower(file_text), 'annual|year') then 12 end as months from filings""")
+def _phrase_sql() -> str:
+    """Places of the phrases of a duration: the length of what comes before."""
+    before = lambda p: f"case when regexp_matches(t, '{p}') then length(regexp_extract(t, '(?s)^(.*?)(?:{p})', 1)) end"
+    word = f"lower(regexp_extract(t, '{texts.MONTHS_PHRASE}', 1))"
+    months = "case " + word + " " + " ".join(f"when '{w}' then {n}" for w, n in texts.NUMBERS.items()) + " end"
+    found = [f"{{'at': {before(texts.MONTHS_PHRASE)}, 'months': {months}, 'label': {months} || 'M'}}"]
+    found += [f"{{'at': {before(p)}, 'months': {n}, 'label': '{label}'}}" for p, n, label in texts.OTHER_PHRASES]
+    return "list_sort(list_filter([" + ", ".join(found) + "], lambda x: x['at'] is not null))[1]"
+
+
+@_query("select delivery_no, f['months']::int as months, case when f is not null then f['label'] when regexp_matches(t, '" + texts.ANY_PERIOD + "') then 'unspecified' end as label from (select delivery_no, t, " + _phrase_sql() + " as f from (select delivery_no, coalesce(file_text, '') as t from filings))")
 def x16_duration_phrases(spark, d):
-    t = F.lower("file_text")
-    months = F.when(t.rlike("three.month|quarter"), 3).when(t.rlike("six.month|half.year"), 6).when(t.rlike("nine.month"), 9).when(t.rlike("annual|year"), 12)
-    return table(spark, d, "filings").select("delivery_no", months.alias("months"))
+    p = texts.duration_phrase("file_text")
+    return table(spark, d, "filings").select("delivery_no", p.getField("months").alias("months"), p.getField("label").alias("label"))
 
 
 @_query("""select feed_row_no, epoch_us(try_strptime(uploaded_date, '%d %b %Y %I:%M:%S %p') - interval 330 minute) as utc_us from feed_items where try_strptime(uploaded_date, '%d %b %Y %I:%M:%S %p') is not null""")

@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewell.plans import problems, problems_sql, reference, reference_more, reference_rest, reference_sets, reference_text
+from tracewell.plans import problems, problems_sql, reference, reference_more, reference_records, reference_rest, reference_sets, reference_text
 from tracewell.streaming import queries as streams
 
 # The reference's queries register themselves where they are defined.
-_MODULES = (reference, reference_more, reference_rest, reference_sets, reference_text)
+_MODULES = (reference, reference_more, reference_records, reference_rest, reference_sets, reference_text)
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -18,13 +18,19 @@ def parse_items(rows: DataFrame, raw: str) -> DataFrame:
 
 
 def first_present(rows: DataFrame, item: str, names: Sequence[str], out: str) -> DataFrame:
-    """The value of the first of ``names`` that is a key of the map ``item``, even a null one, and which name that was."""
+    """The value of the first of ``names`` that is a key of the map ``item``, even a null one.
+
+    Adds ``found_as`` (which name that was), ``several`` (more than one of them
+    is a key) and ``disagree`` (and their values differ, null from others too).
+    """
     value: Column = F.lit(None).cast("string")
     found: Column = F.lit(None).cast("string")
     for n in reversed(names):
         has = F.map_contains_key(item, F.lit(n))
         value, found = F.when(has, F.element_at(item, F.lit(n))).otherwise(value), F.when(has, F.lit(n)).otherwise(found)
-    return rows.withColumns({out: value, "found_as": found})
+    held = F.filter(F.map_entries(item), lambda e: e["key"].isin(list(names)))
+    values = F.array_distinct(F.transform(held, lambda e: F.struct(e["value"].alias("v"))))
+    return rows.withColumns({out: value, "found_as": found, "several": F.coalesce(F.size(held) > 1, F.lit(False)), "disagree": F.coalesce(F.size(values) > 1, F.lit(False))})
 
 
 def _members(body: str) -> Column:
@@ -61,3 +67,31 @@ def best_block(rows: DataFrame, body: str, candidates: Sequence[str]) -> DataFra
     rows = rows.withColumn("_b", F.array_sort(F.filter(scored, lambda s: s["o"]))).withColumn("_t", F.get("_b", F.lit(0)))
     hit = F.coalesce(F.col("_t.m") < 0, F.lit(False))
     return rows.withColumns({"block": F.when(hit, F.col("_t.k")), "score": F.when(hit, -F.col("_t.m")).otherwise(F.lit(0)), "ambiguous": hit & F.coalesce(F.get("_b", F.lit(1))["m"] == F.col("_t.m"), F.lit(False))}).drop("_b", "_t")
+
+
+# List keys of a listing body that hold no filings.
+NO_FILINGS = ("reqFinancial", "infoCompanyBannerAd")
+# The list keys that do, and their buckets.
+BUCKETS = {"infoAnnualData": "annual", "infoQuarterlyData": "quarterly", "infoOtherData": "other", "infoWebLink": "web_link"}
+
+
+def listing_buckets(rows: DataFrame, body: str) -> tuple[DataFrame, DataFrame]:
+    """(entries, bodies) of listing bodies.
+
+    entries: (columns of rows, bucket, pos, item), one per entry of a bucket.
+    bodies: (columns of rows, failure, unrecognised), failure being
+    ``non_json``, ``unexpected_schema`` (no object, no bucket, or a bucket that
+    is no list; such a body has no entries) or null, unrecognised the sorted
+    other list keys.  A null bucket is an empty one.
+    """
+    v = F.try_parse_json(body)
+    members = F.try_variant_get(v, "$", "map<string,variant>")
+    as_list = lambda x: F.try_variant_get(x, "$", "array<variant>")
+    known = F.filter(F.map_keys(members), lambda k: k.isin(list(BUCKETS)))
+    broken = F.exists(known, lambda k: ~F.is_variant_null(F.element_at(members, k)) & as_list(F.element_at(members, k)).isNull())
+    failure = F.when(v.isNull(), "non_json").when(members.isNull() | (F.size(known) == 0) | broken, "unexpected_schema")
+    other = F.array_sort(F.filter(F.map_keys(members), lambda k: ~k.isin([*BUCKETS, *NO_FILINGS]) & as_list(F.element_at(members, k)).isNotNull()))
+    read = rows.withColumns({"failure": failure, "unrecognised": F.when(failure.isNull(), other).otherwise(F.array().cast("array<string>"))})
+    lists = F.array(*[F.struct(F.lit(b).alias("bucket"), as_list(F.try_element_at(members, F.lit(k))).alias("items")) for k, b in BUCKETS.items()])
+    entries = read.where(F.col("failure").isNull()).select(*rows.columns, F.inline(lists)).select(*rows.columns, "bucket", F.posexplode("items").alias("pos", "item"))
+    return entries, read
