@@ -143,7 +143,7 @@ def test_every_nested_object_has_identity_parent_and_row(spark):
     assert all((r["parent_hash"] is None) == (r["depth"] == 0) and bytes(r["object_hash"]) in content for r in got)
     by = {r["path"]: r for r in got if r["record_id"] == 1}
     deep = by['$["reqSymbolInfo"]["tradeWindows"][2]["stats"]["deep"]["x"][0][0]']
-    assert (deep["depth"], deep["field_name"], deep["ordinal"]) == (5, "x", 0) and deep["object_hash"] == by['$["reqSymbolInfo"]["tradeWindows"][0]["stats"]["deep"]["x"][1]']["object_hash"]
+    assert (deep["depth"], deep["field_name"], deep["places"]) == (5, "x", "0.0") and deep["object_hash"] == by['$["reqSymbolInfo"]["tradeWindows"][0]["stats"]["deep"]["x"][1]']["object_hash"]
     assert by['$["reqTagsLogo"]']["parent_hash"] == by["$"]["object_hash"] and by['$["reqTagsLogo"]']["object_hash"] == by['$["reqLogo"][0]["v"]']["object_hash"]
     assert nested.flatten_objects(df.limit(0), "raw_id", "body", COMPANY_BODY)[0].count() == 0
 

@@ -33,7 +33,7 @@ _DEEPEST = 1_000_000
 # Stands before a number, which is kept as it was written; repeated more often than a text itself has it.
 _MARK = "\ue000"
 
-_SCHEMA = "is_object boolean, record_id long, root_no int, path string, depth int, field_name string, ordinal int, object_hash binary, parent_hash binary, content string"
+_SCHEMA = "is_object boolean, record_id long, root_no int, path string, depth int, field_name string, places string, object_hash binary, parent_hash binary, content string"
 
 
 @dataclass(frozen=True)
@@ -135,7 +135,7 @@ class _Walk:
                     if len(self.quoted) > SENT_MEMORY:
                         self.quoted.clear()
                     q = self.quoted[k] = f"[{json.dumps(k, ensure_ascii=False)}]"
-                marked = self.mark(v, k, path + q, 0, depth + 1, below)
+                marked = self.mark(v, k, path + q, None, depth + 1, below)
                 if marked is not v:
                     if shallow is obj:
                         shallow = dict(obj)
@@ -143,25 +143,26 @@ class _Walk:
         content = _canonical(shallow, self.number)
         h = _hash(content)
         self.contents[h] = content
-        for at, d, field, ordinal, child in below:
-            self.found.append((at, d, field, ordinal, child, h))
+        for at, d, field, places, child in below:
+            self.found.append((at, d, field, places, child, h))
         return h
 
-    def mark(self, v, field: str, at: str, ordinal: int, depth: int, below: list):
+    def mark(self, v, field: str, at: str, places: str | None, depth: int, below: list):
         """``v`` with the objects in it replaced by their hashes."""
         if isinstance(v, dict):
             h = self.seal(v, at, depth)
-            below.append((at, depth, field, ordinal, h))
+            below.append((at, depth, field, places, h))
             return {"#": h.hex()}
         if isinstance(v, list) and any(isinstance(x, dict | list) for x in v):
-            return [self.mark(x, field, f"{at}[{i}]", i, depth, below) if isinstance(x, dict | list) else x for i, x in enumerate(v)]
+            outer = "" if places is None else places + "."
+            return [self.mark(x, field, f"{at}[{i}]", f"{outer}{i}", depth, below) if isinstance(x, dict | list) else x for i, x in enumerate(v)]
         return v
 
 
 def _flattener(layout: Layout):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sys.setrecursionlimit(_DEEPEST)
-        kinds = (pa.bool_(), pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.string())
+        kinds = (pa.bool_(), pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.binary(), pa.binary(), pa.string())
         schema = pa.schema([(c.split()[0], t) for c, t in zip(_SCHEMA.split(", "), kinds)])
         sent: set[bytes] = set()
         quoted: dict[str, str] = {}
@@ -179,8 +180,8 @@ def _flattener(layout: Layout):
                         continue
                     walk = _Walk(quoted, number)
                     top = walk.seal(root, "$", 0)
-                    rows.append((False, record_id, root_no, "$", 0, None, root_no, top, None, None))
-                    rows += [(False, record_id, root_no, _clean(path), depth, _clean(field), i, h, parent, None) for path, depth, field, i, h, parent in walk.found]
+                    rows.append((False, record_id, root_no, "$", 0, None, None, top, None, None))
+                    rows += [(False, record_id, root_no, _clean(path), depth, _clean(field), places, h, parent, None) for path, depth, field, places, h, parent in walk.found]
                     for h, content in walk.contents.items():
                         if h not in sent:
                             if len(sent) >= SENT_MEMORY:
@@ -203,12 +204,13 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 def flatten_objects(records: DataFrame, id_col: str, body_col: str, layout: Layout) -> tuple[DataFrame, DataFrame]:
     """(bridge, objects) of every object in the bodies, from the record objects down, in any field and array at any depth.
 
-    bridge: (record_id, root_no, path, depth, field_name, ordinal, object_hash,
+    bridge: (record_id, root_no, path, depth, field_name, places, object_hash,
     parent_hash), one row per occurrence; root_no is the place of the record
     object in its body; the record object itself has path ``$``, depth 0 and no
-    parent; an array's place stands in the path as ``[place]`` after
-    ``["field"]``, so a lone object and a list of one differ, as their parents'
-    hashes do.  objects: (object_hash, content), one row per distinct object,
+    parent; places are the ordinals in the arrays between the parent's field
+    and the object, divided by points, null for a lone object, and stand in the
+    path as ``[place]`` after ``["field"]``: a lone object and a list of one
+    differ, as their parents' hashes do.  objects: (object_hash, content), one row per distinct object,
     its content canonical JSON in which every object below it stands as
     ``{"#": hash}``.  A null body, a text that is no JSON and values that are
     no objects give nothing; null elements keep their place.  JSON texts inside
@@ -230,14 +232,20 @@ def block_rows(bridge: DataFrame, layout: Layout) -> DataFrame:
     lone object), for objects of inner arrays followed by ``.`` and the place
     there.
     """
-    name, place = r'\["((?:[^"\\]|\\.)*)"\]', r"(?:\[(\d+)\])"
-    steps = F.regexp_replace("path", rf"^\$(?:{name}{place}?(?:{name}{place})?)$", "$1\u0001$2\u0001$3\u0001$4")
-    part = lambda n: F.col("_s")[n]
-    rows = bridge.where(F.col("depth").between(1, 2)).withColumn("_s", F.split(steps, "\u0001"))
-    first = F.when(part(1) == "", "0").otherwise(part(1))
-    inner = part(2).isin(*layout.inner)
-    rows = rows.where((F.size("_s") == 4) & part(0).isin(*layout.blocks) & ((part(2) == "") & (F.col("depth") == 1) | inner))
-    return rows.withColumns({"block_name": part(0), "item_path": F.when(inner, F.concat(first, F.lit("."), part(3))).otherwise(first)}).drop("_s")
+    rows = bridge.where(F.col("depth").between(1, 2) & ~F.coalesce(F.col("places").contains("."), F.lit(False)))
+    own = (F.col("depth") == 1) & F.col("field_name").isin(*layout.blocks)
+    inner = (F.col("depth") == 2) & F.col("field_name").isin(*layout.inner) & F.col("places").isNotNull()
+    # An inner object's path without its own field and place is its parent's.
+    tail = F.length(F.concat(F.lit('[""]'), "field_name", F.lit("[]"), "places"))
+    above = F.substring(F.col("path"), F.lit(1), F.length("path") - tail)
+    block, place = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for b in layout.blocks:
+        prefix = f"$[{json.dumps(b)}]"
+        rest = F.substring(above, len(prefix) + 1, 20)
+        here = above.startswith(prefix) & ~rest.contains("][") & ~rest.contains('"')
+        block, place = F.when(here, b).otherwise(block), F.when(here, F.when(rest == "", "0").otherwise(F.translate(rest, "[]", ""))).otherwise(place)
+    rows = rows.where(own | inner).withColumns({"block_name": F.when(own, F.col("field_name")).otherwise(block), "item_path": F.when(own, F.coalesce("places", F.lit("0"))).otherwise(F.concat(place, F.lit("."), "places"))})
+    return rows.where(F.col("item_path").isNotNull())
 
 
 def owner_keys(rows: DataFrame, objects: DataFrame, key_of: dict[str, str]) -> DataFrame:
