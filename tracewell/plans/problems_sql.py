@@ -32,6 +32,11 @@ def _content(item: str) -> str:
     return "concat_ws('~', " + ", ".join(f"coalesce(json_extract({item}::json, '$.{k}')::varchar, '-')" for k in _ITEM_KEYS) + ")"
 
 
+def _canonical(item: str) -> str:
+    """Content of an entry as JSON with sorted keys; an absent key is left out."""
+    return "'{' || concat_ws(',', " + ", ".join(f"""'"{k}":' || json_extract({item}::json, '$.{k}')::varchar""" for k in _ITEM_KEYS) + ") || '}'"
+
+
 _OBSERVED = """
 obs as (
   select delivery_no, cse_filing_id, observed_at,
@@ -59,7 +64,48 @@ known as (
 )
 select table_name, row_key, coalesce(decision_id, -1) as decision_id, coalesce(delivery_no, -1) as delivery_no from known"""
 
+# Forms of instants that the tables hold, as this engine's own parser reads them, and minutes of the zones named.
+_FORMS = (
+    "%Y-%m-%dt%H:%M:%S.%f", "%Y-%m-%dt%H:%M:%S", "%Y-%m-%d %H:%M:%S.%f", "%Y-%m-%d %H:%M:%S", "%Y-%m-%d", "%Y%m%d%H%M%S", "%d%b%Y%H%M%S", "%d-%b-%Y %H:%M:%S", "%d %b %Y %I:%M:%S %p", "%d %b %Y %I:%M %p", "%d %b %Y %H:%M:%S", "%d %b %Y",
+    "%a, %d %b %Y %H:%M:%S", "%B %d, %Y %H:%M", "%d.%m.%Y %H:%M", "%d/%m/%Y %H:%M:%S", "%d/%m/%Y %H:%M", "%d/%m/%Y",
+)
+_NAMED = {"z": 0, "utc": 0, "gmt": 0, "bst": 60, "est": -300, "edt": -240, "aest": 600, "aedt": 660}
+
+_INSTANTS = r"""
+texts as (
+  select 'feed_items' as table_name, feed_row_no as row_no, unnest(['uploaded_date', 'manual_date', 'authorized_date']) as field_name, unnest([uploaded_date, manual_date, authorized_date]) as text, null as hint from feed_items
+  union all select 'source_instants', instant_id, 'raw', raw, zone_hint from source_instants
+),
+plain as (select *, lower(regexp_replace(text, '^[\s\x{a0}]+|[\s\x{a0}]+$', '', 'g')) as s from texts),
+zoned as (select *, regexp_extract(s, '^(.*(?::[0-9]{2}(?:\.[0-9]+)?(?: [ap]m)?|[a-z]{3}[0-9]{10})) ?(z|[a-z]{3,4}|(?:utc|gmt)?[+-][0-9]{1,2}(?::?[0-9]{2})?)$', ['base', 'zone']) as p from plain),
+parts as (select *, coalesce(nullif(p.base, ''), s) as base, nullif(p.zone, '') as zone from zoned),
+read as (select *, try_strptime(base, [{forms}]) as local, regexp_extract(zone, '([+-])([0-9]{1,2}):?([0-9]{2})?$', ['sign', 'h', 'm']) as o from parts),
+placed as (select *, coalesce(nullif(trim(hint), ''), 'Asia/Colombo') as tz, case zone {named} else case when o.h <> '' then (case o.sign when '-' then -1 else 1 end) * (try_cast(o.h as int) * 60 + coalesce(try_cast(o.m as int), 0)) end end as off from read),
+met as (select *, local at time zone tz as at_tz from placed),
+utc as (select *, case
+    when regexp_full_match(s, '-?[0-9]+(\.0+)?') and not regexp_full_match(s, '[0-9]{14}') then (case when abs(n) < 100000000000 then n * 1000000 when abs(n) < 100000000000000 then n * 1000 else n end)
+    when zone is not null then epoch_us(local) - off::bigint * 60000000
+    -- A reading that its zone never shows, or shows an hour apart as well, is none.
+    when (at_tz at time zone tz) = local and ((at_tz - interval 1 hour) at time zone tz) <> local and ((at_tz + interval 1 hour) at time zone tz) <> local then epoch_us(at_tz)
+  end as utc_us from (select *, try_cast(regexp_extract(s, '^(-?[0-9]+)(\.0+)?$', 1) as bigint) as n from met))
+select table_name, row_no, field_name, utc_us from utc where utc_us is not null and not (field_name = 'manual_date' and (utc_us = -19800000000 or s in ('-19800', '-19800.0', '-19800000', '-19800000.0')))""".replace(
+    "{forms}", ", ".join(f"'{f}'" for f in _FORMS)
+).replace("{named}", " ".join(f"when '{k}' then {v}" for k, v in _NAMED.items()))
+
+_PAIRS = f"""
+rows as (select distinct snapshot_no, cse_filing_id, {_content("raw_item")} as content from listing_snapshots),
+numbers as (select snapshot_no, lag(snapshot_no) over (order by snapshot_no) as before from (select distinct snapshot_no from rows)),
+pairs as (
+  select n.snapshot_no, coalesce(a.cse_filing_id, b.cse_filing_id) as cse_filing_id, a.content as new_content, b.content as old_content
+  from numbers n join rows a on a.snapshot_no = n.snapshot_no left join rows b on b.snapshot_no = n.before and b.cse_filing_id = a.cse_filing_id where n.before is not null
+  union all
+  select n.snapshot_no, b.cse_filing_id, null, b.content from numbers n join rows b on b.snapshot_no = n.before
+  where not exists (select 1 from rows a where a.snapshot_no = n.snapshot_no and a.cse_filing_id = b.cse_filing_id)
+)"""
+
 SQL = {
+    "p3_values": "with " + _PAIRS.replace(_content("raw_item"), _canonical("raw_item")) + " select snapshot_no::int as snapshot_no, cse_filing_id, case when old_content is null then 'added' when new_content is null then 'removed' else 'changed' end as change_kind, old_content as value_before, new_content as value_after from pairs where new_content is distinct from old_content",
+    "p6_found": "with " + _INSTANTS,
     "p1_found": "with " + _CHILD + " select table_name, row_key, month_utc, kind from failed where kind is not null",
     "p1_counts": "with " + _CHILD + " select table_name, month_utc, kind, count(*) as n_references from failed where kind is not null group by all",
     "p2_found": """
@@ -84,18 +130,7 @@ owners as (select raw_id, company_no, block_name, item_path, o, coalesce(json_ex
 inner_lists as (select *, json_extract(o, '$.' || f) as v from owners, (select unnest(['tradeWindows', 'history', 'versions']) as f)),
 inner_items as (select raw_id, company_no, block_name, item_path || '.' || i as item_path, json_extract(v, '$[' || i || ']') as o, key_value from (select *, unnest(range(json_array_length(v)::bigint)) as i from inner_lists where json_type(v) = 'ARRAY'))
 select raw_id, company_no, block_name, item_path, key_value from owners union all select raw_id, company_no, block_name, item_path, key_value from inner_items where json_type(o) = 'OBJECT'""",
-    "p3_found": f"""
-with rows as (select distinct snapshot_no, cse_filing_id, {_content("raw_item")} as content from listing_snapshots),
-numbers as (select snapshot_no, lag(snapshot_no) over (order by snapshot_no) as before from (select distinct snapshot_no from rows)),
-pairs as (
-  select n.snapshot_no, coalesce(a.cse_filing_id, b.cse_filing_id) as cse_filing_id, a.content as new_content, b.content as old_content
-  from numbers n join rows a on a.snapshot_no = n.snapshot_no left join rows b on b.snapshot_no = n.before and b.cse_filing_id = a.cse_filing_id where n.before is not null
-  union all
-  select n.snapshot_no, b.cse_filing_id, null, b.content from numbers n join rows b on b.snapshot_no = n.before
-  where not exists (select 1 from rows a where a.snapshot_no = n.snapshot_no and a.cse_filing_id = b.cse_filing_id)
-)
-select snapshot_no::int as snapshot_no, cse_filing_id, case when old_content is null then 'added' when new_content is null then 'removed' else 'changed' end as change_kind
-from pairs where new_content is distinct from old_content""",
+    "p3_found": "with " + _PAIRS + " select snapshot_no::int as snapshot_no, cse_filing_id, case when old_content is null then 'added' when new_content is null then 'removed' else 'changed' end as change_kind from pairs where new_content is distinct from old_content",
     "p5_found": "with " + _OBSERVED + """
 select 'filing_observations' as table_name, delivery_no from ranked where rn > 1
 union all

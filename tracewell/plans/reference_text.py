@@ -90,7 +90,8 @@ def x25_url_path(spark, d):
     return table(spark, d, "filings").select("delivery_no", texts.url_path("path").alias("url_path"))
 
 
-@_query(None)
+@_query(r"""with b as (select raw_id, any_value(body) as body from company_info_raw group by raw_id)
+select ltrim(regexp_replace(regexp_replace(t.fullkey, '^\$', ''), '\[([0-9]+)\]', '.\1', 'g'), '.') as path, count(*) as n from (select * from b where json_valid(body)) v, json_tree(v.body) t where t.key is not null and regexp_matches(t.key, '(?i)status|quarter|period') and not regexp_full_match(t.key, '[0-9]+') group by all""")
 def x29_field_paths(spark, d):
     rows = table(spark, d, "company_info_raw").select("raw_id", "body").distinct()
     return rows.select("raw_id", F.explode(texts.field_paths("body", "status|quarter|period")).alias("path")).groupBy("path").agg(_n().alias("n"))
