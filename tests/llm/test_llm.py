@@ -316,3 +316,16 @@ def test_bounded_sample_has_every_language(spark, monkeypatch):
     monkeypatch.setattr(langid, "MAX_SAMPLES", 5)
     got = langid._sampled(df, "lang", "sample_text")
     assert len(got) == 5 and {("si", "s0"), ("si", "s1"), ("ta", "t0")} < set(got) and got == sorted(got)
+
+
+def test_checks_hold_on_the_small_tables(spark):
+    import duckdb
+
+    from tracewell.llm import registry
+
+    c = duckdb.connect()
+    for t in ("documents", "container_plans", "mixture_targets"):
+        c.execute(f"create view {t} as select * from read_parquet('{DATA}/../sf0.01/{t}.parquet')")
+    for name in ("p8_checks", "p9_checks"):
+        got = registry.QUERIES[name](spark, f"{DATA}/../sf0.01")
+        assert sorted(map(tuple, got.collect())) == sorted(c.execute(f"select {', '.join(got.columns)} from ({registry.SQL[name]})").fetchall())
