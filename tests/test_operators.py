@@ -358,3 +358,37 @@ def test_listing_buckets(spark):
     entries, read = listings.listing_buckets(spark.createDataFrame(list(enumerate(bodies)), "i int, b string"), "b")
     assert rows(entries, "i", "bucket", "pos", F.to_json("item")) == [(0, "annual", 0, '{"id":1}'), (0, "quarterly", 0, '{"id":2}'), (0, "quarterly", 1, '{"id":3}')]
     assert [(r["failure"], r["unrecognised"]) for r in read.orderBy("i").collect()] == [(None, ["aNew", "zNew"]), ("unexpected_schema", []), ("unexpected_schema", []), ("unexpected_schema", []), ("non_json", []), (None, []), ("non_json", [])]
+
+
+def test_content_verdicts(spark):
+    import hashlib
+
+    from tracewell.sources import bodies
+
+    pdf = b"junk%PDF-1.4 " + b"x" * 3000 + b"%%EOF\n"
+    tag = lambda b: f'"{hashlib.md5(b).hexdigest()}"'
+    cases = [
+        (pdf, "pdf", str(len(pdf)), tag(pdf), "valid"), (pdf, "pdf", "9999", None, "truncated"), (pdf, "pdf", "5", None, "length_mismatch"), (pdf, "pdf", "many", 'W/"x"', "valid"), (pdf, "pdf", None, tag(b"other"), "etag_mismatch"), (b"", "pdf", None, None, "empty_body"), (None, "zip", None, None, "empty_body"),
+        (b"x" * 1100 + pdf, "pdf", None, None, "not_pdf"), (b"x" * 1019 + pdf[4:], "pdf", None, None, "valid"), (pdf[:-6], "pdf", None, None, "truncated_or_malformed"), (b"PK\x03\x04rest", "zip", None, None, "valid"), (pdf, "zip", None, None, "not_expected_type"), (pdf, "doc", None, None, "unknown_kind"), (b"\x02%PDF-" + b"%%EOF", "pdf", None, None, "valid"),
+    ]
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, data binary, kind string, n string, tag string, want string").orderBy("i")
+    assert [(i, r[0], r[1]) for i, r in enumerate(df.select(bodies.content_verdict("data", "kind", "n", "tag"), "want").collect()) if r[0] != r[1]] == []
+
+
+def test_nearest_one_to_one(spark):
+    left = spark.createDataFrame([(1, "a", 10.0), (1, "b", 12.0), (1, "c", 50.0), (1, "z", None), (2, "a", 5.0)], "g int, l string, x double")
+    right = spark.createDataFrame([(1, 1, 11.5), (1, 2, 9.0), (1, 3, 80.0), (2, 4, 4.0), (2, 5, 6.0), (3, 6, 1.0)], "g int, r int, x double")
+    got = ranges.nearest_one_to_one(left, right, "g", "l", "r", "x", 20.0)
+    assert rows(got) == [(1, "a", 2, 1.0), (1, "b", 1, 0.5), (2, "a", 4, 1.0)]
+    assert rows(ranges.nearest_one_to_one(left, right, "g", "l", "r", "x", 20.0, 0.1)) == [(1, "a", 2, 1.0), (1, "b", 1, 0.5)]
+    assert ranges.nearest_one_to_one(left.limit(0), right, "g", "l", "r", "x", 20.0).count() == 0
+
+
+def test_changed_readings_carry_state_over_triggers(spark, tmp_path):
+    schema = "k int, n int, v string"
+    src = f"{tmp_path}/in"
+    for part in ([(1, 1, "a"), (1, 3, "b"), (1, 2, "a"), (2, 1, "x")], [(1, 5, "b"), (1, 2, "z"), (1, 4, "c"), (2, 2, "x"), (3, 1, "q")]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(src)
+        stream = capture.changed_readings(capture.read_events(spark, src, spark.read.schema(schema).parquet(src).schema, 10), "k", "n", "v")
+        stream.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/cp").outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    assert rows(spark.read.parquet(f"{tmp_path}/out"), "k", "n", "v", "late") == [(1, 2, "z", True), (1, 3, "b", False), (1, 4, "c", False), (1, 5, "b", False)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -78,3 +79,37 @@ def touching_pairs(spans: DataFrame, key: str, low: Column, high: Column) -> Dat
     out = seen.groupBy("_k").agg(F.sum("_starts").alias("_n"), F.sum(F.col("_starts") * F.coalesce("_before__ends", none)).alias("_apart")).where(F.col("_n") > 1)
     pairs = F.call_function("div", F.col("_n") * (F.col("_n") - 1), F.lit(2).cast("long"))
     return out.select(F.col("_k").alias(key), pairs.alias("n_pairs"), (pairs - F.col("_apart")).alias("n_agreeing"))
+
+
+def nearest_one_to_one(left: DataFrame, right: DataFrame, group: str, left_key: str, right_key: str, position: str, tolerance: float, margin: float = 0.0) -> DataFrame:
+    """(group, left_key, right_key, distance): greedy pairs of a group, nearest first, each row used once.
+
+    Only pairs within ``tolerance`` are candidates.  A left row whose next
+    unused candidate is less than ``margin`` further away is ambiguous and gets
+    none.  Ties go to the smaller left key, then the smaller right key.  Groups
+    are statements and columns of a page, so a task holds whole ones; rows
+    without position take no part.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in left.schema.fields} | {f.name: f.dataType.simpleString() for f in right.schema.fields}
+    schema = f"`{group}` {kinds[group]}, `{left_key}` {kinds[left_key]}, `{right_key}` {kinds[right_key]}, distance double"
+
+    def assign(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        a, b = a.dropna(subset=[position]), b.dropna(subset=[position])
+        far = sorted((abs(float(x) - float(y)), i, j) for i, x in zip(a[left_key], a[position]) for j, y in zip(b[right_key], b[position]) if abs(float(x) - float(y)) <= tolerance)
+        of: dict = {}
+        for distance, i, j in far:
+            of.setdefault(i, []).append((distance, j))
+        taken, paired, unclear = set(), {}, set()
+        for distance, i, j in far:
+            if i in paired or i in unclear or j in taken:
+                continue
+            if any(d - distance < margin for d, k in of[i] if k != j and k not in taken):
+                unclear.add(i)
+                continue
+            paired[i] = (j, distance)
+            taken.add(j)
+        key = a[group].iloc[0] if len(a) else None
+        return pd.DataFrame([(key, i, j, d) for i, (j, d) in paired.items()], columns=[group, left_key, right_key, "distance"])
+
+    own = lambda df, key: df.select(group, key, position).groupBy(group)
+    return own(left, left_key).cogroup(own(right, right_key)).applyInPandas(assign, schema)

@@ -395,3 +395,47 @@ def d3_completeness_states(spark, d):
     n = F.coalesce("n_eod", F.lit(0).cast("long"))
     state = F.when(F.col("day") > F.col("b"), "unknown").when(F.dayofweek("day").isin(1, 7), "not_applicable").when(n == 0, "missing").when(n == F.col("n_expected"), "complete").otherwise("partial")
     return days.join(per, "day", "left").select("day", n.alias("n_eod"), state.alias("state"))
+
+
+@_query("with " + _SOURCES + " select min(delivery_no) as first_delivery, count(*) as n_deliveries, cse_filing_id, ep, bk from sources group by cse_filing_id, ep, bk, content")
+def k6_version_store(spark, d):
+    """One row per version of a listing entry: filing, endpoint, bucket and content."""
+    rows = table(spark, d, "filing_observations").select("delivery_no", "cse_filing_id", listing.endpoint_name("source_endpoint").alias("ep"), listing.bucket_name("source_bucket").alias("bk"), F.sha2(listing.raw_content("raw_item"), 256).alias("h"))
+    return rows.groupBy("cse_filing_id", "ep", "bk", "h").agg(F.min("delivery_no").alias("first_delivery"), _n().alias("n_deliveries")).drop("h")
+
+
+@_query("""with i as (select distinct snapshot_no, taken_at, cse_filing_id, raw_item from listing_snapshots), t as (select *, """ + _AT.format("json_extract_string(raw_item::json, '$.uploadedDate')") + """ as up, json_extract_string(raw_item::json, '$.manualDate') as manual from i)
+select snapshot_no, count(*) as n_rows, max(up) as latest_us, ((make_timestamp(max(up)) + interval 330 minute)::date = (max(taken_at) at time zone 'UTC' + interval 330 minute)::date) as shows_its_day, count(*) filter (where manual is null) as n_missing, count(*) filter (where manual = '-19800000') as n_placeholder from t group by all""")
+def f4_snapshot_evidence(spark, d):
+    """What a snapshot itself shows of its day: its latest upload against the local day it was taken, and how many dates are absent or placeholders."""
+    item = F.from_json("raw_item", "map<string,string>")
+    t = table(spark, d, "listing_snapshots").select("snapshot_no", "taken_at", "cse_filing_id", "raw_item").distinct().withColumn("m", item)
+    t = t.withColumns({"up": listing.instant_micros(F.try_element_at("m", F.lit("uploadedDate"))), "manual": F.try_element_at("m", F.lit("manualDate"))})
+    day = lambda c: F.to_date(F.from_utc_timestamp(c, "+05:30"))
+    return t.groupBy("snapshot_no").agg(_n().alias("n_rows"), F.max("up").alias("latest_us"), (day(F.timestamp_micros(F.max("up"))) == day(F.max("taken_at"))).alias("shows_its_day"), F.count_if(F.col("manual").isNull()).alias("n_missing"), F.count_if(F.col("manual") == "-19800000").alias("n_placeholder"))
+
+
+@_query("""with f as (select cse_filing_id, arg_min(path, delivery_no) as p, arg_min(file_text, delivery_no) as t, arg_min(source_name, delivery_no) as n from (select *, 1 from filings) group by all),
+o as (select cse_filing_id, json_extract_string(arg_max(raw_item, (snapshot_no, taken_at, raw_item))::json, '$.path') as p, json_extract_string(arg_max(raw_item, (snapshot_no, taken_at, raw_item))::json, '$.fileText') as t, json_extract_string(arg_max(raw_item, (snapshot_no, taken_at, raw_item))::json, '$.name') as n from listing_snapshots group by all)
+select cse_filing_id, coalesce(f.p, o.p) as path, coalesce(f.t, o.t) as file_text, coalesce(f.n, o.n) as name, array_to_string(list_filter([case when f.p <> o.p then 'path' end, case when f.t <> o.t then 'file_text' end, case when f.n <> o.n then 'name' end], lambda x: x is not null), ',') as differing from f left join o using (cse_filing_id)""".replace("arg_min(path, delivery_no)", "arg_min({'x': path}, delivery_no).x").replace("arg_min(file_text, delivery_no)", "arg_min({'x': file_text}, delivery_no).x").replace("arg_min(source_name, delivery_no)", "arg_min({'x': source_name}, delivery_no).x"))
+def f3_two_source_merge(spark, d):
+    """One source with a fallback per field, and the fields in which both say something and differ."""
+    first = table(spark, d, "filings").groupBy("cse_filing_id").agg(F.min_by(F.struct(F.col("path").alias("p"), F.col("file_text").alias("t"), F.col("source_name").alias("n")), "delivery_no").alias("f"))
+    item = F.from_json(F.max_by("raw_item", F.struct("snapshot_no", "taken_at", "raw_item")), "path string, fileText string, name string")
+    other = table(spark, d, "listing_snapshots").groupBy("cse_filing_id").agg(item.alias("o"))
+    j = first.join(other, "cse_filing_id", "left")
+    names = {"path": ("f.p", "o.path"), "file_text": ("f.t", "o.fileText"), "name": ("f.n", "o.name")}
+    differing = F.array_compact(F.array(*[F.when(F.col(a) != F.col(b), k) for k, (a, b) in names.items()]))
+    return j.select("cse_filing_id", *[F.coalesce(a, b).alias(k) for k, (a, b) in names.items()], F.array_join(differing, ",").alias("differing"))
+
+
+@_query("""with reached as (select f.cse_filing_id, case when c.cse_filing_id is null then 'not_classified' when not c.ok then 'period_undetermined' when e.cse_filing_id is null then 'not_extracted' end as stop from (select distinct cse_filing_id from filings) f
+left join (select cse_filing_id, bool_or(document_type_status in ('confirmed', 'document_only')) as ok from classifications group by all) c on c.cse_filing_id = f.cse_filing_id left join (select distinct cse_filing_id from extraction_runs) e on e.cse_filing_id = f.cse_filing_id)
+select stop, coalesce(stop in ('not_classified', 'not_extracted'), false) as operational, count(*) as n from reached group by all""")
+def f12_operational_stops(spark, d):
+    """Where filings stop, and whether that is a matter of operation and not of a rule's own refusal."""
+    c = table(spark, d, "classifications").groupBy("cse_filing_id").agg(F.bool_or(F.col("document_type_status").isin("confirmed", "document_only")).alias("ok"))
+    e = table(spark, d, "extraction_runs").select("cse_filing_id").distinct().withColumn("x", F.lit(True))
+    f = table(spark, d, "filings").select("cse_filing_id").distinct().join(c, "cse_filing_id", "left").join(e, "cse_filing_id", "left")
+    stop = F.when(F.col("ok").isNull(), "not_classified").when(~F.col("ok"), "period_undetermined").when(F.col("x").isNull(), "not_extracted")
+    return f.groupBy(stop.alias("stop")).agg(_n().alias("n")).select("stop", F.coalesce(F.col("stop").isin("not_classified", "not_extracted"), F.lit(False)).alias("operational"), "n")

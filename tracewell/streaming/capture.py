@@ -47,35 +47,46 @@ def changed_readings(stream: DataFrame, key: str, sequence: str, value: str) ->
     schema = f"`{key}` {kinds[key]}, `{sequence}` {kinds[sequence]}, `{value}` {kinds[value]}, late boolean"
 
     def step(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        # A key's rows of one trigger are put in order by one task; what a trigger reads bounds them.
+        rows = pd.concat([f[[sequence, value]] for f in frames]).sort_values(sequence, kind="stable", ignore_index=True)
         seq, last = state.get if state.exists else (None, None)
-        rows = pd.concat(list(frames)).sort_values(sequence, kind="stable")
-        out: list[tuple[Any, ...]] = []
-        for s, v in zip(rows[sequence].tolist(), rows[value].tolist()):
-            if seq is not None and s < seq:
-                out.append((k[0], s, v, True))
-                continue
-            if seq is not None and v != last:
-                out.append((k[0], s, v, False))
-            seq, last = s, v
-        state.update((seq, last))
-        yield pd.DataFrame(out, columns=[key, sequence, value, "late"])
+        late = rows[sequence] < seq if seq is not None else pd.Series(False, index=rows.index)
+        new = rows[~late]
+        before = new[value].shift(1)
+        if len(new):
+            before.iloc[0] = last if seq is not None else new[value].iloc[0]
+            state.update((new[sequence].iloc[-1].item() if hasattr(new[sequence].iloc[-1], "item") else new[sequence].iloc[-1], new[value].iloc[-1].item() if hasattr(new[value].iloc[-1], "item") else new[value].iloc[-1]))
+        out = pd.concat([rows[late].assign(late=True), new[new[value] != before].assign(late=False)])
+        out.insert(0, key, k[0])
+        yield out
 
     return stream.groupBy(key).applyInPandasWithState(step, schema, f"seq {kinds[sequence]}, last {kinds[value]}", "append", GroupStateTimeout.NoTimeout)
 
 
-def rederive(stream: DataFrame, derive: Callable[[DataFrame], DataFrame], append_to: str, derived: str, key: str, checkpoint: str):
-    """Append every micro-batch to the log and derive the touched keys again from the whole log.
+# Parts of the log by hash of the key, and the column that holds their number.
+LOG_PARTS = 256
+
+
+def rederive(stream: DataFrame, derive: Callable[[DataFrame], DataFrame], append_to: str, derived: str, key: str, checkpoint: str, parts: int = LOG_PARTS):
+    """Append every micro-batch to the log and derive the touched keys again from all that the log has of them.
 
     Late rows are therefore never dropped: they change the derived rows of
-    their key.  Batches are written under their number, so a replayed batch
-    replaces its own files and nothing is counted twice.
+    their key.  The log lies in ``parts`` parts by hash of the key, and only
+    the parts that a batch touches are read.  Batches are written under their
+    number, so a replayed batch replaces its own files and nothing is counted
+    twice.
     """
 
     def batch(rows: DataFrame, number: int) -> None:
         spark = rows.sparkSession
-        rows.withColumn("_batch", F.lit(number)).write.mode("overwrite").parquet(f"{append_to}/_batch_no={number}")
-        log = spark.read.option("basePath", append_to).parquet(append_to).drop("_batch", "_batch_no")
-        touched = spark.read.parquet(f"{append_to}/_batch_no={number}").select(key).distinct()
-        derive(log.join(touched, key, "left_semi")).withColumn("_batch", F.lit(number)).write.mode("overwrite").parquet(f"{derived}/_batch_no={number}")
+        placed = rows.withColumns({"_batch": F.lit(number), "_part": F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")})
+        placed.repartition("_part").write.mode("overwrite").partitionBy("_part").parquet(f"{append_to}/_batch_no={number}")
+        log = spark.read.option("basePath", append_to).parquet(append_to)
+        here = log.where(F.col("_batch_no") == number)
+        touched = here.select(key).distinct()
+        # At most as many numbers as there are parts; as literals they select folders.
+        numbers = [r["_part"] for r in here.select("_part").distinct().collect()]
+        known = log.where(F.col("_part").isin(numbers)).drop("_batch", "_batch_no", "_part")
+        derive(known.join(touched, key, "left_semi")).withColumn("_batch", F.lit(number)).write.mode("overwrite").parquet(f"{derived}/_batch_no={number}")
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
