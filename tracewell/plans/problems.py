@@ -58,6 +58,12 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return found.select(F.col("record_id").alias("raw_id"), F.col("root_no").alias("company_no"), "block_name", "item_path", "key_value")
 
 
+def p2_places(spark: SparkSession, d: str) -> DataFrame:
+    """Where every object of the company bodies stands, its parent by its path."""
+    bridge, _ = nested.flatten_objects(table(spark, d, "company_info_raw"), "raw_id", "body", COMPANY_BODY)
+    return bridge.select(F.col("record_id").alias("raw_id"), F.col("root_no").alias("company_no"), "path", "depth", "field_name")
+
+
 def p2_bridge(spark: SparkSession, d: str) -> DataFrame:
     """Every occurrence of an object in the company bodies, down from the company object."""
     bridge, _ = nested.flatten_objects(table(spark, d, "company_info_raw"), "raw_id", "body", COMPANY_BODY)
@@ -152,4 +158,4 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return _as_known(spark, d, True)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_bridge, p2_objects, p3_found, p3_values, p4_found, p4_source_scales, p5_found, p6_found, p7_found, p7_known)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_places, p2_bridge, p2_objects, p3_found, p3_values, p4_found, p4_source_scales, p5_found, p6_found, p7_found, p7_known)}
