@@ -199,11 +199,6 @@ def compact_identities(rows: DataFrame, identity: Sequence[Column], row_id: str,
     return compact.withColumn("_h", F.xxhash64("_id"))
 
 
-def _clustered(compact: DataFrame, tasks: int) -> DataFrame:
-    """Compact rows gathered by bucket, each bucket over an eighth of the tasks, so that a bucket has few files and a hot one no single writer."""
-    return compact.repartition(tasks, F.col("_tb"), F.pmod(F.xxhash64("_row"), F.lit(max(1, tasks // 8))))
-
-
 def _tasks(spark: SparkSession, n_rows: int) -> int:
     return max(spark.sparkContext.defaultParallelism, -(-n_rows // ROWS_PER_SHARD))
 
@@ -244,7 +239,8 @@ def superfluous(rows: DataFrame, identity: Sequence[Column], row_id: str, order:
     gives an empty result.
     """
     tasks = _tasks(rows.sparkSession, rows.count())
-    store = materialize(_clustered(compact_identities(rows, identity, row_id, order, time), tasks), "identities", ("_tb",))
+    # Written by no more tasks than screen it, so that a bucket has few files; without a shuffle.
+    store = materialize(compact_identities(rows, identity, row_id, order, time).coalesce(tasks), "identities", ("_tb",))
     screened = materialize(screen(store, tasks), "screened")
     look = screened.where(F.col("_bits").isNull()).select("_tb", "_h")
     found = store.join(look, ["_tb", "_h"], "left_semi").withColumn("_held", F.lit(False))
@@ -281,7 +277,7 @@ class IdentityStore:
         """
         compact = compact_identities(rows, identity, row_id, order, time)
         here = f"{self.path}/identities/_batch={batch_no}"
-        _clustered(compact, _tasks(self.spark, rows.count())).write.mode("overwrite").partitionBy("_tb").parquet(here)
+        compact.coalesce(_tasks(self.spark, rows.count())).write.mode("overwrite").partitionBy("_tb").parquet(here)
         kind = T.StructType([f for f in compact.schema.fields if f.name != "_tb"] + [T.StructField("_tb", T.IntegerType())])
         stored = self.spark.read.schema(kind).parquet(here)
         kept = self._kept(batch_no, "_shard int, _tb int, _bits binary") if batch_no > 0 else None
