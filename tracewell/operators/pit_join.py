@@ -3,7 +3,9 @@
 Change rows become validity intervals [change, next change).  Intervals are
 exploded into time buckets, events fall into one bucket each, and the two meet
 in an equi-join on (entity, bucket) with half-open containment, so an event
-finds at most one interval and nothing known later.
+finds at most one interval and nothing known later.  An entity's last interval
+has no end and is not exploded: events from its start on meet it in a join by
+entity alone, and only the others go on to the buckets.
 
 Buckets adapt to the data: a bucket of the base width that holds more than
 ``VERSIONS_PER_BUCKET`` versions of its entity is split into 64 narrower ones,
@@ -152,8 +154,8 @@ def known_states(events: DataFrame, entity: str, event_time: str, changes: Seque
     Of several changes of an entity at one instant the one with the largest
     ``rank`` (compared column by column) counts.  A change holds from its own
     instant on, inclusive.  With ``final_prefix`` the state that the whole
-    table says is added too.  The events pass once over the entities and once
-    over the buckets of each table.
+    table says is added too.  The events pass once over the entities, and those
+    before the last change of a table over its buckets.
 
     Events before the first change, without entity, or without time have null
     values; every event row is kept once.  Changes without entity or time say
@@ -175,15 +177,18 @@ def known_states(events: DataFrame, entity: str, event_time: str, changes: Seque
         per = materialize(per, "pit-changes")
         tables.append((per, _full_buckets(per)))
         top = F.max("_rank") if c.state == "highest" else F.max_by("_rank", "_from")
-        ends = [F.max("_from").alias(f"_last{i}"), *([top.alias(f"_final{i}")] if final_prefix is not None else [])]
-        placed = placed.join(per.groupBy("_e").agg(*ends), "_e", "left")
+        placed = placed.join(per.groupBy("_e").agg(F.max("_from").alias(f"_last{i}"), top.alias(f"_final{i}")), "_e", "left")
+    # Divided below, by each table, into the events before its last change and the others.
+    placed = materialize(placed, "pit-events")
     for i, (c, (per, full)) in enumerate(zip(changes, tables)):
-        # The last interval is open: it stands in its own bucket, where the events after it are sent.
-        spans = _exploded(_intervals(per, full, c.state).withColumn("_last_in", F.coalesce(F.col("_until") - 1, F.col("_from"))), full)
+        # From an entity's last change on its state is the final one, which the event has met already.
+        before = F.coalesce(F.col("_t") < F.col(f"_last{i}"), F.lit(False))
+        later = placed.where(~before).withColumn(f"_rank{i}", F.when(F.col("_t").isNotNull(), F.col(f"_final{i}")))
+        spans = _exploded(_intervals(per, full, c.state).where(F.col("_until").isNotNull()).withColumn("_last_in", F.col("_until") - 1), full)
         spans = spans.select(F.col("_e").alias("_se"), F.col("_l").alias("_sl"), F.col("_b").alias("_sb"), "_from", "_until", F.col("_rank").alias(f"_rank{i}"))
-        placed = _in_leaf(placed.withColumn("_at", F.least("_t", f"_last{i}")), "_at", full)
-        held = (F.col("_e") == F.col("_se")) & (F.col("_l") == F.col("_sl")) & (F.col("_b") == F.col("_sb")) & (F.col("_from") <= F.col("_t")) & (F.col("_until").isNull() | (F.col("_t") < F.col("_until")))
-        placed = placed.join(spans, held, "left").drop("_se", "_sl", "_sb", "_from", "_until", "_l", "_b", "_at", f"_last{i}")
+        held = (F.col("_e") == F.col("_se")) & (F.col("_l") == F.col("_sl")) & (F.col("_b") == F.col("_sb")) & (F.col("_from") <= F.col("_t")) & (F.col("_t") < F.col("_until"))
+        met = _in_leaf(placed.where(before).withColumn("_at", F.col("_t")), "_at", full).join(spans, held, "left")
+        placed = met.select(*later.columns).unionByName(later)
     out = [F.col("_event").getField(n).alias(n) for n in kept]
     for i, c in enumerate(changes):
         out += [F.col(f"_rank{i}").getField(n).alias(n) for n in c.rank]
