@@ -6,6 +6,9 @@ from decimal import Decimal
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from tracewell import asof
 from tracewell.asof import AsOf, Evidence, QueryRefused
 
 UTC = dt.UTC
@@ -59,3 +62,24 @@ def test_answers_do_not_change_when_the_future_is_taken_away(spark, seed):
         q = AsOf("known", day(t))
         past = [d for d in data if d[5] is not None and d[5] <= day(t).replace(tzinfo=None)]
         assert sorted(map(str, world(spark, data).answer(q).collect())) == sorted(map(str, world(spark, past).answer(q).collect()))
+
+
+def test_seal_does_not_depend_on_order(spark):
+    df = spark.createDataFrame([(i, None if i % 3 == 0 else f"v{i}") for i in range(50)], "i int, v string")
+    one = asof.seal(df).first()
+    assert one["n_rows"] == 50 and asof.seal(df.repartition(7).orderBy(F.desc("i"))).first() == one
+    assert asof.seal(df.where("i <> 9")).first()["result_hash"] != one["result_hash"]
+
+
+def test_configurations_in_force(spark, tmp_path):
+    day = lambda n: dt.datetime(2024, 1, n, tzinfo=dt.UTC)
+    store = asof.Configurations(spark, f"file://{tmp_path}/c")
+    assert store.in_force(day(9)) is None
+    a, b = store.register({"rule": 1, "x": [1]}, day(1)), store.register({"rule": 2}, day(1))
+    assert store.register({"x": [1], "rule": 1}, day(5)) == a != b
+    assert [store.designate(a, day(2)), store.designate(b, day(4)), store.designate(a, day(4))] == [1, 2, 3]
+    assert store.in_force(day(1)) is None and store.in_force(day(3)) == {"rule": 1, "x": [1]} and store.in_force(day(4)) == {"rule": 1, "x": [1]}
+    with pytest.raises(asof.QueryRefused, match="unknown_configuration"):
+        store.designate("none", day(5))
+    with pytest.raises(asof.QueryRefused, match="naive_timestamp"):
+        store.register({}, dt.datetime(2024, 1, 1))

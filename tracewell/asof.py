@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import hashlib
+import json
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.operators import evidence
+from tracewell.operators import evidence, ordered
 
 # Modes, the label of their answers, and whether they take T and H.
 MODES = {"recorded": ("known_recorded", True, False), "known": ("known", True, False), "available": ("reconstructed", True, True), "current": ("retrospective_current", False, True)}
@@ -108,3 +110,63 @@ class Evidence:
             reasons.append(F.when(a > at, "not_available_by_cutoff"))
         rows = self.rows.where(F.col(self.fact).isin(list(q.facts))) if q.facts else self.rows
         return rows.select("*", F.explode(F.array_compact(F.array(*reasons))).alias("reason"))
+
+    def availability(self, facts: tuple = ()) -> DataFrame:
+        """(document, available_at, known_at, n_facts): when each document was first public and first known, null if never stated."""
+        rows = self.rows.where(F.col(self.fact).isin(list(facts))) if facts else self.rows
+        return rows.groupBy(self.document).agg(F.min(self.available_at).alias("available_at"), F.min(self.known_at).alias("known_at"), F.count_distinct(self.fact).alias("n_facts"))
+
+
+def seal(answer: DataFrame) -> DataFrame:
+    """(n_rows, result_hash) of an answer: equal exactly for equal rows, in whatever order and partitions they come."""
+    limbs = ordered.table_digest(answer)
+    return limbs.select("n_rows", F.sha2(F.concat_ws(".", *[F.col(c).cast("string") for c in limbs.columns]), 256).alias("result_hash"))
+
+
+class Configurations:
+    """Append-only register of configurations by content hash, and of which one is designated from when on.
+
+    ``path`` is a folder of Parquet files.  Nothing is changed in place: what
+    was in force at an instant stays answerable.
+    """
+
+    _KINDS = {"configurations": "key string, body string, recorded_at timestamp", "designations": "number long, key string, recorded_at timestamp"}
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _append(self, name: str, row: tuple) -> None:
+        self.spark.createDataFrame([row], self._KINDS[name]).coalesce(1).write.mode("append").parquet(f"{self.path}/{name}")
+
+    def _rows(self, name: str) -> DataFrame:
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        if not p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+            return self.spark.createDataFrame([], self._KINDS[name])
+        return self.spark.read.schema(self._KINDS[name]).parquet(f"{self.path}/{name}")
+
+    def register(self, body: Mapping, recorded_at: dt.datetime) -> str:
+        """The key of a configuration; one that is held already is not written again."""
+        if recorded_at.tzinfo is None:
+            raise QueryRefused("naive_timestamp")
+        text = json.dumps(body, sort_keys=True, separators=(",", ":"), ensure_ascii=True)
+        key = hashlib.sha256(text.encode()).hexdigest()
+        if self._rows("configurations").where(F.col("key") == key).isEmpty():
+            self._append("configurations", (key, text, recorded_at))
+        return key
+
+    def designate(self, key: str, recorded_at: dt.datetime) -> int:
+        """The number of a designation, one more than the last."""
+        if recorded_at.tzinfo is None:
+            raise QueryRefused("naive_timestamp")
+        if self._rows("configurations").where(F.col("key") == key).isEmpty():
+            raise QueryRefused("unknown_configuration")
+        number = (self._rows("designations").agg(F.max("number")).first()[0] or 0) + 1
+        self._append("designations", (number, key, recorded_at))
+        return number
+
+    def in_force(self, at: dt.datetime) -> dict | None:
+        """The configuration of the last designation recorded by an instant; None before the first."""
+        rows = self._rows("designations").where(F.col("recorded_at") <= F.lit(at)).agg(F.max_by("key", "number").alias("key"))
+        held = rows.join(self._rows("configurations").select("key", "body"), "key").select("body").first()
+        return None if held is None else json.loads(held[0])

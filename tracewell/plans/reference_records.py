@@ -439,3 +439,54 @@ def f12_operational_stops(spark, d):
     f = table(spark, d, "filings").select("cse_filing_id").distinct().join(c, "cse_filing_id", "left").join(e, "cse_filing_id", "left")
     stop = F.when(F.col("ok").isNull(), "not_classified").when(~F.col("ok"), "period_undetermined").when(F.col("x").isNull(), "not_extracted")
     return f.groupBy(stop.alias("stop")).agg(_n().alias("n")).select("stop", F.coalesce(F.col("stop").isin("not_classified", "not_extracted"), F.lit(False)).alias("operational"), "n")
+
+
+@_query(f"""with r as (select distinct f5_run_id, cse_filing_id, document_sha256, {_LINKS.format('classification_id')} as k from extraction_runs), c as (select {_LINKS.format('id')} as k, min(cse_filing_id) as f, min(document_sha256) as s from classifications group by all)
+select r.f5_run_id, case when r.k is null then 'no_reference' when c.k is null then 'missing' when c.f <> r.cse_filing_id then 'foreign_filing' when c.s <> r.document_sha256 then 'foreign_document' else 'own' end as verdict from r left join c using (k)""")
+def d33c_ownership_guard(spark, d):
+    """Whether what a run refers to belongs to the run's own filing and document."""
+    c = table(spark, d, "classifications").groupBy(keys.uuid_key("id").alias("k")).agg(F.min("cse_filing_id").alias("f"), F.min("document_sha256").alias("s"), F.lit(True).alias("there")).where(F.col("k").isNotNull())
+    r = table(spark, d, "extraction_runs").select("f5_run_id", "cse_filing_id", "document_sha256", keys.uuid_key("classification_id").alias("k")).distinct().join(c, "k", "left")
+    verdict = F.when(F.col("k").isNull(), "no_reference").when(F.col("there").isNull(), "missing").when(F.col("f") != F.col("cse_filing_id"), "foreign_filing").when(F.col("s") != F.col("document_sha256"), "foreign_document").otherwise("own")
+    return r.select("f5_run_id", verdict.alias("verdict"))
+
+
+@_query("""with r as (select distinct f5_run_id, document_sha256, builder_version, mapper_version, recorded_at from extraction_runs), n as (select *, list_filter([case when builder_version not in ('f5.4') then 'builder_not_accepted' end, case when mapper_version not in ('m2', 'm3') then 'mapper_not_accepted' end, case when recorded_at is null then 'recorded_at_missing' end], lambda x: x is not null) as why from r),
+top as (select document_sha256, max((recorded_at, f5_run_id)) as best from n where len(why) = 0 group by all)
+select f5_run_id, case when len(why) > 0 then array_to_string(why, ',') when (recorded_at, f5_run_id) = best then 'selected' else 'older' end as verdict from n left join top using (document_sha256)""")
+def d17_run_verdicts(spark, d):
+    """Every run: selected for its document, older than that, or why it is not accepted."""
+    r = table(spark, d, "extraction_runs").select("f5_run_id", "document_sha256", "builder_version", "mapper_version", "recorded_at").distinct()
+    why = F.array_compact(F.array(F.when(~F.col("builder_version").isin("f5.4"), "builder_not_accepted"), F.when(~F.col("mapper_version").isin("m2", "m3"), "mapper_not_accepted"), F.when(F.col("recorded_at").isNull(), "recorded_at_missing")))
+    r = r.withColumns({"why": why, "at": F.struct("recorded_at", "f5_run_id")})
+    top = r.where(F.size("why") == 0).groupBy("document_sha256").agg(F.max("at").alias("best"))
+    verdict = F.when(F.size("why") > 0, F.array_join("why", ",")).when(F.col("at") == F.col("best"), "selected").otherwise("older")
+    return r.join(top, "document_sha256", "left").select("f5_run_id", verdict.alias("verdict"))
+
+
+@_query("""with v as (select cse_filing_id, document_sha256 as sha, min(cdn_last_modified) as t, count(*) filter (where cdn_last_modified is null) as lacks from (select distinct * from extraction_runs) group by all),
+f as (select cse_filing_id, count(*) as n, sum(lacks) as lacks, max(t) as newest, count(*) - count(distinct t) as ties from v group by all)
+select v.cse_filing_id, v.sha, case when f.n = 1 then 'only' when f.lacks > 0 then 'ambiguous:time_unknown' when f.ties > 0 then 'ambiguous:same_time' when v.t = f.newest then 'current' else 'superseded' end as state from v join f using (cse_filing_id)""")
+def d23_supersession_states(spark, d):
+    """Versions of a filing in strict order of availability; with an unknown or equal time nothing is dropped."""
+    v = table(spark, d, "extraction_runs").distinct().groupBy("cse_filing_id", F.col("document_sha256").alias("sha")).agg(F.min("cdn_last_modified").alias("at"), F.count_if(F.col("cdn_last_modified").isNull()).alias("lacks"))
+    f = v.groupBy("cse_filing_id").agg(_n().alias("n"), F.sum("lacks").alias("all_lacks"), F.max("at").alias("newest"), (_n() - F.count_distinct("at")).alias("ties"))
+    state = F.when(F.col("n") == 1, "only").when(F.col("all_lacks") > 0, "ambiguous:time_unknown").when(F.col("ties") > 0, "ambiguous:same_time").when(F.col("at") == F.col("newest"), "current").otherwise("superseded")
+    return v.join(f, "cse_filing_id").select("cse_filing_id", "sha", state.alias("state"))
+
+
+def _said_sql(rows: str) -> str:
+    return f"select cse_filing_id, concat_ws('~', " + ", ".join(f"coalesce(json_extract(raw_item::json, '$.{k}')::varchar, '-')" for k in ("authorizedDate", "fileText", "id", "manualDate", "name", "path", "path2", "symbol", "uploadedDate")) + f") as content from {rows}"
+
+
+@_query("with s as (select distinct * from (" + _said_sql("listing_snapshots") + ")), o as (select distinct * from (" + _said_sql("filing_observations") + """)), ids as (select cse_filing_id, bool_or(side = 's') as l, bool_or(side = 'o') as r from (select cse_filing_id, 's' as side from s union all select cse_filing_id, 'o' from o) group by all)
+select case when not r then 'listed_only' when not l then 'observed_only' when exists (select 1 from s join o using (cse_filing_id, content) where s.cse_filing_id = ids.cse_filing_id) then 'same_content' else 'content_differs' end as verdict, count(*) as n from ids group by all""")
+def d38_archive_verdicts(spark, d):
+    """Two stores of the same entries against each other, both ways and by content."""
+    def entries(name, side):
+        return table(spark, d, name).select("cse_filing_id", F.sha2(listing.raw_content("raw_item"), 256).alias("h"), F.lit(side).alias("side"))
+
+    both = entries("listing_snapshots", 1).unionByName(entries("filing_observations", 2))
+    per = both.groupBy("cse_filing_id", "h").agg(F.bit_or("side").alias("m")).groupBy("cse_filing_id").agg(F.bit_or("m").alias("any"), F.max("m").alias("most"))
+    verdict = F.when(F.col("any") == 1, "listed_only").when(F.col("any") == 2, "observed_only").when(F.col("most") == 3, "same_content").otherwise("content_differs")
+    return per.groupBy(verdict.alias("verdict")).agg(_n().alias("n"))
