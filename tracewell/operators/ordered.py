@@ -28,10 +28,10 @@ def with_previous(rows: DataFrame, keys: Sequence[str], order: Sequence[str], co
     """
     keys, order = list(keys), list(order)
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_ROWS)
-    hot = materialize(counts, "hot-keys")
-    total = hot.agg(F.sum("_n")).first()[0]
+    total = counts.agg(F.sum("_n")).first()[0]
     if not total:
         return _previous(rows, keys, order, columns, carry, sums)
+    hot = materialize(counts, "hot-keys")
     same = lambda a, b: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys]
     cold = rows.alias("r").join(hot.alias("h"), same("r", "h"), "left_anti")
     many = rows.alias("r").join(hot.alias("h"), same("r", "h"), "left_semi")

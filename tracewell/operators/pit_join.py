@@ -57,9 +57,10 @@ def _full_buckets(per: DataFrame) -> list[DataFrame]:
     while _width(len(out)) > 1:
         level = len(out)
         counted = inside.withColumn("_b", _start(F.col("_from"), level)).groupBy("_e", "_b").agg(F.count(F.lit(1)).alias("_n"))
-        full = materialize(counted.where(F.col("_n") > VERSIONS_PER_BUCKET).select("_e", "_b"), "pit-full")
+        full = counted.where(F.col("_n") > VERSIONS_PER_BUCKET).select("_e", "_b")
         if full.isEmpty():
             break
+        full = materialize(full, "pit-full")
         out.append(full)
         inside = inside.withColumn("_b", _start(F.col("_from"), level)).join(full, ["_e", "_b"], "left_semi").drop("_b")
     return out

@@ -139,6 +139,10 @@ def _whole(t: str, words) -> str:
 
 _AMOUNT = rf"^(?P<ca>{_MONEYS})?\s*(?P<ua>{_UNITS.split('|', 1)[1]})?\s*(?P<minus>-?)\s*(?P<n>[0-9](?:[0-9.,' ]*[0-9])?)\s*(?P<ub>{_UNITS})?\s*(?P<cb>{_MONEYS})?\s*(?P<uc>{_UNITS})?$"
 
+_HEADINGS = f"""said as (select text, u, c from (select text, {_said("t")[0]} as u, {_said("t")[1]} as c from (select text, {_plain("text")} as t from (select label_raw as text from v union select currency from v union select unnest(string_split(scale_evidence, ' | ')) from v) where text is not null))),
+stated as (select text, coalesce(u, case when c is not null then 10000 end) as unit, c as code from said),
+heads as (select scale_evidence, case when count(distinct unit) = 1 then min(unit) end as unit, case when count(distinct code) = 1 then min(code) end as code from (select distinct scale_evidence, unnest(string_split(scale_evidence, ' | ')) as text from v) join stated using (text) group by all)"""
+
 _AMOUNTS = f"""
 v as (select distinct value_id, raw_value, label_raw, reported_scale, scale_evidence, currency, printed_decimals from reported_values),
 raws as (select distinct raw_value, printed_decimals from v where raw_value is not null),
@@ -152,9 +156,7 @@ r7 as (select *, case when dots > 0 and commas > 0 then case when dot_end < comm
   when commas > 0 then case when commas > 1 or comma_end = 4 then replace(d, ',', '') else replace(d, ',', '.') end when dots > 1 or (dots = 1 and printed_decimals = 0 and dot_end = 4) then replace(d, '.', '') else d end as plain from r6),
 amounts as (select raw_value, printed_decimals, (try_cast(plain as decimal(38,6)) * case when paren or signed or m.minus = '-' then -1 else 1 end) as number,
   coalesce({_whole("nullif(m.ub, '')", money.UNIT_WORDS)}, {_whole("nullif(m.uc, '')", money.UNIT_WORDS)}, {_whole("nullif(m.ua, '')", money.UNIT_WORDS)}) as unit, coalesce({_whole("nullif(m.ca, '')", money.CURRENCY_WORDS)}, {_whole("nullif(m.cb, '')", money.CURRENCY_WORDS)}) as code from r7),
-said as (select text, u, c from (select text, {_said("t")[0]} as u, {_said("t")[1]} as c from (select text, {_plain("text")} as t from (select label_raw as text from v union select currency from v union select unnest(string_split(scale_evidence, ' | ')) from v) where text is not null))),
-stated as (select text, coalesce(u, case when c is not null then 10000 end) as unit, c as code from said),
-heads as (select scale_evidence, case when count(distinct unit) = 1 then min(unit) end as unit, case when count(distinct code) = 1 then min(code) end as code from (select distinct scale_evidence, unnest(string_split(scale_evidence, ' | ')) as text from v) join stated using (text) group by all),
+{_HEADINGS},
 j as (select v.value_id, a.number, coalesce(a.unit, l.unit, case when v.reported_scale > 0 then v.reported_scale * 10000 end, h.unit) as unit, coalesce(a.code, l.code, c.code, h.code) as code
   from v join amounts a on a.raw_value = v.raw_value and a.printed_decimals is not distinct from v.printed_decimals left join stated l on l.text = v.label_raw left join stated c on c.text = v.currency left join heads h on h.scale_evidence = v.scale_evidence where a.number is not null),
 e as (select value_id, code, abs(number * 1000000)::hugeint * unit::hugeint as big, number < 0 as neg from j where unit is not null and code is not null)

@@ -20,11 +20,15 @@ def s7_listing_items(spark, d):
     return listings.parse_items(table(spark, d, "filing_observations"), "raw_item").select("delivery_no", "item_id", "path", "file_text", "manual_date", "uploaded")
 
 
-@_query("""with r as (select query_symbol, raw_id, row_number() over (partition by query_symbol order by raw_id) as rn, count(*) over (partition by query_symbol) as n from (select distinct query_symbol, raw_id from company_info_raw))
-select query_symbol, raw_id as first_raw_id, n as n_seen from r where rn = 1""")
+@_query("""with e as (select snapshot_no, row_number() over (partition by snapshot_no order by taken_at, cse_filing_id, query_symbol nulls first, source_bucket nulls first, raw_item) - 1 as place, coalesce(nullif(json_extract_string(raw_item::json, '$.symbol'), ''), nullif(json_extract_string(raw_item::json, '$.Symbol'), ''), nullif(json_extract_string(raw_item::json, '$.securityCode'), '')) as symbol from listing_snapshots)
+select snapshot_no, symbol, min(place) as first_place, count(*) as n_seen from e where symbol is not null group by all""")
 def s5_universe_entries(spark, d):
-    rows = table(spark, d, "company_info_raw").select("query_symbol", "raw_id").distinct()
-    return rows.groupBy("query_symbol").agg(F.min("raw_id").alias("first_raw_id"), F.count(F.lit(1)).alias("n_seen"))
+    """Symbols of a payload in its order: the place of each one's first entry, and how often it comes."""
+    rows = table(spark, d, "listing_snapshots").select("snapshot_no", "taken_at", "cse_filing_id", "query_symbol", "source_bucket", "raw_item")
+    v = F.try_parse_json("raw_item")
+    symbol = F.coalesce(*[F.nullif(F.try_variant_get(v, f"$.{k}", "string"), F.lit("")) for k in ("symbol", "Symbol", "securityCode")])
+    placed = ordered.with_previous(rows, ["snapshot_no"], ["taken_at", "cse_filing_id", "query_symbol", "source_bucket", "raw_item"]).select("snapshot_no", (F.col("_seq") - 1).alias("place"), symbol.alias("symbol"))
+    return placed.where(F.col("symbol").isNotNull()).groupBy("snapshot_no", "symbol").agg(F.min("place").alias("first_place"), F.count(F.lit(1)).alias("n_seen"))
 
 
 @_query("select o_orderkey, o_totalprice from orders where o_orderkey not in (select o_orderkey from orders where o_orderdate < timestamp '1997-01-01')")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tracewell.functions import instants, keys, texts
+from tracewell.functions import instants, keys, money, texts
 from tracewell.operators import ordered
+from tracewell.plans.problems_sql import _HEADINGS, _INSTANTS
 from tracewell.plans.reference import QUERIES, SQL, _query
 from tracewell.sources import listings
 from tracewell.sources.tables import table
@@ -70,10 +72,23 @@ def x16_duration_phrases(spark, d):
     return table(spark, d, "filings").select("delivery_no", p.getField("months").alias("months"), p.getField("label").alias("label"))
 
 
-@_query("""select feed_row_no, epoch_us(try_strptime(uploaded_date, '%d %b %Y %I:%M:%S %p') - interval 330 minute) as utc_us from feed_items where try_strptime(uploaded_date, '%d %b %Y %I:%M:%S %p') is not null""")
+@_query("with found as (with " + _INSTANTS + ") select row_no as feed_row_no, utc_us from found where field_name = 'uploaded_date'")
 def x19_feed_dates(spark, d):
-    rows = table(spark, d, "feed_items").where(F.col("uploaded_date").rlike(r"^\d{2} [A-Z][a-z]{2} \d{4} \d{2}:\d{2}:\d{2} [AP]M$")).select("feed_row_no", "uploaded_date")
-    return keys.kept_once(instants.with_utc_micros(rows, "uploaded_date", None, "utc_us"), F.col("utc_us").isNotNull()).select("feed_row_no", "utc_us")
+    """Every upload date of the feed that means an instant, whatever its form."""
+    rows = table(spark, d, "feed_items").select("feed_row_no", "uploaded_date")
+    return instants.with_utc_micros(rows, "uploaded_date", None, "utc_us").where(F.col("utc_us").isNotNull()).select("feed_row_no", "utc_us")
+
+
+@_query("with v as (select distinct scale_evidence, null::varchar as label_raw, null::varchar as currency from reported_values), " + _HEADINGS + " select v.scale_evidence, h.unit::bigint as unit_e4, h.code as currency_code from v left join heads h on h.scale_evidence = v.scale_evidence")
+def x26_scale_evidence(spark, d):
+    """What each heading text says of scale and currency; headings that differ say nothing."""
+    @F.pandas_udf("unit_e4 long, currency_code string")
+    def said(texts_: pd.Series) -> pd.DataFrame:
+        found = [money.stated_by_headings(t) for t in texts_]
+        return pd.DataFrame({"unit_e4": pd.array([u for u, _ in found], dtype="Int64"), "currency_code": [c for _, c in found]})
+
+    rows = table(spark, d, "reported_values").select("scale_evidence").distinct()
+    return rows.select("scale_evidence", said("scale_evidence").alias("x")).select("scale_evidence", "x.*")
 
 
 @_query(r"""select regexp_extract(isin, '^ZZ(\d{4})', 1) as issuer_code, count(distinct raw_id) as n_bodies, count(distinct isin) as n_isins
