@@ -14,6 +14,12 @@ from tracewell.sources.shared import materialize
 HOT_ROWS = 5_000_000
 
 
+def hot_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """(keys, _n) of the keys with more than ``HOT_ROWS`` rows; None, after one aggregation, if there is none."""
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_ROWS)
+    return None if counts.isEmpty() else materialize(counts, "hot-keys")
+
+
 def with_previous(rows: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str] = (), carry: Sequence[str] = (), sums: Sequence[str] = ()) -> DataFrame:
     """``rows`` with what came before each within its key, in a total ``order``.
 
@@ -27,16 +33,15 @@ def with_previous(rows: DataFrame, keys: Sequence[str], order: Sequence[str], co
     its own, and ranges are stitched over one summary row each.
     """
     keys, order = list(keys), list(order)
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_ROWS)
-    total = counts.agg(F.sum("_n")).first()[0]
-    if not total:
-        return _previous(rows, keys, order, columns, carry, sums)
-    hot = materialize(counts, "hot-keys")
+    hot = hot_keys(rows, keys)
+    if hot is None:
+        return one_window(rows, keys, order, columns, carry, sums)
+    total = hot.agg(F.sum("_n")).first()[0]
     same = lambda a, b: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys]
     cold = rows.alias("r").join(hot.alias("h"), same("r", "h"), "left_anti")
     many = rows.alias("r").join(hot.alias("h"), same("r", "h"), "left_semi")
     ranged = materialize(many.repartitionByRange(max(2, -(-total // (HOT_ROWS // 4))), *keys, *order).withColumn("_range", F.spark_partition_id()), "ranges")
-    inside = _previous(ranged, [*keys, "_range"], order, columns, carry, sums)
+    inside = one_window(ranged, [*keys, "_range"], order, columns, carry, sums)
     at = F.struct(*order)
     last = [F.count(F.lit(1)).alias("_c"), F.max_by(F.struct(F.lit(True).alias("_"), *columns), at).alias("_l")]
     last += [F.max_by(F.struct(c), F.when(F.col(c).isNotNull(), at)).getField(c).alias(f"_k_{c}") for c in carry] + [F.sum(c).alias(f"_s_{c}") for c in sums]
@@ -49,10 +54,11 @@ def with_previous(rows: DataFrame, keys: Sequence[str], order: Sequence[str], co
     prev = F.when(a("_seq") > 1, a("_prev")).when(b("_l").isNotNull(), F.struct(*[F.col(f"b._l.{c}").alias(c) for c in columns])) if columns else F.lit(None)
     before = [F.when(a(f"_before_{c}").isNull(), b(f"_s_{c}")).otherwise(a(f"_before_{c}") + F.coalesce(b(f"_s_{c}"), F.lit(0))).alias(f"_before_{c}") for c in sums]
     stitched = joined.select(*[a(f"`{c}`") for c in rows.columns], (a("_seq") + b("_c")).alias("_seq"), *([prev.alias("_prev")] if columns else []), *[F.coalesce(a(f"_known_{c}"), b(f"_k_{c}")).alias(f"_known_{c}") for c in carry], *before)
-    return _previous(cold, keys, order, columns, carry, sums).unionByName(stitched)
+    return one_window(cold, keys, order, columns, carry, sums).unionByName(stitched)
 
 
-def _previous(rows: DataFrame, keys: list[str], order: list[str], columns: Sequence[str], carry: Sequence[str], sums: Sequence[str]) -> DataFrame:
+def one_window(rows: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str] = (), carry: Sequence[str] = (), sums: Sequence[str] = ()) -> DataFrame:
+    """:func:`with_previous` where no key is hot."""
     w = Window.partitionBy(*keys).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, -1)
     added = {"_seq": F.row_number().over(w).cast("long")}
