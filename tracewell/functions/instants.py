@@ -59,12 +59,23 @@ _UNIX = r"^([+-]?\d{1,13}|[+-]?\d{15,17})(?:\.(\d{1,9}))?$"
 _DAY_US = 86_400_000_000
 
 
+# More partitions than any table has.
+_EVERY = 1 << 24
+
+
+def _cut(df: DataFrame) -> DataFrame:
+    """The same rows: coalescing into more partitions than there are moves nothing, but ends the method that is generated.
+
+    The JVM leaves methods of more than 8,000 bytes uncompiled, and everything
+    below in one would be several times as long.
+    """
+    return df.coalesce(_EVERY)
+
+
 def _number_of(c: Column, names: tuple[str, ...]) -> Column:
     """From 1, the name that begins with the first three letters."""
-    index = F.lit(None).cast("int")
-    for i, m in enumerate(names, 1):
-        index = F.when(F.substring(c, 1, 3) == m[:3], F.lit(i)).otherwise(index)
-    return index
+    at = F.instr(F.lit("".join(f",{n[:3]}" for n in names)), F.concat(F.lit(","), F.substring(c, 1, 3)))
+    return F.when(at > 0, F.call_function("div", at + 3, F.lit(4)).cast("int"))
 
 
 # Stands before the fields of a form that matched.
@@ -84,14 +95,11 @@ def _with_fields(df: DataFrame, text: str, out: str) -> DataFrame:
     return df.withColumn(out, F.when(F.col(out).startswith(_MATCHED), F.split(F.substring(F.col(out), 2, 200), r"\|", -1)))
 
 
-def _offset_minutes(zone: Column) -> Column:
-    """Minutes east of UTC of a zone text; null when it names none we know."""
-    named = F.element_at(F.create_map(*[F.lit(x) for pair in ABBREVIATIONS.items() for x in pair]), zone)
-    digits = F.regexp_replace(zone, r"^(?:utc|gmt)?[+-]|:", "")
-    hours = F.when(F.length(digits) <= 2, digits).otherwise(F.substring(digits, F.lit(1), F.length(digits) - 2)).try_cast("int")
-    minutes = F.when(F.length(digits) <= 2, F.lit(0)).otherwise(F.substring(digits, F.length(digits) - 1, F.lit(2)).try_cast("int"))
-    sign = F.when(zone.contains("-"), -1).otherwise(1)
-    signed = F.when(zone.rlike("[+-]") & (hours <= 18) & (minutes < 60), sign * (hours * 60 + minutes))
+def _offset_minutes(zone: Column, clock: Column) -> Column:
+    """Minutes east of UTC of a zone text whose digits are ``clock`` (h, hh or hhmm, as a number of hhmm); null when it names none we know."""
+    named = F.try_element_at(F.create_map(*[F.lit(x) for pair in ABBREVIATIONS.items() for x in pair]), zone)
+    hours, minutes = F.call_function("div", clock, F.lit(100)).cast("int"), clock % 100
+    signed = F.when((clock < 1900) & (minutes < 60), F.when(zone.contains("-"), -1).otherwise(1) * (hours * 60 + minutes))
     return F.coalesce(named, signed)
 
 
@@ -124,7 +132,7 @@ def with_utc_micros(df: DataFrame, text: str, zone_hint: str | None, out: str, d
     # The row's own columns travel as one value, so none of their names can clash.
     df = df.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), F.col(text).alias("_text"), (F.col(zone_hint) if zone_hint else F.lit(None).cast("string")).alias("_hint"))
     df = df.withColumn("_s", F.translate(F.lower(F.btrim("_text", F.lit(BLANKS))), "\u2212\u0001", "-"))
-    df = _with_fields(df, "_s", "_f")
+    df = _cut(_with_fields(df, "_s", "_f"))
     part = lambda n: F.nullif(F.col("_f")[n], F.lit(""))
     number = lambda n: part(n).try_cast("int")
     df = df.withColumns({"_y": number(0), "_mt": part(1), "_dd": number(2), "_h": number(3), "_mi": F.coalesce(number(4), F.lit(0)), "_se": F.coalesce(number(5), F.lit(0)), "_half": part(7), "_zone": part(8), "_wd": part(9)})
@@ -139,10 +147,14 @@ def with_utc_micros(df: DataFrame, text: str, zone_hint: str | None, out: str, d
     named = F.col("_wd").isNull() | (_number_of(F.col("_wd"), WEEKDAYS) == F.pmod(F.col("_day") + 3, F.lit(7)) + 1)
     sound = (F.col("_y") >= 1) & (F.col("_h") < 24) & (F.col("_mi") < 60) & (F.col("_se") < 60) & named
     df = df.withColumn("_local", F.when(sound, F.col("_day") * _DAY_US + clock))
+    df = _cut(df.select("_row", "_hint", "_s", "_zone", "_local"))
     hint = F.nullif(F.trim("_hint"), F.lit(""))
     df = df.withColumns({"_iana": F.coalesce(hint, F.lit(default_zone)), "_read": F.when(F.col("_zone").isNull(), F.col("_local"))})
-    df = _with_local_to_utc(df, "_read", "_iana", "_by_zone", ambiguous)
-    parsed = F.when(F.col("_zone").isNotNull(), F.col("_local") - _offset_minutes(F.col("_zone")).cast("long") * 60_000_000).otherwise(F.col("_by_zone"))
+    df = _cut(_with_local_to_utc(df, "_read", "_iana", "_by_zone", ambiguous, default_zone))
+    df = df.withColumn("_digits", F.regexp_extract("_zone", r"[+-]([0-9:]+)$", 1))
+    plain = F.replace("_digits", F.lit(":"), F.lit("")).try_cast("int")
+    df = df.withColumn("_clock", F.when(F.length("_digits") <= 2, plain * 100).otherwise(plain))
+    parsed = F.when(F.col("_zone").isNotNull(), F.col("_local") - _offset_minutes(F.col("_zone"), F.col("_clock")).cast("long") * 60_000_000).otherwise(F.col("_by_zone"))
     # A filter on the result would be pushed through all of this and repeat it many times over; the partition
     # number, being no deterministic expression, stops it here.
     micros = F.when(F.spark_partition_id() >= 0, F.coalesce(unix_micros_by_size(F.col("_s")), parsed))
@@ -164,20 +176,23 @@ def zone_name(c: Column) -> Column:
     return F.when(c.isin(list(known.values())), c).when(F.lower(c).isin(list(known)), F.try_element_at(every, F.lower(c)))
 
 
-def _with_local_to_utc(df: DataFrame, local: str, zone: str, out: str, ambiguous: str) -> DataFrame:
+def _with_local_to_utc(df: DataFrame, local: str, zone: str, out: str, ambiguous: str, usual: str) -> DataFrame:
     """A local clock reading (as microseconds) in an IANA zone as UTC microseconds.
 
     The offsets in force a day before and a day after give the two candidate
     instants; a candidate counts if it shows the reading on its clock.  None:
-    the reading never occurs.  Two different ones: it occurs twice.
+    the reading never occurs.  Two different ones: it occurs twice.  The zone
+    ``usual`` is looked up once, others row by row.
     """
     df = df.withColumn("_z", zone_name(F.col(zone)))
 
     def shown(micros: Column) -> Column:
-        return F.unix_micros(F.from_utc_timestamp(F.timestamp_micros(micros), F.col("_z")))
+        ts = F.timestamp_micros(micros)
+        return F.unix_micros(F.when(F.col("_z") == usual, F.from_utc_timestamp(ts, F.lit(usual))).otherwise(F.from_utc_timestamp(ts, F.col("_z"))))
 
     here = F.col(local)
     df = df.withColumns({"_a": here - (shown(here - _DAY_US) - (here - _DAY_US)), "_b": here - (shown(here + _DAY_US) - (here + _DAY_US))})
-    df = df.withColumns({"_sa": shown(F.col("_a")) == here, "_sb": shown(F.col("_b")) == here})
+    df = df.withColumn("_sa", shown(F.col("_a")) == here)
+    df = df.withColumn("_sb", F.when(F.col("_a") == F.col("_b"), F.col("_sa")).otherwise(shown(F.col("_b")) == here))
     pick = {"refuse": F.lit(None).cast("long"), "first": F.least("_a", "_b"), "second": F.greatest("_a", "_b")}[ambiguous]
     return df.withColumn(out, F.when(F.col("_sa") & F.col("_sb") & (F.col("_a") != F.col("_b")), pick).when(F.col("_sa"), F.col("_a")).when(F.col("_sb"), F.col("_b")))
