@@ -241,8 +241,9 @@ def superfluous(rows: DataFrame, identity: Sequence[Column], row_id: str, order:
     tasks = _tasks(rows.sparkSession, rows.count())
     # Written by no more tasks than screen it, so that a bucket has few files; without a shuffle.
     store = materialize(compact_identities(rows, identity, row_id, order, time).coalesce(tasks), "identities", ("_tb",))
-    # All is screened in one go here, so the filters serve the later buckets only; a store keeps them for later batches.
-    look = screen(store, tasks).where(F.col("_bits").isNull()).select("_tb", "_h")
+    # Written, so that its size is known to the join: where it is small the storage is not shuffled.
+    screened = materialize(screen(store, tasks), "screened")
+    look = screened.where(F.col("_bits").isNull()).select("_tb", "_h")
     found = store.join(look, ["_tb", "_h"], "left_semi").withColumn("_held", F.lit(False))
     return _surplus(found, len(order), row_id)
 
