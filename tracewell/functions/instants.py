@@ -64,9 +64,9 @@ _EVERY = 1 << 24
 
 
 def _cut(df: DataFrame) -> DataFrame:
-    """The same rows: coalescing into more partitions than there are moves nothing, but ends the method that is generated.
+    """The same rows: coalescing into more partitions than there are shuffles nothing, but ends the method that is generated.
 
-    The JVM leaves methods of more than 8,000 bytes uncompiled, and everything
+    Where blocks have locations a few partitions may share a task.  The JVM leaves methods of more than 8,000 bytes uncompiled, and everything
     below in one would be several times as long.
     """
     return df.coalesce(_EVERY)
