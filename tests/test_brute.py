@@ -7,6 +7,7 @@ from zoneinfo import ZoneInfo
 
 import pytest
 
+from tracewell.functions import money
 from tracewell.plans import problems
 
 DATA = "/root/testdata/sf0.001"
@@ -92,3 +93,9 @@ def test_amounts_row_by_row(spark):
         if r["representation_class"] in ("percentage", "dash_nil", "not_a_number"):
             assert k not in got
     assert n > 50
+
+
+def test_scales_of_heading_texts_are_those_that_their_words_state(spark):
+    got = {r["source"].removeprefix("heading:"): r["log10_scale"] for r in problems.p4_source_scales(spark, DATA).where("hops > 0").collect()}
+    assert len(got) > 5
+    assert {t: round(10 ** (k + 4)) for t, k in got.items()} == {t: money.stated_by_headings(t)[0] for t in got}

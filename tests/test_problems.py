@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tracewell.functions import instants, listing, money
 from tracewell.operators import nested, pit_join, redelivery, references, snapshots, units
+from tracewell.plans import problems
 from tracewell.plans.problems import COMPANY_BODY, COMPANY_KEYS
 
 T0 = dt.datetime(2024, 1, 1)
@@ -239,6 +240,19 @@ def test_source_scales_refuse_pairs_that_do_not_agree(spark):
     assert [r["source"] for r in got.collect()] == ["units"]
 
 
+def test_scales_of_heading_texts_come_from_cells_that_the_reported_scale_states_too(spark, tmp_path):
+    schema = "value_id long, raw_value string, label_raw string, reported_scale long, scale_evidence string, currency string, printed_decimals int, value_type string"
+    row = lambda i, raw, scale, head, label="Revenue", kind="currency_amount": (i, raw, label, scale, head, "LKR", 0, kind)
+    data = [row(i, f"({i}7)" if i % 2 else f"{i}7", 1000, "Wordless") for i in range(1, 7)] + [row(20, "55", None, "Wordless")]
+    data += [row(30 + i, f"3{i},000", 10 ** (3 * i), "Mixed") for i in range(4)]
+    data += [row(40, "41", 1000, "Rare"), row(41, "42", 1000, "Rare"), row(41, "42", 1000, "Rare")]
+    data += [row(50 + i, f"5{i} mn", 1000, "Own unit") for i in range(4)] + [row(60 + i, f"6{i}", 1000, "Own label", "Revenue (Rs Mn)") for i in range(4)]
+    data += [row(70 + i, f"7{i}", s, "Unscaled") for i, s in enumerate((0, -1000, None, 0))] + [row(80 + i, raw, 1, "No amounts") for i, raw in enumerate(("-", "0", "5%", None))]
+    spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/reported_values.parquet")
+    got = {r["source"]: (r["log10_scale"], r["offset"], r["links"]) for r in problems.p4_source_scales(spark, str(tmp_path)).collect()}
+    assert got == {"reported_scale:10000": (0.0, 0.0, 0), "heading:Wordless": (3.0, 0.0, 6)}
+
+
 def test_long_numbers_keep_their_digits(spark):
     df = spark.createDataFrame([(1, "9" * 32, None, 1, None, "LKR", 0), (2, "9" * 33, None, 1, None, "LKR", 0), (3, "1" + "0" * 21 + ".125", None, 1, None, "LKR", 3)], "value_id long, raw_value string, label_raw string, reported_scale long, scale_evidence string, currency string, printed_decimals int")
     got = {r["value_id"]: r["declared"] for r in units.declared_amounts(df).collect()}
